@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Characters that the pre-tokenizer takes as white space (Unicode's White_Space property).
-SPACES = "\t\n\v\f\r \x85\xa0  -     　"
+SPACES = "\t\n\v\f\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 _SEGMENT = re.compile(f"[^{SPACES}]+")
 #: str.split() also splits at these, which the pre-tokenizer takes as ordinary characters.
 _NO_SPACE = re.compile("[\x1c-\x1f]")

@@ -1,0 +1,135 @@
+"""Tokens against the library, page text against its structure, languages on held-out rows, and the pipeline."""
+
+import hashlib
+import html
+import random
+import re
+
+import public_tokenizers
+import pytest
+from tokenizers import Tokenizer
+
+from kinestream.llm import bpe, html_text, language, token_counts
+
+PATH = public_tokenizers.path("word_bpe_49k.json")
+PIECES = [*"abÀé 'sS\t\n\x1c\x85\u3000ΣςσİıẞßﬁⅣ²①ʰªǅ½१漢カナ한Åẛ\U0001f600\U00010400\u200b\xad\u0301_-!%012", "<|endoftext|>", "<|startoftext|>", "'re", "'LL", "hello", "  ", "naïve"]
+
+
+@pytest.fixture(scope="module")
+def library():
+    return Tokenizer.from_file(PATH)
+
+
+def random_texts(n, seed=1):
+    rng = random.Random(seed)
+    return ["".join(rng.choice(PIECES) for _ in range(rng.randint(0, 30))) for _ in range(n)]
+
+
+def test_encoding_is_the_library(library):
+    own = bpe.load(PATH)
+    long = "x" * 300 + "yabc" * 3000 + "ab" * 300
+    for t in [*random_texts(4000), "", long]:
+        want = library.encode(t, add_special_tokens=False).ids
+        assert own.encode(t) == want and own.decode(want) == library.decode(want, skip_special_tokens=False)
+    assert own.encode(None) == []
+
+
+def test_forgetting_changes_nothing(library, monkeypatch):
+    monkeypatch.setattr(bpe, "REMEMBERED", 3)
+    own = bpe.WordBPE(PATH)
+    t = " ".join(random_texts(50, 2))
+    assert own.encode(t) == library.encode(t, add_special_tokens=False).ids
+
+
+def test_chunks_are_spliced(library):
+    own = bpe.load(PATH)
+    for t in [*random_texts(1500, 3), "word " * 3000, "q" * 5000, " " * 500]:
+        want = len(library.encode(t, add_special_tokens=False).ids)
+        for chunk, overlap in ((8, 2), (50, 4)):
+            assert token_counts.count_tokens(own, t, chunk, overlap) == want
+
+
+def test_token_queries(spark, library):
+    texts = [None, "", *random_texts(60, 4), "long words " * 3000]
+    df = spark.createDataFrame([(i, t, "x", 1) for i, t in enumerate(texts)], "doc_id long, text string, ids string, n_tokens int")
+    counts = {r.doc_id: r for r in token_counts.token_counts(df, PATH).collect()}
+    for r in bpe.round_trip_digests(df, PATH).collect():
+        t = texts[r.doc_id] or ""
+        ids = library.encode(t, add_special_tokens=False).ids
+        assert r.n_tokens == counts[r.doc_id].n_tokens == len(ids) and counts[r.doc_id].over_limit == (len(ids) > 2048) and counts[r.doc_id].n_bytes == len(t.encode())
+        assert r.ids_sha256 == hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest()
+        assert r.decoded_sha256 == hashlib.sha256(library.decode(ids, skip_special_tokens=False).encode()).hexdigest()
+    back = df.select(bpe.decoded(bpe.encoded(df.text, PATH), PATH).alias("t")).collect()
+    assert back[0].t == "" and len(back) == len(texts)
+    assert bpe.round_trip_digests(df.limit(0), PATH).collect() == [] and token_counts.token_counts(df.limit(0), PATH).collect() == []
+
+
+def common_length(a, b):
+    rows = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+    for i in range(len(a)):
+        for j in range(len(b)):
+            rows[i + 1][j + 1] = rows[i][j] + 1 if a[i] == b[j] else max(rows[i][j + 1], rows[i + 1][j])
+    return rows[-1][-1]
+
+
+def test_alignment_is_longest():
+    rng = random.Random(0)
+    for _ in range(1500):
+        a, b = ([rng.choice("abcde") for _ in range(rng.randint(0, 14))] for _ in range(2))
+        found = html_text.shared_lines(a, b)
+        left = iter(b)
+        assert len(found) == common_length(a, b) and all(any(y == a[i] for y in left) for i in sorted(found))
+
+
+def test_page_frames_go():
+    page = '<html><head><title>T</title><script>if (a<b) x="</p>"</script></head><body><header>Top</header><nav><a href="x">Menu</a></nav><main><h1>A &amp; B</h1><p>One\n <b>two</b><br>three<p>four<aside>side</aside><div class="ad-box">ad</div></main><div id="comments"><p>me too</p></div><form>mail</form><footer>&copy; x</footer>'
+    assert html_text.main_text(html_text.blocks(page), None)[0] == "A & B One two three four"
+    plain = "<div>Site menu</div><div>{}</div><div>Imprint</div>"
+    a, b = (html_text.blocks(plain.format(x)) for x in ("first story", "second story"))
+    assert html_text.main_text(a, b) == ("first story", 2)
+    article = html_text.blocks("<article><p>same</p></article>")
+    assert html_text.main_text(article, article)[0] == "same"
+    assert html_text.blocks(None) == [] and html_text.blocks("") == []
+
+
+def test_pages(spark):
+    df = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
+    odd = spark.createDataFrame([(None, None, None), (7, "http://[bad", "<p>x"), (7, "http://[bad", "<p>x")], df.schema)
+    rows = html_text.extracted(df.unionByName(odd)).collect()
+    assert len(rows) == df.count() + 3
+    source = {r.page_id: r.html for r in df.collect()}
+    for r in rows:
+        if r.page_id in source and r.url is not None and r.url != "http://[bad":
+            body = re.sub("</?b>", "", source[r.page_id].split("<article>")[1].split("</article>")[0])
+            want = " ".join(x for x in (re.sub(r"\s+", " ", html.unescape(y)).strip() for y in re.split("<[^>]*>", body)) if x)
+            assert r.text == want and r.n_chars == len(want)
+    assert html_text.extracted(df.limit(0)).collect() == []
+
+
+def test_languages_on_held_out_rows(spark):
+    df = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    model = language.train(df)
+    odd = spark.createDataFrame([(None, None, None, None, None), (3, "123 !", "en", "s", 5), (4, "", None, None, 0), (5, "é" * 40_000, None, None, 0)], df.schema)
+    got = language.predict(df, model).join(df.select("doc_id", "lang", "n_chars"), "doc_id").where("held_out and n_chars > 40").collect()
+    assert sum(r.lang == r.lang_pred for r in got) / len(got) > 0.95
+    rows = {r.doc_id: r for r in language.predict(odd, model).collect()}
+    assert all(rows[i].lang_pred == "und" and rows[i].score == 0 for i in (None, 3, 4)) and rows[5].lang_pred in model.languages
+    assert not rows[None].held_out
+    assert language.predict(odd, language.train(odd.limit(0))).where("lang_pred <> 'und'").count() == 0
+
+
+def test_pipeline(spark, tmp_path):
+    import corpus_pipeline
+
+    sf = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    seen, columns = docs, docs.columns
+    for i, (_, stage) in enumerate(corpus_pipeline.STAGES[:-1]):
+        out = stage(spark, seen, sf)
+        assert out.columns == columns
+        out.write.parquet(str(tmp_path / str(i)))
+        after = spark.read.parquet(str(tmp_path / str(i)))
+        assert after.count() <= seen.count() and after.select("doc_id").subtract(seen.select("doc_id")).count() == 0
+        seen = after
+    final = corpus_pipeline.run(spark, sf).collect()
+    assert len(final) == seen.count() and 0 < len(final) < docs.count()
