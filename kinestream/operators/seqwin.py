@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from kinestream.operators.temporal import running_extreme, running_total
+
 
 def gaussian_weights(sigma: float = 1.8, radius: int = 4) -> list[float]:
     """Normalized weights of 2 * radius + 1 taps."""
@@ -60,46 +62,58 @@ def centered_mean(df: DataFrame, width: int = 7, **columns: str) -> DataFrame:
     return filtered(df, [1 / width] * width, "edge", **columns)
 
 
-def _w(stream: str, index: str):
-    return Window.partitionBy(stream).orderBy(index)
+def neighbours(df: DataFrame, column: str, offsets: list[int], stream: str = "stream", index: str = "i", block: int = 4096) -> DataFrame:
+    """``df`` with ``{column}_{offset}`` for each offset: the value so many samples on (or back), null beyond the ends.
+
+    Each block of indices is one group that takes the samples beside it as copies, so a long stream is many tasks.
+    """
+    reach = max(map(abs, offsets))
+    blocks = F.sequence(*[F.floor((F.col(index) + d) / block) for d in (-reach, reach)])
+    spread = df.select("*", F.explode(blocks).alias("_block"))
+    w = Window.partitionBy(stream, "_block").orderBy(index)
+    out = spread.select(*df.columns, "_block", *[F.lead(column, k).over(w).alias(f"{column}_{k}") for k in offsets])
+    return out.where(F.floor(F.col(index) / block) == F.col("_block")).drop("_block")
 
 
-def third_difference(value: Column, stream: str = "stream", index: str = "i") -> Column:
+def third_difference(df: DataFrame, value: str = "value", name: str = "jerk", **where: str) -> DataFrame:
     """x[i] - 3 x[i-1] + 3 x[i-2] - x[i-3]; null for the first three samples."""
-    lag = lambda k: F.lag(value, k).over(_w(stream, index))
-    return value - 3 * lag(1) + 3 * lag(2) - lag(3)
+    n = neighbours(df, value, [-1, -2, -3], **where)
+    made = F.col(value) - 3 * F.col(f"{value}_-1") + 3 * F.col(f"{value}_-2") - F.col(f"{value}_-3")
+    return n.select(*df.columns, made.alias(name))
 
 
-def gradient(value: Column, step: float, stream: str = "stream", index: str = "i") -> Column:
+def gradient(df: DataFrame, step: float, value: str = "value", name: str = "gradient", **where: str) -> DataFrame:
     """Central differences over ``step``, one-sided at both ends; null for a stream of one sample."""
-    before, after = F.lag(value).over(_w(stream, index)), F.lead(value).over(_w(stream, index))
-    return F.when(before.isNull(), (after - value) / step).when(after.isNull(), (value - before) / step).otherwise((after - before) / (2 * step))
+    n = neighbours(df, value, [-1, 1], **where)
+    x, before, after = F.col(value), F.col(f"{value}_-1"), F.col(f"{value}_1")
+    made = F.when(before.isNull(), (after - x) / step).when(after.isNull(), (x - before) / step).otherwise((after - before) / (2 * step))
+    return n.select(*df.columns, made.alias(name))
 
 
-def intervals(time: Column, stream: str = "stream", index: str = "i") -> Column:
+def intervals(df: DataFrame, time: str = "t", name: str = "dt", **where: str) -> DataFrame:
     """The time since the sample before; the first sample takes the interval after it."""
-    w = _w(stream, index)
-    return F.coalesce(time - F.lag(time).over(w), F.lead(time).over(w) - time)
+    n = neighbours(df, time, [-1, 1], **where)
+    return n.select(*df.columns, F.coalesce(F.col(time) - F.col(f"{time}_-1"), F.col(f"{time}_1") - F.col(time)).alias(name))
 
 
-def cumulative_index(df: DataFrame, time: str, period: float, stream: str = "stream", index: str = "i", name: str = "dense") -> DataFrame:
+def cumulative_index(df: DataFrame, time: str, period: float, stream: str = "stream", index: str = "i", name: str = "dense", block: int = 4096) -> DataFrame:
     """``df`` with the frame index that the steps of ``time`` add up to: in periods, rounded half to even, 1 at least."""
-    step = F.greatest(F.lit(1.0), F.rint((F.col(time) - F.lag(time).over(_w(stream, index))) / period))
-    stepped = df.withColumn("_step", F.when(F.lag(time).over(_w(stream, index)).isNull(), 0.0).otherwise(step))
-    return stepped.withColumn(name, F.sum("_step").over(_w(stream, index)).cast("long")).drop("_step")
+    n = neighbours(df, time, [-1], stream, index, block)
+    step = F.greatest(F.lit(1.0), F.rint((F.col(time) - F.col(f"{time}_-1")) / period))
+    stepped = n.select(*df.columns, F.coalesce(step.cast("long") * F.col(f"{time}_-1").isNotNull().cast("int"), F.lit(0)).cast("long").alias("_step"))
+    return running_total(stepped, [stream], [F.col(index)], index, F.col("_step"), name, block).drop("_step")
 
 
-def continuous_signs(df: DataFrame, dot: Column, stream: str = "stream", index: str = "i", name: str = "sign") -> DataFrame:
+def continuous_signs(df: DataFrame, dot: str, stream: str = "stream", index: str = "i", name: str = "sign", block: int = 4096) -> DataFrame:
     """The sign that keeps each quaternion on the side of the one before, as that one was turned itself.
 
     ``dot``: the product of a sample with the one before, null for the first. A negative product turns the sign; a missing or zero
     one starts a new chain with +1. So the sign is the parity of turns since the chain began.
     """
-    d = df.withColumn("_dot", dot).withColumn("_new", F.coalesce((F.col("_dot") == 0) | F.isnan("_dot"), F.lit(True)).cast("int"))
-    chained = d.withColumn("_chain", F.sum("_new").over(_w(stream, index)))
-    within = Window.partitionBy(stream, "_chain").orderBy(index)
-    turns = F.sum(F.coalesce(F.col("_dot") < 0, F.lit(False)).cast("int")).over(within)
-    return chained.withColumn(name, 1 - 2 * (turns % 2)).drop("_dot", "_new", "_chain")
+    new = F.coalesce((F.col(dot) == 0) | F.isnan(dot), F.lit(True))
+    turned = running_total(df, [stream], [F.col(index)], index, F.coalesce(F.col(dot) < 0, F.lit(False)).cast("long"), "_turns", block)
+    since = running_extreme(turned, [stream], [F.col(index)], index, F.when(new, F.struct(F.col(index).alias("i"), F.col("_turns").alias("turns"))), "_chain", bucket=block)
+    return since.withColumn(name, 1 - 2 * ((F.col("_turns") - F.coalesce("_chain.turns", F.lit(0))) % 2)).drop("_turns", "_chain")
 
 
 def synchronized_interval(df: DataFrame, valid: str, stream: str = "stream", index: str = "i") -> DataFrame:

@@ -31,6 +31,24 @@ def running_extreme(df: DataFrame, stream: list[str], order: list[Column], time:
     return rows.join(carried, keys).withColumn(name, merge("_local", "_carry")).select(*df.columns, name)
 
 
+def running_total(df: DataFrame, stream: list[str], order: list[Column], time: str, value: Column, name: str, bucket: int = BUCKET) -> DataFrame:
+    """``df`` with ``name``: the sum of ``value`` over the row's stream up to the row in ``order``, by buckets as above."""
+    marked = df.withColumn("_bucket", F.floor(F.col(time) / bucket)).withColumn("_value", value)
+    keys = [*stream, "_bucket"]
+    local = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    before = Window.partitionBy(*stream).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    carried = marked.groupBy(*keys).agg(F.sum("_value").alias("_total")).select(*keys, F.sum("_total").over(before).alias("_carry"))
+    rows = marked.withColumn("_local", F.sum("_value").over(local)).join(carried, keys)
+    total = F.when(F.col("_local").isNotNull() | F.col("_carry").isNotNull(), F.coalesce("_local", F.lit(0)) + F.coalesce("_carry", F.lit(0)))
+    return rows.withColumn(name, total).select(*df.columns, name)
+
+
+def numbered(df: DataFrame, stream: list[str], order: list[Column], time: str, name: str = "i", bucket: int = BUCKET) -> DataFrame:
+    """``df`` with each row's place in its stream, from 0."""
+    counted = running_total(df, stream, order, time, F.lit(1).cast("long"), "_n", bucket)
+    return counted.withColumn(name, F.col("_n") - 1).drop("_n")
+
+
 def _both(packets: DataFrame, queries: DataFrame) -> DataFrame:
     return packets.withColumn("kind", F.lit(0)).unionByName(queries.withColumn("kind", F.lit(1)), allowMissingColumns=True)
 

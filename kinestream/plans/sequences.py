@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from kinestream.operators import contract, seqwin, stats, temporal
 from kinestream.plans.registry import query
@@ -13,8 +12,7 @@ from kinestream.plans.timelines import stream_events
 
 def samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     """stream, i (0, 1, 2 ... in time), t, value, event_type."""
-    w = Window.partitionBy("stream").orderBy("t", "event_id")
-    return stream_events(spark, sf_dir).withColumn("i", (F.row_number().over(w) - 1).cast("long"))
+    return temporal.numbered(stream_events(spark, sf_dir), ["stream"], [F.col("t"), F.col("event_id")], "t")
 
 
 _S = """WITH s AS (SELECT user_id AS stream, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS i, epoch_us(ts) AS t, value, event_type FROM events),
@@ -58,7 +56,7 @@ SELECT stream, i, round(jerk * 27000, 4) AS jerk FROM d WHERE jerk IS NOT NULL""
 )
 def jerk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Third differences at 30 samples a second."""
-    d = samples(spark, sf_dir).withColumn("jerk", seqwin.third_difference(F.col("value")))
+    d = seqwin.third_difference(samples(spark, sf_dir))
     return d.where("jerk is not null").select("stream", "i", F.round(F.col("jerk") * 27000, 4).alias("jerk"))
 
 
@@ -69,13 +67,13 @@ def jerk(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def gradient(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Central differences at 30 samples a second, one-sided at the ends."""
-    return samples(spark, sf_dir).select("stream", "i", F.round(seqwin.gradient(F.col("value"), 1 / 30), 5).alias("gradient"))
+    return seqwin.gradient(samples(spark, sf_dir), 1 / 30).select("stream", "i", F.round("gradient", 5).alias("gradient"))
 
 
 @query(_S + "SELECT stream, i, coalesce(t - lag(t) OVER w, lead(t) OVER w - t) AS dt FROM s WINDOW w AS (PARTITION BY stream ORDER BY i)")
 def dt_repeat_first(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Intervals between samples, the first one repeated."""
-    return samples(spark, sf_dir).select("stream", "i", seqwin.intervals(F.col("t")).alias("dt"))
+    return seqwin.intervals(samples(spark, sf_dir)).select("stream", "i", "dt")
 
 
 @query(
@@ -115,9 +113,8 @@ SELECT stream, i, (1 - 2 * (sum(CASE WHEN dot < 0 THEN 1 ELSE 0 END) OVER (PARTI
 )
 def sign_continuity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Signs that keep each sample on the side of the one before."""
-    d = samples(spark, sf_dir).withColumn("q", F.col("value") - 50)
-    dot = F.col("q") * F.lag("q").over(Window.partitionBy("stream").orderBy("i"))
-    return seqwin.continuous_signs(d, dot).select("stream", "i", F.col("sign").cast("long").alias("sign"))
+    d = seqwin.neighbours(samples(spark, sf_dir).withColumn("q", F.col("value") - 50), "q", [-1])
+    return seqwin.continuous_signs(d.withColumn("dot", F.col("q") * F.col("q_-1")), "dot").select("stream", "i", F.col("sign").cast("long").alias("sign"))
 
 
 @query(

@@ -142,10 +142,8 @@ SELECT stream, island::BIGINT AS island, count(*) AS n, min(t) AS first, max(t)
 )
 def islands_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Runs of events of a stream without a gap of over six hours."""
-    from pyspark.sql.window import Window
-
     marked = temporal.islands(stream_events(spark, sf_dir), 6 * HOUR)
-    numbered = marked.withColumn("island", F.sum(F.col("starts").cast("long")).over(Window.partitionBy("stream").orderBy("t", "event_id")))
+    numbered = temporal.running_total(marked, ["stream"], [F.col("t"), F.col("event_id")], "t", F.col("starts").cast("long"), "island")
     return numbered.groupBy("stream", "island").agg(F.count("*").alias("n"), F.min("t").alias("first"), F.max("t").alias("last"))
 
 

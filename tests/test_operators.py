@@ -30,17 +30,16 @@ def test_short_streams_have_no_filter(spark):
 
 def test_gradient_is_numpy(spark):
     x = np.random.default_rng(2).normal(size=9)
-    got = [r.g for r in stream(spark, x).select("i", seqwin.gradient(F.col("value"), 0.5).alias("g")).orderBy("i").collect()]
+    got = [r.gradient for r in seqwin.gradient(stream(spark, x), 0.5).orderBy("i").collect()]
     assert np.allclose(got, np.gradient(x, 0.5))
 
 
 def test_signs_restart_after_a_zero_product(spark):
     q = [1.0, -1.0, -2.0, 0.0, 3.0, -3.0]
-    w = stream(spark, q)
-    from pyspark.sql.window import Window
-
-    dot = F.col("value") * F.lag("value").over(Window.partitionBy("stream").orderBy("i"))
-    assert [r.sign for r in seqwin.continuous_signs(w, dot).orderBy("i").collect()] == [1, -1, -1, 1, 1, -1]
+    for block in (2, 4096):
+        w = seqwin.neighbours(stream(spark, q), "value", [-1], block=block)
+        w = w.withColumn("dot", F.col("value") * F.col("value_-1"))
+        assert [r.sign for r in seqwin.continuous_signs(w, "dot", block=block).orderBy("i").collect()] == [1, -1, -1, 1, 1, -1]
 
 
 def test_distribution_ignores_what_is_not_finite(spark):
