@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kinestream.operators import stats, temporal
 from kinestream.plans.registry import query
+from kinestream.shared import shared_dir
+from kinestream.streaming import asof
 
 HOUR = 3_600_000_000
 MAX_AGE, MAX_GAP, TOLERANCE, SNAP = 48 * HOUR, 36 * HOUR, 12 * HOUR, 6 * HOUR
@@ -172,17 +176,25 @@ def outage_mask(spark: SparkSession, sf_dir: str) -> DataFrame:
     return r.groupBy("event_type").agg(F.count("*").alias("n"), F.count_if("out").alias("masked"), F.round(F.sum(F.when(F.col("out"), 0.0).otherwise(F.col("value"))), 4).alias("value"))
 
 
-@query()
-def asof_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``asof_causal`` as a stateful stream: all files of the table as they are found, results as a table."""
-    import uuid
+def _drained(stream: DataFrame, name: str) -> DataFrame:
+    """What a stream gives for all that its source holds now, as a table in the shared folder."""
+    spark = stream.sparkSession
+    out = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    run = stream.writeStream.format("parquet").option("path", f"{out}/rows").option("checkpointLocation", f"{out}/state").trigger(availableNow=True).start()
+    run.awaitTermination()
+    return spark.read.schema(stream.schema).parquet(f"{out}/rows")
+
+
+def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = f"{sf_dir}/events.parquet"
+    raw = spark.readStream.schema(spark.read.parquet(path).schema).parquet(f"{path}*")
+    return raw.select(F.col("user_id").alias("stream"), F.unix_micros(F.col("ts").cast("timestamp")).alias("t"), "event_id", "event_type", "value")
 
-    from kinestream.shared import shared_dir
-    from kinestream.streaming import asof
 
-    source = spark.read.parquet(f"{sf_dir}/events.parquet")
-    raw = spark.readStream.schema(source.schema).parquet(f"{sf_dir}/events.parquet*")
-    base = raw.select(F.col("user_id").alias("stream"), F.unix_micros(F.col("ts").cast("timestamp")).alias("acq"), F.col("event_id"), "event_type", "value")
+@query()
+def asof_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``asof_causal`` as a stateful stream."""
+    base = _event_stream(spark, sf_dir).withColumnRenamed("t", "acq")
     is_packet = F.col("event_type") == "view"
     delay = (F.col("event_id") * 7919 % 86400) * 1_000_000
     rows = base.where(F.col("event_type").isin("view", "purchase")).select(
@@ -194,7 +206,11 @@ def asof_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
         "value",
         F.when(~is_packet, F.col("event_id")).alias("query_id"),
     )
-    out = f"{shared_dir(spark)}/asof-stream-{uuid.uuid4().hex}"
-    run = asof.asof_stream(rows, MAX_AGE).writeStream.format("parquet").option("path", f"{out}/rows").option("checkpointLocation", f"{out}/state").trigger(availableNow=True).start()
-    run.awaitTermination()
-    return spark.read.parquet(f"{out}/rows")
+    return _drained(asof.asof_stream(rows, MAX_AGE), "asof-stream")
+
+
+@query()
+def filter_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A scalar filter of each stream's values; errors are outages that hold the state."""
+    rows = _event_stream(spark, sf_dir).select("stream", "t", F.when(F.col("event_type") != "error", F.col("value")).alias("value"))
+    return _drained(asof.diagonal_filter(rows, 20.0, 0.05), "filter-stream")

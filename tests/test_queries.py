@@ -18,6 +18,20 @@ def test_stream_equals_batch(spark):
     assert stream == batch
 
 
+def test_filter_stream_is_the_recurrence(spark):
+    from kinestream.plans.timelines import stream_events
+
+    got = {(r["stream"], r.t): (r.estimate, r.variance) for r in QUERIES["filter_stream"](spark, SF).collect()}
+    state = {}
+    for r in sorted(stream_events(spark, SF).collect(), key=lambda x: (x["stream"], x.t)):
+        x, p, last = state.get(r["stream"], (None, None, None))
+        p = None if x is None else p + 0.05**2 * (r.t - last) / 1e6
+        if r.event_type != "error":
+            x, p = (r.value, 400.0) if x is None else (x + p / (p + 400.0) * (r.value - x), 400.0 * p / (p + 400.0))
+        state[r["stream"]] = (x, p, r.t)
+        assert got[r["stream"], r.t] == pytest.approx((x, p)) if x is not None else got[r["stream"], r.t][0] is None
+
+
 @pytest.mark.parametrize("name", ["bracket_linear", "asof_causal", "nearest_earlier_tie", "fir_reflect"])
 def test_joins_on_time_have_no_nested_loop(spark, name):
     plan = QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
