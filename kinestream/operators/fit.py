@@ -55,11 +55,12 @@ def similarity(pairs: DataFrame, keys: list[str], frame: str = "frame", min_fram
     """Fit target = scale * rotation * source per group, once more without outlying frames, and report residuals.
 
     pairs: keys, frame, s and t (structs x, y, z; nulls are left out). A frame's residual is the median over its points; frames above median +
-    max(3 * 1.4826 * MAD, 3.0) go, if ``min_frames`` (and with ``half`` half of them) stay. Two passes of aggregates; a group is never gathered.
+    max(3 * 1.4826 * MAD, 3.0) go, if ``min_frames`` (and with ``half`` half of them) stay. Aggregates only; a group is never gathered. What several passes read is
+    written to the shared folder once.
     """
-    known = pairs.where("s is not null and t is not null")
+    known = written(pairs.where("s is not null and t is not null"), "pairs")
     first = _solve(_moments(known, keys), keys)
-    frames = known.join(first.select(*keys, "scale", "rotation"), keys).withColumn("r", residual()).groupBy(*keys, frame).agg(F.median("r").alias("frame_residual"))
+    frames = written(known.join(first.select(*keys, "scale", "rotation"), keys).withColumn("r", residual()).groupBy(*keys, frame).agg(F.median("r").alias("frame_residual")), "frames")
     kept = stats.mad_trimmed(frames, keys, "frame_residual", 3.0, min_frames, half).where("kept").select(*keys, frame)
     stay = known.join(kept, [*keys, frame])
     final = _solve(_moments(stay, keys), keys)
