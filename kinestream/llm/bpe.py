@@ -23,8 +23,9 @@ _NO_SPACE = re.compile("[\x1c-\x1f]")
 _NONE = 1 << 60
 #: Words of more parts than this use a heap, whose time grows by n log n.
 SHORT = 96
-#: Segments and words that a worker remembers; at that number it forgets all of the kind and starts anew.
-REMEMBERED = 600_000
+#: Runs and words that a worker remembers at most: some 70 MB. The first ones met stay, as they are mostly the frequent
+#: ones; after REFRESH others, which suggests other texts, it forgets all and starts anew.
+REMEMBERED, REFRESH = 300_000, 3_000_000
 
 
 @lru_cache(1)
@@ -78,7 +79,7 @@ class WordBPE:
         self.piece = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{letter}]+|[{number}]|[^{SPACES}{letter}{number}]+")
         self.splitter = re.compile("(" + "|".join(map(re.escape, self.special)) + ")")
         self.known: dict[str, tuple[int, ...]] = {}
-        self.words: dict[str, tuple[int, ...]] = {}
+        self.passed = 0
 
     def word(self, word: str) -> list[int]:
         """The ids of one pre-token: the adjacent pair of least rank, the leftmost of equals, merges until none is left."""
@@ -121,16 +122,26 @@ class WordBPE:
         return [p for p, g in zip(parts, gone, strict=True) if not g]
 
     def _word(self, word: str) -> tuple[int, ...]:
-        if len(self.words) >= REMEMBERED:
-            self.words.clear()
-        self.words[word] = found = tuple(self.word(word))
-        return found
+        return self._keep(word, tuple(self.word(word)))
 
-    def _segment(self, segment: str) -> tuple[int, ...]:
-        known, new = self.words.get, self._word
+    def _keep(self, key: str, ids: tuple[int, ...]) -> tuple[int, ...]:
+        if len(self.known) < REMEMBERED:
+            self.known[key] = ids
+        else:
+            self.passed += 1
+            if self.passed >= REFRESH:
+                self.known.clear()
+                self.passed = 0
+        return ids
+
+    def segment(self, segment: str) -> tuple[int, ...]:
+        """The ids of a run without white space. A pre-token is remembered as the run that it would be by itself."""
+        known, new = self.known.get, self._word
         if segment.isascii() and segment.isalpha():
             word = segment.lower()
             found = known(word) or new(word)
+            if word == segment:
+                return found
         else:
             ids: list[int] = []
             for part in self.splitter.split(segment) if any(s in segment for s in self.special) else [segment]:
@@ -142,10 +153,7 @@ class WordBPE:
                     for word in self.piece.findall(plain):
                         ids += known(word) or new(word)
             found = tuple(ids)
-        if len(self.known) >= REMEMBERED:
-            self.known.clear()
-        self.known[segment] = found
-        return found
+        return self._keep(segment, found)
 
     def segments(self, text: str) -> list[str]:
         """The runs between white space. None of them changes the tokens of another."""
@@ -153,7 +161,7 @@ class WordBPE:
 
     def pieces(self, text: str) -> list[tuple[int, ...]]:
         """The ids of each segment, in order."""
-        known, new = self.known.get, self._segment
+        known, new = self.known.get, self.segment
         return [known(s) or new(s) for s in self.segments(text)]
 
     def encode(self, text: str | None) -> list[int]:

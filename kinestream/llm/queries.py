@@ -13,7 +13,12 @@ from kinestream.llm import bpe, decontaminate, html_text, language, pii, quality
 VOCABULARY = "word_bpe_49k.json"
 
 
+#: Rows of an Arrow batch: with Spark's default of 10,000 a Python worker would hold tens of MB of texts several times over.
+BATCH_ROWS = "1000"
+
+
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
@@ -98,6 +103,7 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates: the one with the least id."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
     return simhash.deduplicated(docs)
 
 
@@ -108,10 +114,12 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, their secrets replaced by the kind's name, n_chars counted anew."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
     clean = docs.withColumn("text", secrets.redacted(F.col("text")))
     return clean.withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)
 
 
 def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token count and digests of ids and decoded text of each document."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
     return bpe.round_trip_digests(docs, public_tokenizers.path(VOCABULARY))

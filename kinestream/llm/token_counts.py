@@ -23,7 +23,7 @@ def _chunk(bpe: WordBPE, text: str, start: int, stop: int) -> tuple[list[int], l
     for m in _RUN.finditer(text, start, stop):
         starts.append(m.start())
         ends.append(m.end())
-        counts.append(len(bpe.known.get(m[0]) or bpe._segment(m[0])))
+        counts.append(len(bpe.known.get(m[0]) or bpe.segment(m[0])))
     return starts, ends, counts
 
 

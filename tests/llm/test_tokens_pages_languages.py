@@ -36,6 +36,7 @@ def test_encoding_is_the_library(library):
 
 def test_forgetting_changes_nothing(library, monkeypatch):
     monkeypatch.setattr(bpe, "REMEMBERED", 3)
+    monkeypatch.setattr(bpe, "REFRESH", 5)
     own = bpe.WordBPE(PATH)
     t = " ".join(random_texts(50, 2))
     assert own.encode(t) == library.encode(t, add_special_tokens=False).ids
