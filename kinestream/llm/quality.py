@@ -107,25 +107,27 @@ class LineCrf:
         return labels[::-1]
 
 
-def fit_crf(sequences: list[tuple[np.ndarray, int]], rounds: int = 120, rate: float = 0.1, shrink: float = 1e-3) -> LineCrf:
+def fit_crf(sequences: list[tuple[np.ndarray, np.ndarray]], rounds: int = 120, rate: float = 0.1, shrink: float = 1e-3) -> LineCrf:
     """Maximum likelihood with a quadratic penalty, by forward-backward and Adam steps on padded batches.
 
-    A sequence is a document's lines with one label for all of them. Without both labels the model says content.
+    A sequence is a document's lines and a label for each. Documents weigh the same, and so do those with and without
+    boilerplate. Without both labels the model says content.
     """
     sequences = [s for s in sequences if len(s[0])]
     emit, move = np.zeros((_FEATURES, 2)), np.zeros((2, 2))
-    if len({label for _, label in sequences}) < 2:
+    if len({int(y) for _, labels in sequences for y in labels}) < 2:
         emit[0, 0] = 1.0
         return LineCrf(emit, move)
     n, longest = len(sequences), max(len(x) for x, _ in sequences)
-    feats, real, gold = np.zeros((n, longest, _FEATURES)), np.zeros((n, longest), bool), np.zeros(n, int)
-    for i, (x, label) in enumerate(sequences):
-        feats[i, : len(x)], real[i, : len(x)], gold[i] = x, True, label
-    share = np.bincount(gold, minlength=2) / n
-    weight = (0.5 / share)[gold] / n
-    lines, pairs = real.sum(1), np.maximum(real.sum(1) - 1, 0)
-    seen_emit = np.stack([((feats.sum(1)) * (weight * (gold == c) / lines)[:, None]).sum(0) for c in (0, 1)], axis=1)
-    seen_move = np.diag([float((weight * pairs / lines * (gold == c)).sum()) for c in (0, 1)])
+    feats, gold = np.zeros((n, longest, _FEATURES)), np.zeros((n, longest, 2))
+    for i, (x, labels) in enumerate(sequences):
+        feats[i, : len(x)], gold[i, np.arange(len(x)), labels] = x, 1.0
+    real = gold.any(2)
+    kind = gold[:, :, 1].any(1).astype(int)
+    weight = (0.5 / (np.bincount(kind, minlength=2) / n))[kind] / n / real.sum(1)
+    each = weight[:, None, None] * real[:, :, None]
+    seen_emit = np.einsum("ntf,ntc->fc", feats, gold * each)
+    seen_move = np.einsum("nta,ntb->ab", gold[:, :-1], (gold * each)[:, 1:])
     params, first, second = np.concatenate([emit.ravel(), move.ravel()]), 0.0, 0.0
     for step in range(1, rounds + 1):
         emit, move = params[: 2 * _FEATURES].reshape(_FEATURES, 2), params[2 * _FEATURES :].reshape(2, 2)
@@ -139,7 +141,6 @@ def fit_crf(sequences: list[tuple[np.ndarray, int]], rounds: int = 120, rate: fl
             out = score[:, t + 1] + back[:, t + 1]
             back[:, t] = np.where(real[:, t + 1, None], np.logaddexp(out[:, :1] + move[:, 0], out[:, 1:] + move[:, 1]), 0.0)
         total = np.logaddexp(ahead[:, -1, 0], ahead[:, -1, 1])
-        each = (weight / lines)[:, None, None] * real[:, :, None]
         one = np.exp(np.minimum(ahead + back - total[:, None, None], 0)) * each
         two = np.exp(np.minimum(ahead[:, :-1, :, None] + move + (score + back)[:, 1:, None, :] - total[:, None, None, None], 0)) * each[:, 1:, :, None]
         grad = np.concatenate([(np.einsum("ntf,ntc->fc", feats, one) - seen_emit).ravel(), (two.sum((0, 1)) - seen_move).ravel()]) + shrink * params
@@ -148,6 +149,21 @@ def fit_crf(sequences: list[tuple[np.ndarray, int]], rounds: int = 120, rate: fl
     return LineCrf(params[: 2 * _FEATURES].reshape(_FEATURES, 2), params[2 * _FEATURES :].reshape(2, 2))
 
 
+def fit_documents(documents: list[tuple[np.ndarray, int]]) -> LineCrf:
+    """Fit on the lines of documents of which only the whole has a label, 0 content or 1 boilerplate.
+
+    A first field takes the document's label for all its lines. Lines of boilerplate documents that by themselves look like
+    content to it are content for the second field, unless all of them do. So the second one learns where labels change.
+    """
+    first = fit_crf([(x, np.full(len(x), y)) for x, y in documents])
+    relabelled = []
+    for x, y in documents:
+        scores = x @ first.emit
+        own = (scores[:, 1] > scores[:, 0]).astype(int) if y else np.zeros(len(x), int)
+        relabelled.append((x, own if own.any() or not y else np.full(len(x), y)))
+    return fit_crf(relabelled)
+
+
 def train_crf(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", docs_each: int = TRAIN_DOCS) -> LineCrf:
     """Fit on labelled documents: the lines of quality 1 as content, those of quality 0 as boilerplate.
 
@@ -170,7 +186,7 @@ def train_crf(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_c
 
     rows = docs.select(id_col, text_col).join(F.broadcast(chosen), id_col).groupBy(id_col, "q").agg(F.min(text_col).alias("t")).select("q", features("t").alias("x"), id_col).collect()
     rows.sort(key=lambda r: r[2])
-    return fit_crf([(np.array(r.x, dtype=np.float64).reshape(-1, _FEATURES), 1 - r.q) for r in rows])
+    return fit_documents([(np.array(r.x, dtype=np.float64).reshape(-1, _FEATURES), 1 - r.q) for r in rows])
 
 
 def assess(docs: DataFrame, crf: LineCrf, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
