@@ -16,6 +16,8 @@ WIDTHS = (2, 3, 4)
 FILTERS, EMBED = 8, 8
 #: Training rows of each language at most (in expectation), and windows of each row.
 TRAIN_EACH, TRAIN_WINDOWS = 300, 4
+#: The most frequent languages are learned, so many at most.
+LANGUAGES = 1000
 #: Windows that go through the network at a time.
 BATCH = 128
 _LETTER = re.compile(r"[^\W\d_]")
@@ -134,7 +136,7 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     open_rows = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & (F.coalesce(F.crc32(F.col(id_col).cast("string")) % 3, F.lit(0)) != 1)).select(
         F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), F.pmod(F.xxhash64(F.col(id_col)), F.lit(1 << 30)).alias("h")
     )
-    sizes = open_rows.groupBy("lang").agg(F.count("*").alias("n"))
+    sizes = open_rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES)
     share = sizes.select("lang", (F.lit(float(each)) / F.col("n") * (1 << 30)).cast("long").alias("most"))
     length = F.length("text")
     starts = [F.greatest(F.lit(0), ((length - WINDOW) * (i / max(1, TRAIN_WINDOWS - 1))).cast("int")) + 1 for i in range(TRAIN_WINDOWS)]
