@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kinestream.llm import bpe, decontaminate, html_text, language, pii, quality, secrets, sharding, simhash, token_counts
+from kinestream.llm import bpe, decontaminate, html_text, language, near_copies, pii, quality, secrets, sharding, simhash, token_counts
 
 VOCABULARY = "word_bpe_49k.json"
 
@@ -102,9 +102,9 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates: the one with the least id."""
+    """One document of each group of near copies (5-word Jaccard similarity of 0.8 or more): the one with the least id."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
-    return simhash.deduplicated(docs)
+    return near_copies.deduplicated(docs)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
