@@ -11,8 +11,9 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kinestream.llm.common import WORD, free_name, written
+from kinestream.llm.common import WORD, written
 from kinestream.llm.components import connected_components
+from kinestream.llm.near_copies import least_rows, row_order
 
 _WORD = re.compile(WORD)
 _LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -107,18 +108,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 3, radius: int = 2) -> DataFrame:
-    """The rows of ``docs`` without near-duplicates: of each component the row with the least id stays.
+    """The rows of ``docs`` without near-duplicates: of each component one row stays.
 
-    Rows with a null id all stay, as nothing tells them apart. Of several rows with the same least id one stays.
-    All columns of ``docs`` are returned as they are. Only where ids repeat are prints computed a second time,
-    as a row is then told by its id and its print.
+    It is the row with the least id, nulls last, then with the least hash of the text and of all columns. So two texts
+    under one id are two rows, and rows with a null id are compared like others. All columns are returned as they are.
     """
-    found = written(near_duplicates(docs, id_col, text_col, size, radius), "duplicates")
-    gone = found.where("doc_id <> component_id").select(F.col("doc_id").alias(id_col), "fingerprint").distinct()
-    repeated = found.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1")
-    if repeated.isEmpty():
-        return docs.join(gone.select(id_col), id_col, "left_anti").select(docs.columns)
-    mark = free_name(docs, "fingerprint")
-    printed = docs.withColumn(mark, F.lpad(F.lower(F.hex(fingerprint_column(F.col(text_col), size))), 16, "0"))
-    kept = printed.join(gone.withColumnRenamed("fingerprint", mark), [id_col, mark], "left_anti").select(docs.columns)
-    return kept.where(F.col(id_col).isNull()).union(kept.where(F.col(id_col).isNotNull()).dropDuplicates([id_col]))
+    rows = docs.select(row_order(docs, id_col, text_col).alias("first"), fingerprint_column(F.col(text_col), size).alias("node"))
+    nodes = written(rows.groupBy("node").agg(F.min("first").alias("first")), "distinct-prints")
+    roots = connected_components(close_pairs(nodes.select(F.col("node").alias("fp")), radius))
+    return least_rows(docs, nodes, roots)

@@ -89,6 +89,14 @@ def test_one_row_of_each_group_stays(spark):
     assert sorted(tuple(r) for r in simhash.deduplicated(unique).collect()) == [(3, same, "f"), (9, "x y z w", None)]
 
 
+def test_repeated_and_null_ids_hide_no_text(spark):
+    same = "a b c d e f g h"
+    rows = [(5, same), (3, same), (3, same), (9, "other words stand here now"), (None, same), (None, "z"), (None, "z"), (3, "quite another text under a used id")]
+    want = [(3, same), (3, "quite another text under a used id"), (9, "other words stand here now"), (None, "z")]
+    got = simhash.deduplicated(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(map(tuple, got), key=repr) == sorted(want, key=repr)
+
+
 def test_empty_table(spark):
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert simhash.near_duplicates(empty).collect() == [] and simhash.deduplicated(empty).collect() == []
