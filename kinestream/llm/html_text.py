@@ -10,9 +10,11 @@ from urllib.parse import urlsplit
 
 import numpy as np
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from kinestream.llm.common import written
 
 _MARK = re.compile(r"""<!--.*?(?:-->|\Z)|<![^>]*>|<\?[^>]*>|<(?P<close>/?)(?P<name>[a-zA-Z][a-zA-Z0-9:-]*)(?P<attrs>(?:[^>"']|"[^"]*"|'[^']*')*+)(?:>|\Z)|<(?P<name2>/?[a-zA-Z][a-zA-Z0-9:-]*)[^>]*(?:>|\Z)""", re.S)
 _CLASS = re.compile(r"""(?:^|\s)(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
@@ -182,44 +184,86 @@ def _near(a: str, b: str) -> int:
     return next((i for i in range(n) if a[i] != b[i]), n)
 
 
+def _row(this: tuple, left: tuple | None, right: tuple | None) -> tuple:
+    """The result of a page, given the pages before and after it: the one of the longest common path counts, the one before on a tie."""
+    near = [x for x in (left, right) if x is not None and x[1] == this[1]]
+    other = max(near, key=lambda x: _near(x[2], this[2])) if near else None
+    text, cut = main_text(this[4], other[4] if other else None)
+    return this[0], this[3], text, len(text), cut
+
+
+def _page(page_id, url: str | None, page: str | None) -> tuple:
+    return None if pd.isna(page_id) else int(page_id), *host_and_path(url), url, blocks(page), page
+
+
+_RESULT = "page_id long, url string, text string, n_chars long, n_shared long"
+_EDGES = _RESULT + ", html string, task int, place int, edge boolean, side int"
+
+
 def _differenced(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Pages in the order of host and path: each with its neighbour of the longest common path, the one before on a tie."""
+    """Pages in the order of host and path: each with its neighbour.
+
+    The first and the last page of the task have a neighbour in another task. They are handed on as they are with
+    the pages next to them: place is their order, edge tells them from these, side is 1 for the first, 2 for the last, 3 for both.
+    """
+    task = TaskContext.get().partitionId()
     before = here = None
+    n = 0
 
-    def row(this, left, right):
-        near = [x for x in (left, right) if x is not None and x[1] == this[1]]
-        other = max(near, key=lambda x: _near(x[2], this[2])) if near else None
-        text, cut = main_text(this[4], other[4] if other else None)
-        return this[0], this[3], text, len(text), cut
+    def raw(this: tuple, place: int, side: int) -> tuple:
+        return this[0], this[3], None, None, None, this[5], task, place, side > 0, side
 
     for frame in frames:
         out = []
-        for page_id, url, page in zip(frame["page_id"], frame["url"], frame["html"], strict=True):
-            after = (None if pd.isna(page_id) else int(page_id), *host_and_path(url), url, blocks(page))
-            if here is not None:
-                out.append(row(here, before, after))
-            before, here = here, after
+        for values in zip(frame["page_id"], frame["url"], frame["html"], strict=True):
+            after = _page(*values)
+            if n == 1:
+                out += [raw(here, 0, 1), raw(after, 1, 0)]
+            elif n > 1:
+                out.append((*_row(here, before, after), None, None, None, None, None))
+            before, here, n = here, after, n + 1
         yield _frame(out)
-    if here is not None:
-        yield _frame([row(here, before, None)])
+    if n == 1:
+        yield _frame([raw(here, 0, 3)])
+    elif n > 1:
+        yield _frame([raw(before, 2, 0), raw(here, 3, 2)])
+
+
+def _joined(rows: pd.DataFrame) -> pd.DataFrame:
+    """The results of one task's first and last page, given its edge pages and those of the tasks beside it."""
+    rows = rows.sort_values("place", kind="stable")
+    pages = [_page(*v) for v in zip(rows["page_id"], rows["url"], rows["html"], strict=True)]
+    place, edge = rows["place"].tolist(), rows["edge"].tolist()
+    # Between places 1 and 2 pages may be missing; neither is an edge.
+    found = [_row(x, pages[i - 1] if i else None, pages[i + 1] if i + 1 < len(pages) else None) for i, x in enumerate(pages) if edge[i] and 0 <= place[i] < 4]
+    return _frame([(*r, None, None, None, None, None) for r in found])[["page_id", "url", "text", "n_chars", "n_shared"]]
 
 
 def _frame(rows: list[tuple]) -> pd.DataFrame:
-    out = pd.DataFrame(rows, columns=["page_id", "url", "text", "n_chars", "n_shared"])
-    return out.astype({"page_id": "Int64", "n_chars": "int64", "n_shared": "int64"})
+    out = pd.DataFrame(rows, columns=["page_id", "url", "text", "n_chars", "n_shared", "html", "task", "place", "edge", "side"])
+    return out.astype({"page_id": "Int64", "n_chars": "Int64", "n_shared": "Int64", "task": "Int32", "place": "Int32", "edge": "boolean", "side": "Int32"})
 
 
 def extracted(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """One row for each row of ``pages``: page_id, url, text, n_chars, n_shared.
 
     Pages are sorted by host and path over the whole cluster; a host of any size is split over many tasks. Each page is
-    paired with the nearer of its two neighbours of the same host in its task, and aligned with it line by line;
-    n_shared counts the lines that they share. The first and the last page of a task have one neighbour, as the page
-    next to them is elsewhere. Null and empty html gives an empty text; a null or broken URL has the empty host. Ids may be
+    paired with the nearer of its two neighbours of the same host, and aligned with it line by line;
+    n_shared counts the lines that they share. The first and the last page of a task meet the pages of the tasks beside it in
+    a second step, so that the number of tasks changes nothing; between them the results are a table in the shared folder. Null and empty html gives an empty text; a null or broken URL has the empty host. Ids may be
     null and may repeat; other columns are not read.
     """
     host, path = F.regexp_extract(F.lower(url_col), r"^[a-z][a-z0-9+.-]*://(?:www\.)?([^/?#]*)", 1), F.regexp_extract(url_col, r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)", 1)
     rows = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"), F.coalesce(host, F.lit("")).alias("_host"), F.coalesce(path, F.lit("")).alias("_path"))
     keys = ["_host", "_path", "page_id", F.xxhash64("html")]
     placed = rows.repartitionByRange(*keys).sortWithinPartitions(*keys).select("page_id", "url", "html")
-    return placed.mapInPandas(_differenced, "page_id long, url string, text string, n_chars long, n_shared long")
+    seen = written(placed.mapInPandas(_differenced, _EDGES), "pages")
+    edges = seen.where("task is not null")
+    tasks = [r.task for r in edges.select("task").distinct().sort("task").collect()]
+    done = seen.where("task is null").select("page_id", "url", "text", "n_chars", "n_shared")
+    if not tasks:
+        return done
+    turn = edges.withColumn("task", F.array_position(F.lit(tasks), F.col("task")).cast("int"))
+    last = turn.where("side in (2, 3)").withColumns({"task": F.col("task") + 1, "place": F.lit(-1), "edge": F.lit(False)})
+    first = turn.where("side in (1, 3)").withColumns({"task": F.col("task") - 1, "place": F.lit(4), "edge": F.lit(False)})
+    return done.unionByName(turn.unionByName(last).unionByName(first).groupBy("task").applyInPandas(_joined, _RESULT))
