@@ -6,12 +6,12 @@ import html as entities
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
-from urllib.parse import urlsplit
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kinestream.llm.common import written
@@ -30,6 +30,9 @@ _CHROME_WORDS = frozenset(
     "cookie cookies consent notice notices banner popup modal newsletter subscribe signup login share social comment comments discussion reply replies disqus related "
     "contentinfo complementary search".split()
 )
+#: Of these, the ones that mark what is written about the article, so that an article inside is none either.
+_ABOUT_WORDS = frozenset("comment comments discussion reply replies disqus related".split())
+_HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: Elements that hold the article.
 _MAIN = frozenset("article main".split())
 #: Elements without content, and elements inside a line.
@@ -39,26 +42,30 @@ _INLINE = frozenset("a abbr b bdi bdo big cite code data del dfn em font i ins k
 
 @dataclass
 class Block:
-    """One line of text: whether it is in an article or main element, and whether in an element or class that is none."""
+    """One line of text: main is 1 in an article or main element, 2 if a class around that element speaks of comments and the
+    like, else 0; chrome tells of an element or a class, inside the article or without one, that holds no main text."""
 
     text: str
-    main: bool
+    main: int
     chrome: bool
 
 
 def blocks(page: str | None) -> list[Block]:
-    """The text lines of a page, in order. White space inside a line is one space; empty lines are left out."""
+    """The text lines of a page, in order. White space inside a line is one space; empty lines are left out.
+
+    A class word may stand for the layout around the article, so an article or main element inside begins anew.
+    """
     page = page or ""
     found: list[Block] = []
-    stack: list[tuple[str, bool, bool]] = []
+    stack: list[tuple[str, int, int]] = []
     line: list[str] = []
-    main = chrome = False
+    main = chrome = 0
 
     def flush() -> None:
         text = _SPACE.sub(" ", entities.unescape("".join(line))).strip()
         line.clear()
         if text:
-            found.append(Block(text, main, chrome))
+            found.append(Block(text, main, chrome > 0))
 
     at = 0
     while m := _MARK.search(page, at):
@@ -77,7 +84,7 @@ def blocks(page: str | None) -> list[Block]:
                 if name in _INLINE and any(x[0] not in _INLINE for x in stack[depth:]):
                     continue
                 del stack[depth:]
-                main, chrome = stack[-1][1:] if stack else (False, False)
+                main, chrome = stack[-1][1:] if stack else (0, 0)
             continue
         if name not in _INLINE:
             flush()
@@ -93,11 +100,18 @@ def blocks(page: str | None) -> list[Block]:
             stop = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] in _HOLDERS), -1)
             if own is not None and own > stop:
                 del stack[own:]
-                main, chrome = stack[-1][1:] if stack else (False, False)
+                main, chrome = stack[-1][1:] if stack else (0, 0)
         attrs = m["attrs"] or ""
         words = {w for found_ in _CLASS.findall(attrs) for w in _PART.findall("".join(found_).lower())} if "=" in attrs else set()
-        marked = name in _CHROME or (name == "header" and not main) or (name not in _MAIN and name != "body" and bool(words & _CHROME_WORDS))
-        main, chrome = main or name in _MAIN, chrome or marked
+        # chrome: 1 and 2 by a class, 3 by an element.
+        if name in _CHROME or (name == "header" and not main):
+            chrome = 3
+        elif name in _MAIN and not main:
+            main, chrome = (2 if chrome == 2 else 1), (3 if chrome == 3 else 0)
+        elif name != "body" and words & _ABOUT_WORDS:
+            chrome = max(chrome, 2)
+        elif name not in _MAIN | _HEADINGS and name != "body" and words & _CHROME_WORDS:
+            chrome = max(chrome, 1)
         stack.append((name, main, chrome))
     line.append(page[at:])
     flush()
@@ -154,28 +168,19 @@ def _lengths(a: list[int], b: np.ndarray) -> np.ndarray:
     return row
 
 
-def main_text(own: list[Block], other: list[Block] | None) -> tuple[str, int]:
-    """The main text of a page, given the page of the nearest URL; and how many lines differencing deleted.
+def main_text(own: list[Block], shared: set[int]) -> str:
+    """The main text of a page, given the lines that it shares with the page of the nearest URL.
 
-    A page with an article or main element is that element's lines. Its lines stay even where the other page has
-    them: two pages of a host may carry the same article. Of a page without one all lines are candidates, and those that the
-    pages share in the same order go. Lines inside menus, footers, adverts and the like go in any case.
+    Lines inside menus, footers, adverts and the like go in any case. A page with an article or main element is that element's
+    lines, which stay even where the other page has them: two pages of a host may carry the same article or passage. Of a page
+    without one the lines that the pages share in the same order go.
     """
-    shared = shared_lines([b.text for b in own], [b.text for b in other]) if other else set()
-    inside = any(b.main and not b.chrome for b in own)
-    kept = [b.text for i, b in enumerate(own) if not b.chrome and (b.main if inside else i not in shared)]
-    if not kept and not inside:  # a copy of the other page: nothing tells its text from its frame
-        kept = [b.text for b in own if not b.chrome]
-    return " ".join(kept), len(shared)
-
-
-def host_and_path(url: str | None) -> tuple[str, str]:
-    """The host without www. and a port, and the path, of a URL in any state."""
-    try:
-        parts = urlsplit(url or "")
-        return (parts.hostname or "").removeprefix("www."), parts.path.rstrip("/")
-    except ValueError:
-        return "", url or ""
+    for main in (1, 2):
+        if inside := [b.text for b in own if b.main == main and not b.chrome]:
+            return " ".join(inside)
+    free = [(i, b.text) for i, b in enumerate(own) if not b.chrome]
+    # A copy of the other page has nothing that tells its text from its frame.
+    return " ".join([x for i, x in free if i not in shared] or [x for _, x in free])
 
 
 def _near(a: str, b: str) -> int:
@@ -184,24 +189,45 @@ def _near(a: str, b: str) -> int:
     return next((i for i in range(n) if a[i] != b[i]), n)
 
 
-def _row(this: tuple, left: tuple | None, right: tuple | None) -> tuple:
-    """The result of a page, given the pages before and after it: the one of the longest common path counts, the one before on a tie."""
-    near = [x for x in (left, right) if x is not None and x[1] == this[1]]
-    other = max(near, key=lambda x: _near(x[2], this[2])) if near else None
-    text, cut = main_text(this[4], other[4] if other else None)
-    return this[0], this[3], text, len(text), cut
+def line_hashes(page: str | None) -> list[int]:
+    """A hash of each line, which is what alignment compares."""
+    return [xxhash.xxh64_intdigest(b.text.encode("utf-8", "surrogatepass")) - (1 << 63) for b in blocks(page)]
+
+
+def _hashed(html: Column) -> Column:
+    @F.pandas_udf("array<long>")
+    def of(pages: pd.Series) -> pd.Series:
+        return pd.Series([line_hashes(p) for p in pages])
+
+    return of(html)
+
+
+def _texts(html: Column, shared: Column) -> Column:
+    @F.pandas_udf("string")
+    def of(pages: pd.Series, lines: pd.Series) -> pd.Series:
+        return pd.Series([main_text(blocks(p), set() if s is None else set(s)) for p, s in zip(pages, lines, strict=True)])
+
+    return of(html, shared)
+
 
+#: A page among its neighbours: mark, host, path and hashes of its lines.
+_Page = tuple[int, str, str, list[int]]
 
-def _page(page_id, url: str | None, page: str | None) -> tuple:
-    return None if pd.isna(page_id) else int(page_id), *host_and_path(url), url, blocks(page), page
+
+def _shared(this: _Page, left: _Page | None, right: _Page | None) -> list[int]:
+    """The lines shared with the nearer of the pages before and after it: the one of the longest common path counts, the one before on a tie."""
+    near = [x for x in (left, right) if x is not None and x[1] == this[1]]
+    if not near:
+        return []
+    other = max(near, key=lambda x: _near(x[2], this[2]))
+    return sorted(shared_lines(this[3], other[3]))
 
 
-_RESULT = "page_id long, url string, text string, n_chars long, n_shared long"
-_EDGES = _RESULT + ", html string, task int, place int, edge boolean, side int"
+_EDGES = "mark long, shared array<int>, host string, path string, lines array<long>, task int, place int, edge boolean, side int"
 
 
 def _differenced(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Pages in the order of host and path: each with its neighbour.
+    """Pages in the order of host and path: what each shares with its neighbour.
 
     The first and the last page of the task have a neighbour in another task. They are handed on as they are with
     the pages next to them: place is their order, edge tells them from these, side is 1 for the first, 2 for the last, 3 for both.
@@ -210,17 +236,16 @@ def _differenced(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     before = here = None
     n = 0
 
-    def raw(this: tuple, place: int, side: int) -> tuple:
-        return this[0], this[3], None, None, None, this[5], task, place, side > 0, side
+    def raw(this: _Page, place: int, side: int) -> tuple:
+        return this[0], None, *this[1:], task, place, side > 0, side
 
     for frame in frames:
         out = []
-        for values in zip(frame["page_id"], frame["url"], frame["html"], strict=True):
-            after = _page(*values)
+        for after in zip(frame["mark"].tolist(), frame["host"], frame["path"], frame["lines"], strict=True):
             if n == 1:
                 out += [raw(here, 0, 1), raw(after, 1, 0)]
             elif n > 1:
-                out.append((*_row(here, before, after), None, None, None, None, None))
+                out.append((here[0], _shared(here, before, after), None, None, None, None, None, None, None))
             before, here, n = here, after, n + 1
         yield _frame(out)
     if n == 1:
@@ -230,40 +255,62 @@ def _differenced(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def _joined(rows: pd.DataFrame) -> pd.DataFrame:
-    """The results of one task's first and last page, given its edge pages and those of the tasks beside it."""
+    """What one task's first and last page share, given its edge pages and those of the tasks beside it."""
     rows = rows.sort_values("place", kind="stable")
-    pages = [_page(*v) for v in zip(rows["page_id"], rows["url"], rows["html"], strict=True)]
+    pages = [*zip(rows["mark"].tolist(), rows["host"], rows["path"], rows["lines"], strict=True)]
     place, edge = rows["place"].tolist(), rows["edge"].tolist()
     # Between places 1 and 2 pages may be missing; neither is an edge.
-    found = [_row(x, pages[i - 1] if i else None, pages[i + 1] if i + 1 < len(pages) else None) for i, x in enumerate(pages) if edge[i] and 0 <= place[i] < 4]
-    return _frame([(*r, None, None, None, None, None) for r in found])[["page_id", "url", "text", "n_chars", "n_shared"]]
+    found = [(x[0], _shared(x, pages[i - 1] if i else None, pages[i + 1] if i + 1 < len(pages) else None)) for i, x in enumerate(pages) if edge[i] and 0 <= place[i] < 4]
+    return pd.DataFrame(found, columns=["mark", "shared"])
 
 
 def _frame(rows: list[tuple]) -> pd.DataFrame:
-    out = pd.DataFrame(rows, columns=["page_id", "url", "text", "n_chars", "n_shared", "html", "task", "place", "edge", "side"])
-    return out.astype({"page_id": "Int64", "n_chars": "Int64", "n_shared": "Int64", "task": "Int32", "place": "Int32", "edge": "boolean", "side": "Int32"})
+    out = pd.DataFrame(rows, columns=["mark", "shared", "host", "path", "lines", "task", "place", "edge", "side"])
+    return out.astype({"task": "Int32", "place": "Int32", "edge": "boolean", "side": "Int32"})
 
 
-def extracted(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """One row for each row of ``pages``: page_id, url, text, n_chars, n_shared.
+def shared_with_nearest(rows: DataFrame) -> DataFrame:
+    """(mark, shared): for each distinct mark the places of the lines that the page of the nearest URL has, too.
 
-    Pages are sorted by host and path over the whole cluster; a host of any size is split over many tasks. Each page is
-    paired with the nearer of its two neighbours of the same host, and aligned with it line by line;
-    n_shared counts the lines that they share. The first and the last page of a task meet the pages of the tasks beside it in
-    a second step, so that the number of tasks changes nothing; between them the results are a table in the shared folder. Null and empty html gives an empty text; a null or broken URL has the empty host. Ids may be
-    null and may repeat; other columns are not read.
+    ``rows``: mark, host, path, html. Only hashes of lines are sorted by host and path over the whole cluster, so a host of any size
+    is split over many tasks. The first and the last page of a task meet the pages of the tasks beside it in a
+    second step, so that the number of tasks changes nothing; between them the small results are a table in the shared folder.
     """
-    host, path = F.regexp_extract(F.lower(url_col), r"^[a-z][a-z0-9+.-]*://(?:www\.)?([^/?#]*)", 1), F.regexp_extract(url_col, r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)", 1)
-    rows = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"), F.coalesce(host, F.lit("")).alias("_host"), F.coalesce(path, F.lit("")).alias("_path"))
-    keys = ["_host", "_path", "page_id", F.xxhash64("html")]
-    placed = rows.repartitionByRange(*keys).sortWithinPartitions(*keys).select("page_id", "url", "html")
+    keys = ["host", "path", "mark"]
+    lines = written(rows.select(*keys, _hashed(F.col("html")).alias("lines")), "page-lines")
+    once = lines.groupBy(*keys).agg(F.first("lines").alias("lines"))
+    placed = once.repartitionByRange(*keys).sortWithinPartitions(*keys)
     seen = written(placed.mapInPandas(_differenced, _EDGES), "pages")
-    edges = seen.where("task is not null")
+    edges, done = seen.where("task is not null"), seen.where("task is null").select("mark", "shared")
     tasks = [r.task for r in edges.select("task").distinct().sort("task").collect()]
-    done = seen.where("task is null").select("page_id", "url", "text", "n_chars", "n_shared")
     if not tasks:
         return done
     turn = edges.withColumn("task", F.array_position(F.lit(tasks), F.col("task")).cast("int"))
     last = turn.where("side in (2, 3)").withColumns({"task": F.col("task") + 1, "place": F.lit(-1), "edge": F.lit(False)})
     first = turn.where("side in (1, 3)").withColumns({"task": F.col("task") - 1, "place": F.lit(4), "edge": F.lit(False)})
-    return done.unionByName(turn.unionByName(last).unionByName(first).groupBy("task").applyInPandas(_joined, _RESULT))
+    return done.unionByName(turn.unionByName(last).unionByName(first).groupBy("task").applyInPandas(_joined, "mark long, shared array<int>"))
+
+
+def host_and_path(url: Column) -> tuple[Column, Column]:
+    """The host in lower case without user, port and www., and the path without its last slash; empty where the URL has none."""
+    host = F.regexp_extract(F.lower(url), r"^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?(?:www\.)?([^/?#:]*)", 1)
+    path = F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*?)/*(?:[?#].*)?$", 1)
+    return F.coalesce(host, F.lit("")), F.coalesce(path, F.lit(""))
+
+
+def extracted(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
+    """One row for each row of ``pages``: page_id, url, text, n_chars, n_shared.
+
+    Each page is paired with the nearer of its two neighbours in the order of host and path, if that is of the same host, and aligned with
+    it line by line; n_shared counts the lines that they share. Null and empty html gives an empty text; a null or broken
+    URL has the empty host. Ids may be null and may repeat; equal rows are one page, which is no neighbour of itself, and get
+    equal results. Other columns are not read.
+    """
+    page = [F.col(id_col).cast("long").alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).alias("html")]
+    rows = pages.select(*page)
+    mark = F.xxhash64(*[x for c in rows.columns for x in (F.col(c), F.col(c).isNull())])
+    host, path = host_and_path(F.col("url"))
+    marked = rows.withColumns({"mark": mark, "host": host, "path": path})
+    done = marked.select("mark", "page_id", "url", "html").join(shared_with_nearest(marked), "mark", "left")
+    text = done.select("page_id", "url", _texts(F.col("html"), F.col("shared")).alias("text"), F.size(F.coalesce("shared", F.array().cast("array<int>"))).cast("long").alias("n_shared"))
+    return text.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"), "n_shared")

@@ -84,12 +84,16 @@ def test_alignment_is_longest():
 
 def test_page_frames_go():
     page = '<html><head><title>T</title><script>if (a<b) x="</p>"</script></head><body><header>Top</header><nav><a href="x">Menu</a></nav><main><h1>A &amp; B</h1><p>One\n <b>two</b><br>three<p>four<aside>side</aside><div class="ad-box">ad</div></main><div id="comments"><p>me too</p></div><form>mail</form><footer>&copy; x</footer>'
-    assert html_text.main_text(html_text.blocks(page), None)[0] == "A & B One two three four"
+    text = lambda p, shared=(): html_text.main_text(html_text.blocks(p), set(shared))
+    assert text(page) == "A & B One two three four"
     plain = "<div>Site menu</div><div>{}</div><div>Imprint</div>"
-    a, b = (html_text.blocks(plain.format(x)) for x in ("first story", "second story"))
-    assert html_text.main_text(a, b) == ("first story", 2)
-    article = html_text.blocks("<article><p>same</p></article>")
-    assert html_text.main_text(article, article)[0] == "same"
+    a, b = ([x.text for x in html_text.blocks(plain.format(x))] for x in ("first story", "second story"))
+    assert html_text.shared_lines(a, b) == {0, 2} and text(plain.format("first story"), {0, 2}) == "first story"
+    assert text(plain.format("x"), {0, 1, 2}) == "Site menu x Imprint"
+    assert text("<article><p>same</p></article>", {0}) == "same"
+    assert text("<div class='layout has-sidebar'><article class='has-comments'><h1 class='post-header'>A</h1><p>b<div class='ads'>c</div></article><div>d</div></div>") == "A b"
+    assert text("<div class='with-comments'><main>a<section id=comments><article>me too</article></section></main></div>") == "a"
+    assert text("<nav><article>a</article></nav><p>b") == "b" and text("<main>a</main><section class=comments><article>b</article></section>") == "a"
     assert html_text.blocks(None) == [] and html_text.blocks("") == []
 
 
