@@ -8,7 +8,7 @@ import json
 import re
 import sys
 import unicodedata
-from functools import lru_cache
+from functools import cached_property, lru_cache
 from itertools import chain
 
 import pandas as pd
@@ -29,18 +29,19 @@ REMEMBERED, REFRESH = 300_000, 3_000_000
 
 
 @lru_cache(1)
-def _classes() -> tuple[str, str]:
-    """The characters of Unicode's categories L and N as the inside of a character class."""
-    spans: dict[str, list[list[int]]] = {"L": [], "N": []}
+def classes() -> dict[str, str]:
+    """The characters of Unicode's categories L and N, and those that Python's tables lack, as the inside of a character class."""
+    spans: dict[str, list[list[int]]] = {"L": [], "N": [], "Cn": []}
     for code in range(sys.maxunicode + 1):
-        if own := spans.get(unicodedata.category(chr(code))[0]):
-            if own[-1][1] == code - 1:
-                own[-1][1] = code
-                continue
+        category = unicodedata.category(chr(code))
+        own = spans.get(category if category == "Cn" else category[0])
+        if own is None:
+            continue
+        if own and own[-1][1] == code - 1:
+            own[-1][1] = code
+        else:
             own.append([code, code])
-        elif (kind := unicodedata.category(chr(code))[0]) in spans:
-            spans[kind].append([code, code])
-    return tuple("".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in spans[k]) for k in "LN")
+    return {kind: "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in own) for kind, own in spans.items()}
 
 
 def _byte_letters() -> list[str]:
@@ -54,7 +55,8 @@ class WordBPE:
     """A BPE with word-end marks, as a tokenizers JSON file of that kind states it.
 
     Texts are composed (NFC) and put in lower case; white space only separates. Strings of special tokens
-    inside a text are these tokens, as they are by the library's default.
+    inside a text are these tokens, as they are by the library's default. Merging is done here alone; of characters that Python's
+    Unicode tables lack the library says class, case and composition.
     """
 
     def __init__(self, path: str):
@@ -75,8 +77,10 @@ class WordBPE:
         letters = _byte_letters()
         self.inner = [vocab[c] for c in letters]
         self.last = [vocab[c + end] for c in letters]
-        letter, number = _classes()
+        letter, number = classes()["L"], classes()["N"]
         self.piece = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{letter}]+|[{number}]|[^{SPACES}{letter}{number}]+")
+        self.newer = re.compile(f"[{classes()['Cn']}]")
+        self.path = path
         self.splitter = re.compile("(" + "|".join(map(re.escape, self.special)) + ")")
         self.known: dict[str, tuple[int, ...]] = {}
         self.passed = 0
@@ -134,6 +138,23 @@ class WordBPE:
                 self.passed = 0
         return ids
 
+    @cached_property
+    def _tables(self) -> tuple:
+        """The library's normalizer and pre-tokenizer, whose Unicode tables are newer than Python's. Loaded where a text needs them."""
+        from tokenizers import Tokenizer
+
+        library = Tokenizer.from_file(self.path)
+        return library.normalizer, library.pre_tokenizer
+
+    def words(self, part: str) -> list[str]:
+        """The pre-tokens of a run without white space and special tokens."""
+        if self.newer.search(part):
+            normalizer, splitter = self._tables
+            plain = normalizer.normalize_str(part)
+            return [plain[a:b] for _, (a, b) in splitter.pre_tokenize_str(plain)]
+        # Lower case letter by letter: no final sigma.
+        return self.piece.findall(unicodedata.normalize("NFC", part).replace("Σ", "σ").lower())
+
     def segment(self, segment: str) -> tuple[int, ...]:
         """The ids of a run without white space. A pre-token is remembered as the run that it would be by itself."""
         known, new = self.known.get, self._word
@@ -148,9 +169,7 @@ class WordBPE:
                 if part in self.special:
                     ids.append(self.special[part])
                 elif part:
-                    # Lower case letter by letter: no final sigma.
-                    plain = unicodedata.normalize("NFC", part).replace("Σ", "σ").lower()
-                    for word in self.piece.findall(plain):
+                    for word in self.words(part):
                         ids += known(word) or new(word)
             found = tuple(ids)
         return self._keep(segment, found)

@@ -4,23 +4,33 @@ from __future__ import annotations
 
 import re
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
+
+from kinestream.llm.bpe import classes
 
 #: Bytes of a window. Windows follow each other without a gap; the last is padded with zero bytes.
 WINDOW = 256
 WIDTHS = (2, 3, 4)
 FILTERS, EMBED = 8, 8
-#: Training rows of each language at most (in expectation), and windows of each row.
+#: Training rows of each language at most, and windows of each row.
 TRAIN_EACH, TRAIN_WINDOWS = 300, 4
 #: The most frequent languages are learned, so many at most.
 LANGUAGES = 1000
 #: Windows that go through the network at a time.
 BATCH = 128
-_LETTER = re.compile(r"[^\W\d_]")
+
+
+@lru_cache(1)
+def _letter() -> re.Pattern:
+    """A character of Unicode's category L."""
+    return re.compile(f"[{classes()['L']}]")
+
 
 
 @dataclass(frozen=True)
@@ -127,22 +137,25 @@ def cut(raw: bytes) -> np.ndarray:
     return np.frombuffer(raw.ljust(n * WINDOW, b"\0"), dtype=np.uint8).reshape(n, WINDOW)
 
 
-def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", each: int = TRAIN_EACH) -> ByteCnn:
+def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", each: int = TRAIN_EACH, most_languages: int = LANGUAGES) -> ByteCnn:
     """Fit on rows with a language and a letter whose crc32(id) mod 3 is not 1.
 
-    The sample is bounded: of each language about ``each`` rows, chosen by a hash of the id, and TRAIN_WINDOWS stretches
-    of WINDOW characters of each, spread over the whole text. Languages are counted over all rows.
+    The sample is bounded: of each of the ``most_languages`` most frequent languages at most ``each`` rows, those of the least hash of id
+    and text, and TRAIN_WINDOWS stretches of WINDOW characters of each, spread over the whole text. Equal rows count once. Languages
+    are counted over all rows; a share of the hashes that holds some more than ``each`` rows is ranked, so no task ranks a whole language.
     """
     open_rows = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & (F.coalesce(F.crc32(F.col(id_col).cast("string")) % 3, F.lit(0)) != 1)).select(
-        F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), F.pmod(F.xxhash64(F.col(id_col)), F.lit(1 << 30)).alias("h")
+        F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), F.pmod(F.xxhash64(F.col(id_col), F.col(text_col)), F.lit(1 << 30)).alias("h")
     )
-    sizes = open_rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES)
-    share = sizes.select("lang", (F.lit(float(each)) / F.col("n") * (1 << 30)).cast("long").alias("most"))
+    sizes = open_rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(most_languages)
+    share = sizes.select("lang", (F.lit(1.5 * each) / F.col("n") * (1 << 30)).cast("long").alias("most"))
+    near = open_rows.join(F.broadcast(share), "lang").where("h < most").groupBy("lang", "h").agg(F.min("text").alias("text"))
+    open_rows = near.withColumn("place", F.row_number().over(Window.partitionBy("lang").orderBy("h"))).where(F.col("place") <= each)
     length = F.length("text")
     starts = [F.greatest(F.lit(0), ((length - WINDOW) * (i / max(1, TRAIN_WINDOWS - 1))).cast("int")) + 1 for i in range(TRAIN_WINDOWS)]
     stretches = F.array_distinct(F.array(*[F.substring(F.col("text"), s, F.lit(WINDOW)) for s in starts]))
-    rows = open_rows.join(F.broadcast(share), "lang").where("h < most").select("lang", F.explode(stretches).alias("part")).collect()
-    rows = sorted({(r.lang, r.part) for r in rows if _LETTER.search(r.part)})
+    rows = open_rows.select("lang", F.explode(stretches).alias("part")).collect()
+    rows = sorted({(r.lang, r.part) for r in rows if _letter().search(r.part)})
     languages = sorted({lang for lang, _ in rows})
     if len(languages) < 2:
         return ByteCnn(languages, *[None] * 5)
@@ -163,7 +176,7 @@ def predict(docs: DataFrame, model: ByteCnn, id_col: str = "doc_id", text_col: s
     @F.pandas_udf("lang_pred string, score double")
     def of(texts: pd.Series) -> pd.DataFrame:
         out = [("und", 0.0)] * len(texts)
-        real = [i for i, t in enumerate(texts) if t is not None and model.languages and _LETTER.search(t)]
+        real = [i for i, t in enumerate(texts) if t is not None and model.languages and _letter().search(t)]
         if len(model.languages) == 1:
             for i in real:
                 out[i] = (model.languages[0], 1.0)

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import hashlib
-import re
 from functools import lru_cache
 
 import pandas as pd
@@ -30,7 +29,6 @@ BASE = ("assign", "access", "hex")
 _KINDS = list(RULES)
 #: The value that an assignment must have: so many characters.
 _VALUE = 8
-_HEAD = re.compile(RULES["assign"][0])
 
 
 @lru_cache(1)
@@ -48,12 +46,10 @@ def secret_spans(text: str | None) -> list[tuple[str, int, int]]:
     text = text or ""
     raw = text.encode()
     found = []
-    for start, end, rule in scanner().spans(raw):
+    for start, end, rule, first in scanner().spans(raw):
         kind = _KINDS[rule]
-        if kind == "assign":
-            part = raw[start:end].decode()
-            if len(part) - _HEAD.match(part).end() < _VALUE:
-                continue
+        if kind == "assign" and end - first < _VALUE:
+            continue
         if end - start >= LEAST.get(kind, 0):
             found.append((start, end, kind))
     if len(raw) != len(text):
