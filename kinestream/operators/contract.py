@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
+
+from kinestream.operators.temporal import BUCKET, running_extreme
 
 
 class ContractError(ValueError):
@@ -18,9 +19,9 @@ def enforce(failures: DataFrame, rule: str, shown: int = 5) -> None:
         raise ContractError(f"{rule}: {[r.asDict() for r in found]}")
 
 
-def _steps(df: DataFrame, stream: list[str], order: str) -> DataFrame:
-    w = Window.partitionBy(*stream).orderBy(order)
-    return df.select(*stream, order, (F.col(order) - F.lag(order).over(w)).alias("step"))
+def _steps(df: DataFrame, stream: list[str], order: str, bucket: int) -> DataFrame:
+    before = running_extreme(df.select(*stream, order), stream, [F.col(order)], order, F.col(order), "before", exclude_current=True, bucket=bucket)
+    return before.select(*stream, order, (F.col(order) - F.col("before")).alias("step"))
 
 
 def sequence_verdict(df: DataFrame, stream: list[str], order: str) -> DataFrame:
@@ -33,10 +34,10 @@ def sequence_verdict(df: DataFrame, stream: list[str], order: str) -> DataFrame:
     return a.select(*stream, "rows", "first", "last", unique.alias("increasing"), (unique & (F.col("last") - F.col("first") + 1 == F.col("rows"))).alias("contiguous"), (unique & (F.col("first") == 0) & (F.col("last") + 1 == F.col("rows"))).alias("from_zero"))
 
 
-def cadence(df: DataFrame, stream: list[str], order: str, step: float, tolerance: float) -> DataFrame:
-    """Per stream the number of steps and of those off ``step`` by more than ``tolerance``, and whether all hold."""
+def cadence(df: DataFrame, stream: list[str], order: str, step: float, tolerance: float, bucket: int = BUCKET) -> DataFrame:
+    """Per stream the number of steps and of those off ``step`` by more than ``tolerance``, and whether all hold. Rows without a time have no step."""
     off = F.abs(F.col("step") - step) > tolerance
-    a = _steps(df, stream, order).groupBy(*stream).agg(F.count("step").alias("steps"), F.count_if(off).alias("off"))
+    a = _steps(df, stream, order, bucket).groupBy(*stream).agg(F.count("step").alias("steps"), F.count_if(off).alias("off"))
     return a.withColumn("holds", F.col("off") == 0)
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kinestream.operators import stats
+from kinestream.operators.temporal import joined
 from kinestream.shared import written
 
 _AXES = "xyz"
@@ -65,8 +66,8 @@ def similarity(pairs: DataFrame, keys: list[str], frame: str = "frame", min_fram
     stay = known.join(kept, [*keys, frame])
     final = _solve(_moments(stay, keys), keys)
     measured = stay.join(final.select(*keys, "scale", "rotation"), keys).withColumn("r", residual())
-    quality = measured.groupBy(*keys).agg(F.countDistinct(frame).alias("frames"), F.median("r").alias("residual_median"), F.percentile("r", 0.95).alias("residual_p95"))
-    return final.join(quality, keys)
+    quality = stats.split_percentiles(measured, keys, "r", {"residual_median": 0.5, "residual_p95": 0.95})
+    return joined(joined(final, kept.groupBy(*keys).agg(F.countDistinct(frame).alias("frames")), keys), quality, keys)
 
 
 def frame_alignment(pairs: DataFrame, keys: list[str]) -> DataFrame:
@@ -78,7 +79,8 @@ def plane(points: DataFrame, keys: list[str], threshold: float, trials: int = 20
     """A plane n . p = d per group by random triples and a refit to the inliers: nx, ny, nz, d, inliers, points.
 
     Triples are drawn from a sample of ``sample`` points of the group (those of least hash); the refit and the count of
-    inliers are aggregates over all points, so a group may be of any size. points: keys, x, y, z.
+    inliers are aggregates over all points, so a group may be of any size. points: keys, x, y, z. A group whose points fix no plane
+    has a row with nulls and no inliers; points without all coordinates count as points only.
     """
     schema = ", ".join(f"{k} {t}" for k, t in points.select(*keys).dtypes) + ", nx double, ny double, nz double, d double"
 
@@ -96,11 +98,13 @@ def plane(points: DataFrame, keys: list[str], threshold: float, trials: int = 20
                     best = (inside, (*n, a @ n))
         return pd.DataFrame([(*frame.iloc[0][keys], *best[1])] if best[1] is not None else [], columns=[*keys, "nx", "ny", "nz", "d"])
 
+    known = points.where(F.col("x").isNotNull() & F.col("y").isNotNull() & F.col("z").isNotNull())
+
     size = points.groupBy(*keys).agg(F.count("*").alias("_n"))
-    thin = points.join(size, keys).where(F.pmod(F.xxhash64("x", "y", "z"), F.col("_n")) < sample).drop("_n")
+    thin = known.join(size, keys).where(F.pmod(F.xxhash64("x", "y", "z"), F.col("_n")) < sample).drop("_n")
     rough = thin.groupBy(*keys).applyInPandas(draw, schema)
     off = F.abs(F.col("x") * F.col("nx") + F.col("y") * F.col("ny") + F.col("z") * F.col("nz") - F.col("d"))
-    inside = points.join(rough, keys).where(off <= threshold)
+    inside = known.join(rough, keys).where(off <= threshold)
     names = [f"{a}{b}" for a in _AXES for b in _AXES if a <= b]
     sums = inside.groupBy(*keys).agg(*[F.avg(a).alias(f"m{a}") for a in _AXES], *[F.covar_pop(n[0], n[1]).alias(n) for n in names], F.count("*").alias("inliers"), F.first("nx").alias("gx"), F.first("ny").alias("gy"), F.first("nz").alias("gz"))
 
@@ -115,7 +119,8 @@ def plane(points: DataFrame, keys: list[str], threshold: float, trials: int = 20
         return pd.DataFrame(out, columns=["nx", "ny", "nz", "d"])
 
     fields = [*names, "mx", "my", "mz", "gx", "gy", "gz"]
-    return sums.select(*keys, "inliers", refit(F.struct(*fields)).alias("p")).join(size, keys).select(*keys, "p.*", "inliers", F.col("_n").alias("points"))
+    fitted = sums.select(*keys, "inliers", refit(F.struct(*fields)).alias("p")).select(*keys, "p.*", "inliers")
+    return joined(size, fitted, keys).select(*keys, "nx", "ny", "nz", "d", F.coalesce("inliers", F.lit(0)).alias("inliers"), F.col("_n").alias("points"))
 
 
 def robust_line(df: DataFrame, keys: list[str], x: str, y: str, least: float = 2.5, rounds: int = 10) -> DataFrame:
@@ -135,7 +140,7 @@ def robust_line(df: DataFrame, keys: list[str], x: str, y: str, least: float = 2
         if k == rounds - 1:
             return line
         off = rows.join(line, keys).withColumn("r", F.col("y") - F.col("slope") * F.col("x") - F.col("intercept"))
-        mid = written(off.groupBy(*keys).agg(F.median("r").alias("mid")), "mid")
-        mad = off.join(mid, keys).groupBy(*keys).agg(F.median(F.abs(F.col("r") - F.col("mid"))).alias("mad"))
+        mid = written(stats.split_percentiles(off, keys, "r", {"mid": 0.5}), "mid")
+        mad = stats.split_percentiles(off.join(mid, keys).withColumn("d", F.abs(F.col("r") - F.col("mid"))), keys, "d", {"mad": 0.5})
         state = written(line.join(mid, keys).join(mad, keys).select(*keys, "slope", "intercept", "mid", "mad"), "fit")
     return line

@@ -7,12 +7,13 @@ on blocks of a stream, so a long stream is many tasks.
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from kinestream.operators.temporal import running_extreme, running_total
+from kinestream.operators.temporal import joined, running_extreme, running_total
 
 
 def gaussian_weights(sigma: float = 1.8, radius: int = 4) -> list[float]:
@@ -34,12 +35,12 @@ def _edge(at: Column, last: Column, edge: str) -> Column:
 def filtered(df: DataFrame, weights: list[float], edge: str = "reflect", stream: str = "stream", index: str = "i", value: str = "value", name: str = "smooth", block: int = 4096) -> DataFrame:
     """``df`` with the weighted sum of the 2r + 1 samples around each, by ``edge`` ('reflect' or 'edge') at the ends.
 
-    A stream of r samples or fewer has no filter and gets null. Each block of indices is one group: it takes the r samples
+    A stream of r samples or fewer, or whose indices do not count from 0 without holes and repeats, has no filter and gets null; no row is lost. Each block of indices is one group: it takes the r samples
     on both sides as copies, so no stream is one task, and the taps are ``lag`` and ``lead`` within the block.
     """
     r = len(weights) // 2
-    last = df.groupBy(stream).agg(F.max(index).alias("_last"))
-    own = df.join(last, stream)
+    last = df.groupBy(stream).agg(F.max(index).alias("_last"), F.min(index).alias("_least"), F.count("*").alias("_n")).where(f"_least = 0 and _last + 1 = _n and _n > {r}")
+    own = joined(df, last.drop("_least", "_n"), [stream]).where("_last is not null")
     # Copies: a sample serves its block, the neighbouring blocks within r, and the mirrored places past the ends.
     places = [F.col(index)]
     for i in range(1, r + 1):
@@ -51,10 +52,13 @@ def filtered(df: DataFrame, weights: list[float], edge: str = "reflect", stream:
     blocks = F.sequence(*[F.floor((F.col("_at") + d) / block) for d in (-r, r)])
     spread = placed.select("*", F.explode(blocks).alias("_block"))
     w = Window.partitionBy(stream, "_block").orderBy("_at")
-    taps = sum((F.lag("_v", -k).over(w) * F.lit(c) for k, c in zip(range(-r, r + 1), weights, strict=True)), F.lit(0.0))
-    made = spread.withColumn("_s", taps).where((F.floor(F.col("_at") / block) == F.col("_block")) & F.col("_at").between(0, F.col("_last")))
-    out = made.select(stream, F.col("_at").alias(index), F.when(F.col("_last") + 1 > r, F.col("_s")).alias(name))
-    return df.join(out, [stream, index])
+    seen = spread.select("*", *[F.lag(F.struct("_at", "_v"), -k).over(w).alias(f"_s{k + r}") for k in range(-r, r + 1)])
+    taps = sum((F.col(f"_s{i}._v") * F.lit(c) for i, c in enumerate(weights)), F.lit(0.0))
+    # A hole beside a repeated index would pass for none by the counts above.
+    whole = reduce(lambda x, y: x & y, [F.col(f"_s{i}._at") == F.col("_at") + (i - r) for i in range(2 * r + 1)])
+    made = seen.where((F.floor(F.col("_at") / block) == F.col("_block")) & F.col("_at").between(0, F.col("_last")) & whole)
+    out = made.select(stream, F.col("_at").alias(index), taps.alias(name))
+    return joined(df, out, [stream, index])
 
 
 def centered_mean(df: DataFrame, width: int = 7, **columns: str) -> DataFrame:
@@ -65,14 +69,15 @@ def centered_mean(df: DataFrame, width: int = 7, **columns: str) -> DataFrame:
 def neighbours(df: DataFrame, column: str, offsets: list[int], stream: str = "stream", index: str = "i", block: int = 4096) -> DataFrame:
     """``df`` with ``{column}_{offset}`` for each offset: the value so many samples on (or back), null beyond the ends.
 
-    Each block of indices is one group that takes the samples beside it as copies, so a long stream is many tasks.
+    Each block of indices is one group that takes the samples beside it as copies, so a long stream is many tasks. A row without an
+    index stays and has no neighbours.
     """
     reach = max(map(abs, offsets))
     blocks = F.sequence(*[F.floor((F.col(index) + d) / block) for d in (-reach, reach)])
-    spread = df.select("*", F.explode(blocks).alias("_block"))
+    spread = df.select("*", F.explode_outer(blocks).alias("_block"))
     w = Window.partitionBy(stream, "_block").orderBy(index)
-    out = spread.select(*df.columns, "_block", *[F.lead(column, k).over(w).alias(f"{column}_{k}") for k in offsets])
-    return out.where(F.floor(F.col(index) / block) == F.col("_block")).drop("_block")
+    out = spread.select(*df.columns, "_block", *[F.when(F.col(index).isNotNull(), F.lead(column, k).over(w)).alias(f"{column}_{k}") for k in offsets])
+    return out.where(F.floor(F.col(index) / block).eqNullSafe(F.col("_block"))).drop("_block")
 
 
 def third_difference(df: DataFrame, value: str = "value", name: str = "jerk", **where: str) -> DataFrame:

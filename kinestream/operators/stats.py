@@ -2,22 +2,55 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from kinestream.operators.temporal import joined
+from kinestream.shared import written
+
 
 def finite(x: Column) -> Column:
     """Null for what isn't finite: percentile and max would take NaN as the largest value."""
     return F.when(~F.isnan(x) & (F.abs(x) < float("inf")), x)
 
 
+def split_percentiles(df: DataFrame, keys: list[str], value: str, quantiles: dict[str, float]) -> DataFrame:
+    """keys and a column for each quantile of ``value``, exact and linear between ranks, for groups of any size.
+
+    Spark's ``percentile`` holds all distinct values of a group in one task. Here equal values are counted first, the counts are sorted over
+    the whole cluster, and only the parts of the order that hold a wanted rank are looked through. Null keys are one group; values that are
+    null or not finite don't count, and a group without others has no row.
+    """
+    names = [f"_k{i}" for i in range(len(keys))]
+    known = df.select(*[F.col(k).alias(n) for k, n in zip(keys, names, strict=True)], finite(F.col(value).cast("double")).alias("_v")).where("_v is not null")
+    counts = known.groupBy(*names, "_v").agg(F.count("*").alias("_n"))
+    order = written(counts.repartitionByRange(*names, "_v").withColumn("_part", F.spark_partition_id()), "counts")
+    by_key = Window.partitionBy(*names) if names else Window.partitionBy(F.lit(0))
+    parts = order.groupBy(*names, "_part").agg(F.sum("_n").alias("_size"))
+    before = F.sum("_size").over(by_key.orderBy("_part").rowsBetween(Window.unboundedPreceding, 0)) - F.col("_size")
+    parts = parts.select(*names, "_part", "_size", before.alias("_start"), F.sum("_size").over(by_key).alias("_all"))
+    places = {n: (F.col("_all") - 1) * F.lit(float(q)) for n, q in quantiles.items()}
+    ranks = [f(p).cast("long") for p in places.values() for f in (F.floor, F.ceil)]
+    holds = reduce(lambda a, b: a | b, [(r >= F.col("_start")) & (r < F.col("_start") + F.col("_size")) for r in ranks])
+    near = joined(order, parts.where(holds).drop("_size"), [*names, "_part"]).where("_start is not null")
+    upto = F.col("_start") + F.sum("_n").over(Window.partitionBy(*names, "_part").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0))
+    placed = near.withColumn("_upto", upto)
+    at = lambda r: F.max(F.when((r >= F.col("_upto") - F.col("_n")) & (r < F.col("_upto")), F.col("_v")))
+    low_high = [(at(F.floor(p).cast("long")).alias(f"{n}_low"), at(F.ceil(p).cast("long")).alias(f"{n}_high")) for n, p in places.items()]
+    found = placed.groupBy(*names, "_all").agg(*[c for pair in low_high for c in pair])
+    between = [(F.col(f"{n}_low") + (F.col(f"{n}_high") - F.col(f"{n}_low")) * (p - F.floor(p))).alias(n) for n, p in places.items()]
+    return found.select(*[F.col(n).alias(k) for k, n in zip(keys, names, strict=True)], *between)
+
+
 def distribution(df: DataFrame, keys: list[str], value: str, quantiles: dict[str, float], extra: tuple[str, ...] = ()) -> DataFrame:
     """count, mean, quantiles (linear between ranks), and of ``extra``: min, max, rmse; a group without values has count 0 and nulls."""
     x = finite(F.col(value))
-    made = {"count": F.count(x), "mean": F.avg(x)} | {n: F.percentile(x, q) for n, q in quantiles.items()}
+    made = {"count": F.count(x), "mean": F.avg(x)}
     made |= {n: f for n, f in {"min": F.min(x), "max": F.max(x), "rmse": F.sqrt(F.avg(x * x))}.items() if n in extra}
-    return df.groupBy(*keys).agg(*[c.alias(n) for n, c in made.items()])
+    return joined(df.groupBy(*keys).agg(*[c.alias(n) for n, c in made.items()]), split_percentiles(df, keys, value, quantiles), keys)
 
 
 def threshold_fractions(df: DataFrame, keys: list[str], residual: str, in_frame: str, bounds: tuple[float, ...]) -> DataFrame:
@@ -32,16 +65,16 @@ def threshold_fractions(df: DataFrame, keys: list[str], residual: str, in_frame:
 def mad_trimmed(df: DataFrame, keys: list[str], value: str, least: float = 3.0, min_rows: int = 10, half: bool = True) -> DataFrame:
     """Rows with ``kept``: value <= median + max(3 * 1.4826 * MAD, ``least``).
 
-    A group keeps all rows if fewer than ``min_rows`` (and, with ``half``, fewer than half of them) would stay. Two
-    aggregates and no collected group: medians are joined back by key.
+    A group keeps all rows if fewer than ``min_rows`` (and, with ``half``, fewer than half of them) would stay. No group is
+    collected: medians, which few numbers a group are, are joined back by key. Null keys are one group; a null value is not within.
     """
-    medians = df.groupBy(*keys).agg(F.median(value).alias("_median"), F.count("*").alias("_n"))
-    near = df.join(medians, keys)
-    mads = near.groupBy(*keys).agg(F.median(F.abs(F.col(value) - F.col("_median"))).alias("_mad"))
-    marked = near.join(mads, keys).withColumn("threshold", F.col("_median") + F.greatest(F.lit(3 * 1.4826) * F.col("_mad"), F.lit(least)))
-    stay = marked.groupBy(*keys).agg(F.count_if(F.col(value) <= F.col("threshold")).alias("_stay"))
+    median = lambda rows, x, name: split_percentiles(rows, keys, x, {name: 0.5})
+    near = joined(df, median(df, value, "_median"), keys).withColumn("_off", F.abs(F.col(value) - F.col("_median")))
+    mads = median(near, "_off", "_mad")
+    marked = joined(near, mads, keys).withColumn("threshold", F.col("_median") + F.greatest(F.lit(3 * 1.4826) * F.col("_mad"), F.lit(least)))
+    stay = marked.groupBy(*keys).agg(F.count_if(F.col(value) <= F.col("threshold")).alias("_stay"), F.count("*").alias("_n"))
     enough = F.greatest(F.lit(min_rows), F.floor(F.col("_n") / 2)) if half else F.lit(min_rows)
-    refit = marked.join(stay, keys).withColumn("refined", F.col("_stay") >= enough)
+    refit = joined(marked, stay, keys).withColumn("refined", F.col("_stay") >= enough)
     return refit.withColumn("kept", ~F.col("refined") | (F.col(value) <= F.col("threshold"))).select(*df.columns, "threshold", "refined", "kept")
 
 

@@ -3,10 +3,14 @@
 All of them put both sides in one table (``kind`` 0: packets, 1: queries) and read running extremes. A stream is
 split into time buckets, so that a stream with a third of all rows is many tasks: within a bucket a window
 runs over its rows, and what earlier buckets hand over is one value each, of which a stream has few.
+
+No row is lost: rows without a stream are one stream, and a row without a time stays, but gives nothing and gets null.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -16,30 +20,40 @@ US = 1_000_000
 BUCKET = 86_400 * US
 
 
+def joined(rows: DataFrame, table: DataFrame, keys: list[str]) -> DataFrame:
+    """``rows`` with the other columns of ``table``, which has each key once: a left join in which null keys are equal."""
+    named = table.select(*[F.col(k).alias(f"_key_{i}") for i, k in enumerate(keys)], *[c for c in table.columns if c not in keys])
+    same = [F.col(k).eqNullSafe(F.col(f"_key_{i}")) for i, k in enumerate(keys)]
+    return rows.join(named, reduce(lambda x, y: x & y, same), "left").drop(*[f"_key_{i}" for i in range(len(keys))])
+
+
 def running_extreme(df: DataFrame, stream: list[str], order: list[Column], time: str, value: Column, name: str, *, back: bool = False, exclude_current: bool = False, bucket: int = BUCKET) -> DataFrame:
     """``df`` with ``name``: the greatest ``value`` over the row's stream up to the row in ``order``; back: the least one.
 
-    ``order`` begins with ``time`` (a long), descending if back. Null values are passed over. It's exact for any bucket.
+    ``order`` begins with ``time`` (a long), descending if back. Null values are passed over. It's exact for any bucket, which should
+    hold some 100,000 rows of the densest stream at most.
     """
     best, merge = (F.min, F.least) if back else (F.max, F.greatest)
-    marked = df.withColumn("_bucket", F.floor(F.col(time) / bucket)).withColumn("_value", value)
+    timed = F.col(time).isNotNull()
+    marked = df.withColumn("_bucket", F.floor(F.col(time) / bucket)).withColumn("_value", F.when(timed, value))
     keys = [*stream, "_bucket"]
     local = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1 if exclude_current else 0)
     before = Window.partitionBy(*stream).orderBy(F.col("_bucket").desc() if back else F.col("_bucket")).rowsBetween(Window.unboundedPreceding, -1)
     carried = marked.groupBy(*keys).agg(best("_value").alias("_total")).select(*keys, best("_total").over(before).alias("_carry"))
     rows = marked.withColumn("_local", best("_value").over(local))
-    return rows.join(carried, keys).withColumn(name, merge("_local", "_carry")).select(*df.columns, name)
+    return joined(rows, carried, keys).withColumn(name, F.when(timed, merge("_local", "_carry"))).select(*df.columns, name)
 
 
 def running_total(df: DataFrame, stream: list[str], order: list[Column], time: str, value: Column, name: str, bucket: int = BUCKET) -> DataFrame:
     """``df`` with ``name``: the sum of ``value`` over the row's stream up to the row in ``order``, by buckets as above."""
-    marked = df.withColumn("_bucket", F.floor(F.col(time) / bucket)).withColumn("_value", value)
+    timed = F.col(time).isNotNull()
+    marked = df.withColumn("_bucket", F.floor(F.col(time) / bucket)).withColumn("_value", F.when(timed, value))
     keys = [*stream, "_bucket"]
     local = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     before = Window.partitionBy(*stream).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     carried = marked.groupBy(*keys).agg(F.sum("_value").alias("_total")).select(*keys, F.sum("_total").over(before).alias("_carry"))
-    rows = marked.withColumn("_local", F.sum("_value").over(local)).join(carried, keys)
-    total = F.when(F.col("_local").isNotNull() | F.col("_carry").isNotNull(), F.coalesce("_local", F.lit(0)) + F.coalesce("_carry", F.lit(0)))
+    rows = joined(marked.withColumn("_local", F.sum("_value").over(local)), carried, keys)
+    total = F.when(timed & (F.col("_local").isNotNull() | F.col("_carry").isNotNull()), F.coalesce("_local", F.lit(0)) + F.coalesce("_carry", F.lit(0)))
     return rows.withColumn(name, total).select(*df.columns, name)
 
 
@@ -121,7 +135,7 @@ def clock_mapped(brackets: DataFrame, ends: DataFrame, snap: int, stream: str =
     A time that lies up to ``snap`` outside the first or last anchor takes that anchor's value; others outside are null.
     ``ends``: stream, first_t, first_value, last_t, last_value.
     """
-    rows = interpolated(brackets, 1 << 62, stream).join(F.broadcast(ends), stream, "left")
+    rows = joined(interpolated(brackets, 1 << 62, stream), ends, [stream])
     early = F.col("t").between(F.col("first_t") - snap, F.col("first_t"))
     late = F.col("t").between(F.col("last_t"), F.col("last_t") + snap)
     mapped = F.when(F.col("valid"), F.col("value")).when(early, F.col("first_value")).when(late, F.col("last_value"))

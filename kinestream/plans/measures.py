@@ -84,10 +84,12 @@ def mad_trim(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SELECT l_returnflag, l_linestatus, count(*) AS n, round(avg(l_quantity), 6) AS mean, round(quantile_cont(l_quantity, 0.5), 6) AS median FROM lineitem GROUP BY GROUPING SETS ((l_returnflag), (l_returnflag, l_linestatus))"""
 )
 def error_grains(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One measure at two grains in one pass."""
+    """One measure at two grains in one pass: a row counts for its group and for the group of all its states."""
     d = _read(spark, sf_dir, "lineitem")
-    a = d.groupingSets([[d.l_returnflag], [d.l_returnflag, d.l_linestatus]], d.l_returnflag, d.l_linestatus)
-    return a.agg(F.count("*").alias("n"), F.round(F.avg("l_quantity"), 6).alias("mean"), F.round(F.median("l_quantity"), 6).alias("median"))
+    grains = F.explode(F.array(F.lit(None).cast("string"), F.col("l_linestatus")))
+    rows = d.select("l_returnflag", "l_quantity", grains.alias("l_linestatus"))
+    a = stats.distribution(rows, ["l_returnflag", "l_linestatus"], "l_quantity", {"median": 0.5})
+    return _rounded(a.withColumnRenamed("count", "n"), ["l_returnflag", "l_linestatus", "n"], ["mean", "median"])
 
 
 @query(
@@ -97,7 +99,8 @@ SELECT l_returnflag, count(*) AS frames, round(avg(per_order), 6) AS mean, round
 def two_level_median(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Medians of medians: within an order, then over orders."""
     f = _read(spark, sf_dir, "lineitem").groupBy("l_orderkey", "l_returnflag").agg(F.median(_X).alias("m"))
-    return f.groupBy("l_returnflag").agg(F.count("*").alias("frames"), F.round(F.avg("m"), 6).alias("mean"), F.round(F.median("m"), 6).alias("median"))
+    d = stats.distribution(f, ["l_returnflag"], "m", {"median": 0.5})
+    return _rounded(d.withColumnRenamed("count", "frames"), ["l_returnflag", "frames"], ["mean", "median"])
 
 
 @query(
@@ -105,9 +108,10 @@ def two_level_median(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT d::VARCHAR AS day, off, med FROM c QUALIFY row_number() OVER (PARTITION BY d ORDER BY med, abs(off), off) = 1"""
 )
 def candidate_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per day the offset of least median error, the nearest to zero of equals: each row is tried with five offsets."""
-    rows = _read(spark, sf_dir, "lineitem").select(F.to_date("l_shipdate").cast("string").alias("day"), "l_quantity", F.explode(F.array(*[F.lit(o) for o in (-8, -4, 0, 4, 8)])).alias("off"))
-    c = rows.groupBy("day", "off").agg(F.round(F.median(F.abs(F.col("l_quantity") - 25 - F.col("off"))), 6).alias("med"))
+    """Per day the offset of least median error, the nearest to zero of equals. Equal quantities are counted before the five offsets are tried."""
+    days = _read(spark, sf_dir, "lineitem").groupBy(F.to_date("l_shipdate").cast("string").alias("day"), "l_quantity").agg(F.count("*").alias("n"))
+    rows = days.select("day", "l_quantity", "n", F.explode(F.array(*[F.lit(o) for o in (-8, -4, 0, 4, 8)])).alias("off"))
+    c = rows.groupBy("day", "off").agg(F.round(F.percentile(F.abs(F.col("l_quantity") - 25 - F.col("off")), 0.5, F.col("n")), 6).alias("med"))
     return stats.best(c, ["day"], ["off", "med"], [F.col("med"), F.abs("off"), F.col("off")])
 
 

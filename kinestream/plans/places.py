@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kinestream.functions import vec
-from kinestream.operators import spatial
+from kinestream.operators import spatial, temporal
 from kinestream.plans.poses import _J, _SQL_XYZ, _r, _xyz, joints, poses
 from kinestream.plans.registry import query
 
@@ -119,12 +119,10 @@ SELECT vec_id, len(list_filter(range(1, 64), lambda i: b[i] <> c[i]))::INT AS di
 )
 def difference_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """In how many of 63 comparisons of neighbouring numbers a row differs from the one before of its label."""
-    from pyspark.sql.window import Window
-
     bits = F.aggregate(F.sequence(F.lit(0), F.lit(62)), F.lit(0).cast("long"), lambda h, i: F.shiftleft(h, 1).bitwiseOR((F.get("e", i) > F.get("e", i + 1)).cast("long")))
     h = poses(spark, sf_dir).select("vec_id", "label", bits.alias("h"))
-    before = F.lag("h").over(Window.partitionBy("label").orderBy("vec_id"))
-    return h.select("vec_id", F.bit_count(F.col("h").bitwiseXOR(before)).alias("differing")).where("differing is not null")
+    seen = temporal.running_extreme(h, ["label"], [F.col("vec_id")], "vec_id", F.struct("vec_id", "h"), "before", exclude_current=True, bucket=100_000)
+    return seen.select("vec_id", F.bit_count(F.col("h").bitwiseXOR(F.col("before.h"))).alias("differing")).where("differing is not null")
 
 
 @query("SELECT doc_id FROM documents ORDER BY sha256('20260831:' || doc_id), doc_id LIMIT 50")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from kinestream.functions import vec
-from kinestream.operators import fit, smooth
+from kinestream.operators import fit, smooth, stats
 from kinestream.plans.registry import query
 
 #: A camera: intrinsics, lens coefficients in the order k1 to k6, p1, p2, and the world's place before it.
@@ -93,8 +93,9 @@ def joint_map_epe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Distances of the sixteen mapped joints from their label's mean pose, pooled and by joint."""
     far = F.sqrt(sum(((F.col(f"p.{a}") - F.col(f"g{a}")) ** 2 for a in "xyz"), F.lit(0.0)))
     d = _against_mean(spark, sf_dir).where("joint >= 5").select("label", "joint", far.alias("epe"))
-    a = d.groupingSets([[F.col("label")], [F.col("label"), F.col("joint")]], F.col("label"), F.col("joint"))
-    return a.agg(F.count("*").alias("n"), _r(F.avg("epe")).alias("mean"), _r(F.median("epe")).alias("median"), _r(F.percentile("epe", 0.95)).alias("p95"))
+    grains = d.select("label", F.explode(F.array(F.lit(None).cast("int"), F.col("joint"))).alias("joint"), "epe")
+    a = stats.distribution(grains, ["label", "joint"], "epe", {"median": 0.5, "p95": 0.95})
+    return a.select("label", "joint", F.col("count").alias("n"), *[_r(F.col(c)).alias(c) for c in ("mean", "median", "p95")])
 
 
 @query(

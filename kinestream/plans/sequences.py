@@ -46,7 +46,8 @@ def centered_mean_edge(spark: SparkSession, sf_dir: str) -> DataFrame:
 def hf_residual(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per stream what the binomial filter takes away."""
     r = seqwin.filtered(samples(spark, sf_dir), seqwin.BINOMIAL).withColumn("r", F.abs(F.col("value") - F.col("smooth")))
-    return r.groupBy("stream").agg(F.count("*").alias("n"), F.round(F.avg("r"), 9).alias("mean"), F.round(F.percentile("r", 0.95), 9).alias("p95"))
+    counts = r.groupBy("stream").agg(F.count("*").alias("n"), F.round(F.avg("r"), 9).alias("mean"))
+    return temporal.joined(counts, stats.split_percentiles(r, ["stream"], "r", {"p95": 0.95}), ["stream"]).withColumn("p95", F.round("p95", 9))
 
 
 @query(
