@@ -32,13 +32,15 @@ def _edge(at: Column, last: Column, edge: str) -> Column:
     return F.least(F.greatest(at, F.lit(0)), last)
 
 
-def filtered(df: DataFrame, weights: list[float], edge: str = "reflect", stream: str = "stream", index: str = "i", value: str = "value", name: str = "smooth", block: int = 4096) -> DataFrame:
-    """``df`` with the weighted sum of the 2r + 1 samples around each, by ``edge`` ('reflect' or 'edge') at the ends.
+def filtered(df: DataFrame, weights: list[float], edge: str = "reflect", stream: str = "stream", index: str = "i", value: str | list[str] = "value", name: str | list[str] = "smooth", block: int = 4096) -> DataFrame:
+    """``df`` with the weighted sum of the 2r + 1 samples around each, by ``edge`` ('reflect' or 'edge') at the ends; of several
+    values with a list of names.
 
     A stream of r samples or fewer, or whose indices do not count from 0 without holes and repeats, has no filter and gets null; no row is lost. Each block of indices is one group: it takes the r samples
     on both sides as copies, so no stream is one task, and the taps are ``lag`` and ``lead`` within the block.
     """
     r = len(weights) // 2
+    values, names = ([x] if isinstance(x, str) else x for x in (value, name))
     last = df.groupBy(stream).agg(F.max(index).alias("_last"), F.min(index).alias("_least"), F.count("*").alias("_n")).where(f"_least = 0 and _last + 1 = _n and _n > {r}")
     own = joined(df, last.drop("_least", "_n"), [stream]).where("_last is not null")
     # Copies: a sample serves its block, the neighbouring blocks within r, and the mirrored places past the ends.
@@ -48,16 +50,16 @@ def filtered(df: DataFrame, weights: list[float], edge: str = "reflect", stream:
             places += [F.when(F.col(index) == i, F.lit(-i).cast("long")), F.when(F.col("_last") - F.col(index) == i, F.col("_last") + i)]
         else:
             places += [F.when(F.col(index) == 0, F.lit(-i).cast("long")), F.when(F.col(index) == F.col("_last"), F.col("_last") + i)]
-    placed = own.select(stream, F.col(value).alias("_v"), "_last", F.explode(F.array_compact(F.array(*places))).alias("_at"))
+    placed = own.select(stream, F.struct(*[F.col(v).cast("double").alias(f"v{i}") for i, v in enumerate(values)]).alias("_v"), "_last", F.explode(F.array_compact(F.array(*places))).alias("_at"))
     blocks = F.sequence(*[F.floor((F.col("_at") + d) / block) for d in (-r, r)])
     spread = placed.select("*", F.explode(blocks).alias("_block"))
     w = Window.partitionBy(stream, "_block").orderBy("_at")
     seen = spread.select("*", *[F.lag(F.struct("_at", "_v"), -k).over(w).alias(f"_s{k + r}") for k in range(-r, r + 1)])
-    taps = sum((F.col(f"_s{i}._v") * F.lit(c) for i, c in enumerate(weights)), F.lit(0.0))
+    taps = [sum((F.col(f"_s{i}._v.v{k}") * F.lit(c) for i, c in enumerate(weights)), F.lit(0.0)).alias(n) for k, n in enumerate(names)]
     # A hole beside a repeated index would pass for none by the counts above.
     whole = reduce(lambda x, y: x & y, [F.col(f"_s{i}._at") == F.col("_at") + (i - r) for i in range(2 * r + 1)])
     made = seen.where((F.floor(F.col("_at") / block) == F.col("_block")) & F.col("_at").between(0, F.col("_last")) & whole)
-    out = made.select(stream, F.col("_at").alias(index), taps.alias(name))
+    out = made.select(stream, F.col("_at").alias(index), *taps)
     return joined(df, out, [stream, index])
 
 

@@ -1,118 +1,133 @@
-"""Smoothers that carry state along a sequence: constant-velocity filter with backward pass, guided directions, kernel fit.
+"""Smoothers of whole sequences: constant velocity with hindsight, guided directions, kernel ridge regression.
 
-A sequence is a bounded recording (a take), so it is one pandas group; many sequences are many tasks. Recordings
-longer than ``MAX_FRAMES`` frames are refused, not cut: split them at their gaps first (``temporal.islands``).
+Guided directions are column expressions and a filter over blocks, for sequences of any length. The other two
+carry state or compare all frames of a sequence, so a bounded recording (a take) is one pandas group and many are
+many tasks; longer ones than stated are refused, not cut: split them at their gaps first (``temporal.islands``).
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from kinestream.operators.seqwin import gaussian_weights
+from kinestream.functions import vec
+from kinestream.operators import seqwin
+from kinestream.operators.temporal import joined, numbered
 
 MAX_FRAMES = 1_000_000
 
 
-def _stack(frame: pd.DataFrame, column: str) -> np.ndarray:
-    if len(frame) > MAX_FRAMES:
-        raise ValueError(f"a sequence of {len(frame)} frames; split it at its gaps")
-    return np.stack([np.asarray(v, dtype=float) for v in frame[column]])
+def gain_table(frames: int, dt: float, measured: float, pushed: float) -> np.ndarray:
+    """For each frame but the first: a, b, c (variance of the predicted place, its covariance with speed, variance of speed) before the frame's
+    measurement. The data don't matter, so one table serves all coordinates.
+
+    Between frames the place moves by speed * dt and an acceleration of deviation ``pushed``; a measurement has deviation ``measured``. The
+    first frame is taken as measured, with a speed of zero whose variance is 10,000.
+    """
+    q, out = pushed * pushed, np.empty((max(frames - 1, 0), 3))
+    a, b, c = measured * measured, 0.0, 1e4
+    for k in range(frames - 1):
+        a, b, c = a + dt * (2 * b + dt * c) + q * dt**4 / 4, b + dt * c + q * dt**3 / 2, c + q * dt * dt
+        out[k] = a, b, c
+        keep = measured * measured / (a + measured * measured)
+        a, b, c = keep * a, keep * b, c - b * b / (a + measured * measured)
+    return out
 
 
-def filtered_backward(values: np.ndarray, fps: float, measured: float = 4.0, pushed: float = 900.0) -> np.ndarray:
-    """Positions (frames x coordinates) under constant velocity: Kalman filter forward, Rauch-Tung-Striebel pass backward.
+def constant_velocity(values: np.ndarray, fps: float, measured: float = 4.0, pushed: float = 900.0) -> np.ndarray:
+    """The places (frames x coordinates) that are most probable given all frames, under the model of ``gain_table``.
 
-    ``measured``: deviation of a measurement; ``pushed``: of the acceleration. All coordinates share covariances and gains.
+    The adjoint form (Bryson and Frazier): forward, predictions and what each measurement adds to them; backward, the pull of all
+    later measurements on a frame, which its variances turn into a shift. No matrix is inverted.
     """
-    n, dt = len(values), 1.0 / fps
-    move = np.array([[1.0, dt], [0.0, 1.0]])
-    push = np.array([dt * dt / 2, dt])
-    noise = np.outer(push, push) * pushed**2
-    state = np.zeros((n, 2, values.shape[1]))
-    ahead, cov, cov_ahead = state.copy(), np.zeros((n, 2, 2)), np.zeros((n, 2, 2))
-    state[0, 0], cov[0] = values[0], np.diag([measured**2, 1e4])
-    for k in range(1, n):
-        ahead[k], cov_ahead[k] = move @ state[k - 1], move @ cov[k - 1] @ move.T + noise
-        gain = cov_ahead[k][:, 0] / (cov_ahead[k][0, 0] + measured**2)
-        state[k] = ahead[k] + np.outer(gain, values[k] - ahead[k, 0])
-        cov[k] = cov_ahead[k] - np.outer(gain, cov_ahead[k][0])
-    for k in range(n - 2, -1, -1):
-        back = np.linalg.solve(cov_ahead[k + 1].T, (cov[k] @ move.T).T).T
-        state[k] += back @ (state[k + 1] - ahead[k + 1])
-    return state[:, 0]
-
-
-def _grouped(df: DataFrame, keys: list[str], order: str, columns: list[str], out: str, made) -> DataFrame:
+    dt, table, noise = 1.0 / fps, gain_table(len(values), 1.0 / fps, measured, pushed), measured * measured
+    place, speed = values[0].copy(), np.zeros(values.shape[1])
+    ahead, news = np.zeros_like(values), np.zeros_like(values)
+    for k, (a, b, _) in enumerate(table, 1):
+        place = place + dt * speed
+        ahead[k], news[k] = place, (values[k] - place) / (a + noise)
+        place, speed = place + a * news[k], speed + b * news[k]
+    on_place, on_speed = np.zeros(values.shape[1]), np.zeros(values.shape[1])
+    out = np.empty_like(values)
+    for k in range(len(values) - 1, 0, -1):
+        a, b, _ = table[k - 1]
+        # The pull before the measurement is its own news and what the gains leave of the pull behind it.
+        on_place = news[k] + on_place - (a * on_place + b * on_speed) / (a + noise)
+        out[k] = ahead[k] + a * on_place + b * on_speed
+        on_speed = on_speed + dt * on_place
+    out[0] = values[0] + noise * on_place
+    return out
+
+
+def _by_sequence(df: DataFrame, keys: list[str], order: str, columns: list[str], out: str, most: int, made: Callable[..., np.ndarray]) -> DataFrame:
+    """keys, order and ``out``: what ``made`` gives for the stacked array columns of each sequence in order."""
     kinds = dict(df.dtypes)
     schema = ", ".join(f"`{c}` {kinds[c]}" for c in [*keys, order]) + f", `{out}` array<double>"
 
     def run(frame: pd.DataFrame) -> pd.DataFrame:
+        if len(frame) > most:
+            raise ValueError(f"a sequence of {len(frame)} frames, of {most} at most; split it at its gaps")
         frame = frame.sort_values(order, kind="stable")
-        result = made(*[_stack(frame, c) for c in columns])
-        return frame[[*keys, order]].assign(**{out: list(result)})
+        return frame[[*keys, order]].assign(**{out: list(made(*[np.stack(frame[c]).astype(float) for c in columns]))})
 
     return df.select(*keys, order, *columns).groupBy(*keys).applyInPandas(run, schema)
 
 
 def rts(df: DataFrame, keys: list[str], order: str, values: str, fps: float, out: str = "smooth") -> DataFrame:
-    """``filtered_backward`` of an array column per sequence: keys, order, ``out``."""
-    return _grouped(df, keys, order, [values], out, lambda v: filtered_backward(v, fps))
-
-
-def _units(v: np.ndarray) -> np.ndarray:
-    size = np.linalg.norm(v, axis=-1, keepdims=True)
-    return np.divide(v, size, out=np.zeros_like(v), where=size > 1e-9)
-
-
-def _mirrored(v: np.ndarray, weights: list[float]) -> np.ndarray:
-    r = len(weights) // 2
-    if len(v) <= r:
-        raise ValueError("the sequence is too short for the filter")
-    wide = np.pad(v, ((r, r),) + ((0, 0),) * (v.ndim - 1), mode="reflect")
-    return sum(w * wide[k : k + len(v)] for k, w in enumerate(weights))
+    """``constant_velocity`` of an array column per sequence: keys, order, ``out``."""
+    return _by_sequence(df, keys, order, [values], out, MAX_FRAMES, lambda v: constant_velocity(v, fps))
 
 
-def guided_directions(raw: np.ndarray, guide: np.ndarray, gain: float, limit: float = np.pi / 3) -> np.ndarray:
-    """Unit directions (frames x bones x 3): the guide's, turned by ``gain`` of the smoothed angle to the raw ones, at most ``limit``."""
-    cos = np.clip((guide * raw).sum(-1, keepdims=True), -1, 1)
-    tangent = _units(raw - cos * guide) * np.arccos(cos)
-    tangent = _mirrored(tangent, gaussian_weights())
-    tangent -= (tangent * guide).sum(-1, keepdims=True) * guide
-    size = np.linalg.norm(tangent, axis=-1, keepdims=True)
-    step = _units(tangent) * np.minimum(size, limit) * gain
-    angle = np.linalg.norm(step, axis=-1, keepdims=True)
-    return _units(np.where(angle <= 1e-9, guide, np.cos(angle) * guide + np.sin(angle) * _units(step)))
+def posterior(df: DataFrame, keys: list[str], order: str, raw: str, guide: str, gain: float, out: str = "direction", limit: float = np.pi / 3) -> DataFrame:
+    """The guide's directions, turned by ``gain`` of the smoothed angle to the raw ones, of which ``limit`` at most counts.
 
-
-def posterior(df: DataFrame, keys: list[str], order: str, raw: str, guide: str, gain: float, out: str = "direction") -> DataFrame:
-    """``guided_directions`` of two array columns of flat directions per sequence."""
-
-    def made(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        n = len(a)
-        return guided_directions(_units(a.reshape(n, -1, 3)), _units(b.reshape(n, -1, 3)), gain).reshape(n, -1)
-
-    return _grouped(df, keys, order, [raw, guide], out, made)
+    ``raw`` and ``guide`` are flat arrays of vectors, as many in all rows. The step from guide to raw is taken in the guide's tangent plane, filtered
+    along the sequence by nine Gaussian taps, and brought back into the plane of its frame. Directions that are opposite or
+    have no length give no step. A sequence of four frames or fewer has no filter: its directions are null.
+    """
+    dense = numbered(df.select(*keys, order, raw, guide), keys, [F.col(order)], order, "i", 4096)
+    vectors = F.sequence(F.lit(0), (F.size(guide) / 3).cast("int") - 1)
+    of = lambda c, j: vec.unit(vec.vec(*[F.get(F.col(c), 3 * j + k).cast("double") for k in range(3)]))
+    each = dense.select(*keys, order, "i", F.inline(F.transform(vectors, lambda j: F.struct(j.alias("j"), of(raw, j).alias("r"), of(guide, j).alias("g")))))
+    step = F.coalesce(vec.sphere_log(F.col("g"), F.col("r")), vec.vec(0, 0, 0))
+    rows = each.select(*keys, order, "i", "j", "g", F.struct(*keys, "j").alias("stream"), step.alias("t")).select("*", *[F.col(f"t.{a}").alias(f"t{a}") for a in "xyz"])
+    smooth = seqwin.filtered(rows, seqwin.gaussian_weights(), value=["tx", "ty", "tz"], name=["sx", "sy", "sz"])
+    flat = lambda s, g: vec.sub(s, vec.scale(g, vec.dot(s, g)))
+    turned = lambda t, g: vec.let(vec.norm(t), lambda n: vec.sphere_exp(g, vec.scale(t, F.when(n > limit, limit / n).otherwise(1.0) * gain)))
+    made = smooth.withColumn("t", flat(F.struct(*[F.col(f"s{a}").alias(a) for a in "xyz"]), F.col("g"))).withColumn("d", F.when(F.col("sx").isNotNull(), turned(F.col("t"), F.coalesce("g", vec.vec(0, 0, 0)))))
+    listed = F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("j", "d"))), lambda x: F.array(*[F.coalesce(x["d"][a], F.lit(0.0)) for a in "xyz"])))
+    grouped = made.groupBy(*keys, order, "i").agg(F.when(F.count("sx") > 0, listed).alias(out))
+    return joined(df.select(*keys, order), grouped.select(*keys, order, out), [*keys, order])
+
+
+def kernel_ridge(x: np.ndarray, y: np.ndarray, ridge: float) -> np.ndarray:
+    """The values at ``x`` of Gaussian kernel ridge regression of ``y`` on ``x``.
+
+    The dual form (Saunders, Gammerman and Vovk 1998): weights w = (K + ridge I)^-1 y, so that K w = y - ridge w. The kernel's width is the median
+    distance of a frame to the nearest other one.
+    """
+    far = np.square(x[:, None, :] - x[None, :, :]).sum(-1) if x.size < 1_000_000 else np.maximum((x * x).sum(1)[:, None] + (x * x).sum(1) - 2 * x @ x.T, 0)
+    near = np.sort(far, axis=1)[:, min(1, len(x) - 1)]
+    near = np.sqrt(near[near > 1e-12])
+    kernel = np.exp(far / (-2 * np.median(near) ** 2 if len(near) else -2.0))
+    return y - ridge * np.linalg.solve(kernel + ridge * np.eye(len(x)), y)
 
 
 def kernel_fit(df: DataFrame, keys: list[str], order: str, raw: str, target: str, fps: float, ridge: float = 1e-8, out: str = "fitted", most: int = 4000) -> DataFrame:
-    """Gaussian kernel ridge regression of ``target`` on ``raw`` and its gradient, fitted and applied to the same sequence.
+    """``kernel_ridge`` of ``target`` on ``raw`` and its gradient, fitted and applied to the same sequence.
 
-    The kernel is frames x frames, so a sequence of more than ``most`` frames is refused.
+    Features without spread are left out, the others have deviation 1 and are divided by the root of their number. All frames of a sequence are compared
+    with each other, so one of more than ``most`` frames is refused.
     """
 
     def made(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-        if len(x) > most:
-            raise ValueError(f"a kernel of {len(x)} frames; split the sequence")
-        feats = np.concatenate([x, np.gradient(x, 1 / fps, axis=0)], axis=1) if len(x) > 1 else np.zeros((1, 1))
-        spread = feats.std(0)
-        feats = (feats[:, spread > 1e-9] - feats.mean(0)[spread > 1e-9]) / spread[spread > 1e-9] / max(1.0, float((spread > 1e-9).sum())) ** 0.5
-        sq = (feats**2).sum(1)
-        far = np.maximum(sq[:, None] + sq - 2 * feats @ feats.T, 0)
-        near = np.sort(far, axis=1)[:, 1] if len(x) > 1 else np.zeros(1)
-        width = float(np.median(np.sqrt(near[near > 1e-12]))) if (near > 1e-12).any() else 1.0
-        kernel = np.exp(-far / (2 * width**2))
-        return kernel @ np.linalg.solve(kernel + ridge * np.eye(len(x)), y)
-
-    return _grouped(df, keys, order, [raw, target], out, made)
+        wide = np.hstack([x, np.gradient(x, 1 / fps, axis=0)]) if len(x) > 1 else x
+        spread = wide.std(0)
+        used = spread > 1e-9
+        return kernel_ridge((wide - wide.mean(0))[:, used] / spread[used] / max(used.sum(), 1) ** 0.5, y, ridge)
+
+    return _by_sequence(df, keys, order, [raw, target], out, most, made)

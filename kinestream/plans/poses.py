@@ -6,7 +6,6 @@ import math
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from kinestream.functions import vec
 from kinestream.operators import fit, smooth, stats
@@ -261,10 +260,9 @@ def kernel_mapping(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def guided_posterior(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Directions guided by the pose rotated by a joint. Sequences of four frames or fewer have no filter and are left out."""
+    """Directions guided by the pose rotated by a joint; null in sequences of four frames or fewer, which have no filter."""
     t = _takes(spark, sf_dir).withColumn("target", F.concat(F.slice("v", 4, 60), F.slice("v", 1, 3)))
-    n = F.count("*").over(Window.partitionBy("label", "take"))
-    return smooth.posterior(t.withColumn("n", n).where("n > 4").drop("n"), ["label", "take"], "vec_id", "v", "target", 0.5)
+    return smooth.posterior(t, ["label", "take"], "vec_id", "v", "target", 0.5)
 
 
 @query(_J + f"SELECT vec_id, round(atan2(y, x), 6) + 0.0 AS heading, round(log10(1 + x * x + y * y + z * z) * 10, 6) + 0.0 AS level, round({math.pi} - acos(z / sqrt(x * x + y * y + z * z)), 6) + 0.0 AS tilt FROM j WHERE joint = 8")

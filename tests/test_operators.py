@@ -112,8 +112,81 @@ def test_plane(spark):
     assert abs(abs(r.nz) - 1) < 1e-3 and abs(abs(r.d) - 2) < 0.01 and r.inliers >= 200
 
 
-def test_smoother_follows_a_line(spark):
-    t = np.arange(60)[:, None] * np.array([[1.0, -2.0]])
-    noisy = t + np.random.default_rng(4).normal(size=t.shape)
-    out = smooth.filtered_backward(noisy, 30.0)
-    assert np.abs(out - t)[5:-5].mean() < np.abs(noisy - t)[5:-5].mean()
+def test_smoother_is_the_conditional_mean():
+    """The joint normal distribution of all states, conditioned on all measurements."""
+    rng, n, dt = np.random.default_rng(3), 14, 1 / 30
+    z = np.cumsum(rng.normal(0, 20, (n, 2)), axis=0)
+    move, push = np.array([[1, dt], [0, 1]]), np.array([dt * dt / 2, dt])
+    cov = np.zeros((2 * n, 2 * n))
+    cov[:2, :2] = np.diag([16.0, 1e4])
+    for k in range(1, n):
+        cov[2 * k : 2 * k + 2, : 2 * k] = move @ cov[2 * k - 2 : 2 * k, : 2 * k]
+        cov[: 2 * k, 2 * k : 2 * k + 2] = cov[2 * k : 2 * k + 2, : 2 * k].T
+        cov[2 * k : 2 * k + 2, 2 * k : 2 * k + 2] = move @ cov[2 * k - 2 : 2 * k, 2 * k - 2 : 2 * k] @ move.T + np.outer(push, push) * 900.0**2
+    seen = np.arange(2, 2 * n, 2)
+    shift = cov[np.ix_(np.arange(0, 2 * n, 2), seen)] @ np.linalg.solve(cov[np.ix_(seen, seen)] + 16 * np.eye(n - 1), z[1:] - z[0])
+    assert np.allclose(smooth.constant_velocity(z, 30.0), z[0] + shift, atol=1e-6)
+    assert np.array_equal(smooth.constant_velocity(z[:1], 30.0), z[:1])
+
+
+def test_guided_directions_are_their_definition(spark):
+    rng = np.random.default_rng(5)
+    raw, guide = rng.normal(size=(12, 2, 3)), rng.normal(size=(12, 2, 3))
+    rows = [(1, i, raw[i].ravel().tolist(), guide[i].ravel().tolist()) for i in range(12)] + [(2, i, [1.0, 0.0, 0.0] * 2, [0.0, 1.0, 0.0] * 2) for i in range(4)]
+    out = smooth.posterior(spark.createDataFrame(rows, "take int, f long, r array<double>, g array<double>"), ["take"], "f", "r", "g", 0.5).collect()
+    r, g = (v / np.linalg.norm(v, axis=2, keepdims=True) for v in (raw, guide))
+    turn = np.arccos(np.clip((r * g).sum(2), -1, 1))[..., None]
+    flat = r - (r * g).sum(2, keepdims=True) * g
+    step = flat / np.linalg.norm(flat, axis=2, keepdims=True) * turn
+    wide = np.concatenate([step[4:0:-1], step, step[-2:-6:-1]])
+    step = sum(w * wide[k : k + 12] for k, w in enumerate(seqwin.gaussian_weights()))
+    step -= (step * g).sum(2, keepdims=True) * g
+    size = np.linalg.norm(step, axis=2, keepdims=True)
+    by = 0.5 * np.minimum(size, np.pi / 3)
+    want = np.cos(by) * g + np.sin(by) * step / size
+    got = {(x.take, x.f): x.direction for x in out}
+    assert np.allclose([got[1, i] for i in range(12)], want.reshape(12, 6), atol=1e-9) and [got[2, i] for i in range(4)] == [None] * 4
+
+
+def test_kernel_ridge_is_the_kernel_times_weights():
+    rng = np.random.default_rng(2)
+    x, y = rng.normal(size=(30, 5)), rng.normal(size=(30, 2))
+    far = np.linalg.norm(x[:, None] - x[None], axis=2)
+    width = np.median(np.sort(far, axis=1)[:, 1])
+    kernel = np.exp(-(far**2) / (2 * width**2))
+    assert np.allclose(smooth.kernel_ridge(x, y, 0.1), kernel @ np.linalg.inv(kernel + 0.1 * np.eye(30)) @ y)
+
+
+@pytest.mark.parametrize("parts", [1, 7])
+def test_split_percentiles(spark, parts):
+    rng = np.random.default_rng(4)
+    rows = [("a", float(x)) for x in rng.integers(0, 30, 400)] + [("b", float(x)) for x in rng.normal(size=301)] + [(None, 2.0), (None, 4.0), ("c", None), ("d", float("nan")), ("d", 1.5)]
+    was = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+        got = {r.k: (r.p0, r.p33, r.p95, r.p100) for r in stats.split_percentiles(spark.createDataFrame(rows, "k string, v double"), ["k"], "v", {"p0": 0, "p33": 0.33, "p95": 0.95, "p100": 1}).collect()}
+        whole = stats.split_percentiles(spark.createDataFrame(rows, "k string, v double").where("k = 'a'"), [], "v", {"m": 0.5}).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", was)
+    for k in ("a", "b"):
+        assert np.allclose(got[k], np.percentile([v for x, v in rows if x == k], [0, 33, 95, 100]))
+    assert np.allclose(got[None], [2, 2.66, 3.9, 4]) and got["d"] == (1.5,) * 4 and "c" not in got
+    assert whole[0].m == np.median([v for x, v in rows if x == "a"])
+
+
+def test_planes_that_nothing_fixes(spark):
+    rows = [("one", 0.0, 0.0, 0.0), ("line", 0.0, 0.0, 0.0), ("line", 1.0, 0.0, 0.0), ("line", 2.0, 0.0, 0.0), ("none", None, 1.0, 2.0)]
+    got = {r.k: r for r in fit.plane(spark.createDataFrame(rows, "k string, x double, y double, z double"), ["k"], 0.1).collect()}
+    assert {k: (r.nx, r.inliers, r.points) for k, r in got.items()} == {"one": (None, 0, 1), "line": (None, 0, 3), "none": (None, 0, 1)}
+
+
+def test_filters_keep_rows_without_an_index(spark):
+    rows = [(1, i, float(i)) for i in range(6)] + [(1, None, 9.0)] + [(2, i, 1.0) for i in (0, 1, 2, 2, 4, 5)] + [(None, i, 2.0) for i in range(6)]
+    df = spark.createDataFrame(rows, "stream long, i long, value double")
+    got = seqwin.filtered(df, [0.25, 0.5, 0.25]).collect()
+    assert len(got) == len(rows)
+    assert [r.smooth for r in sorted((r for r in got if r.stream is None), key=lambda r: r.i)] == [2.0] * 6
+    assert all(r.smooth is None for r in got if r.stream == 1), "a row without an index makes the counts differ"
+    assert sorted(r.i for r in got if r.stream == 2 and r.smooth is None) == [2, 2, 4]
+    near = seqwin.neighbours(df, "value", [-1]).collect()
+    assert len(near) == len(rows) and [r["value_-1"] for r in near if r.i is None] == [None]

@@ -3,6 +3,8 @@
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
+from pyspark.sql import functions as F
+
 from kinestream.operators import temporal
 
 
@@ -87,3 +89,17 @@ def test_gap_fill_leaves_edges_and_long_runs(spark):
     df = spark.createDataFrame([(1, i, x) for i, x in enumerate(v)], "stream long, i long, value double")
     r = sorted(temporal.gap_filled(df, 2, bucket=3).collect(), key=lambda x: x.i)
     assert [x.filled for x in r] == [None, 1.0, 2.0, 3.0, 4.0, None, None, None, 8.0, None]
+
+
+def test_rows_without_stream_or_time_stay(spark):
+    p = spark.createDataFrame([(1, 0, 5, 0, 1.0), (None, 0, 5, 1, 2.0), (1, 3, None, 2, 3.0)], "stream long, acq long, arrival long, packet_id long, value double")
+    q = spark.createDataFrame([(1, 9, 0), (1, None, 1), (None, 9, 2)], "stream long, t long, query_id long")
+    got = {r.query_id: (r.packet_id, r.age, r.fresh) for r in temporal.asof_causal(p, q, 100, bucket=4).collect()}
+    assert got == {0: (0, 9, True), 1: (None, 0, False), 2: (1, 9, True)}
+    s = spark.createDataFrame([(1, 0, 0, 1.0), (1, 10, 1, 2.0), (None, 8, 2, 3.0), (None, 12, 3, 5.0), (1, None, 4, 7.0)], "stream long, t long, sample_id long, value double")
+    rows = {r.query_id: (r.valid, r.value) for r in temporal.interpolated(temporal.bracket(s, q, bucket=4), 25).collect()}
+    assert rows == {0: (True, 1.9), 1: (False, None), 2: (True, 3.5)}
+    near = {r.query_id: r.sample_id for r in temporal.nearest(temporal.bracket(s, q, bucket=4)).collect()}
+    assert near == {0: 1, 1: None, 2: 2}
+    total = temporal.numbered(q, ["stream"], [F.col("t")], "t").collect()
+    assert {r.query_id: r.i for r in total} == {0: 0, 1: None, 2: 0}
