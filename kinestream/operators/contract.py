@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kinestream.operators.temporal import BUCKET, running_extreme
+from kinestream.operators.temporal import BUCKET, joined, running_extreme
 
 
 class ContractError(ValueError):
@@ -69,3 +71,46 @@ def one_to_one(left: DataFrame, right: DataFrame, key: str, keys: list[str]) ->
 def row_hashes(df: DataFrame, columns: list[str], name: str = "row_sha256") -> DataFrame:
     """``df`` with the SHA-256 of each row's columns as JSON with sorted keys and without spaces."""
     return df.withColumn(name, F.sha2(F.to_json(F.struct(*sorted(columns))), 256))
+
+
+def provenance(copies: DataFrame, originals: DataFrame, key: list[str], fields: list[str], digest: str) -> DataFrame:
+    """For each copy: whether its original is there, the fields that differ from it (all, if it isn't), and whether the digest is the original's."""
+    named = originals.select(*key, *[F.col(c).alias(f"_{c}") for c in [*fields, digest]], F.lit(True).alias("_there"))
+    rows = joined(copies, named, key)
+    differing = F.array_compact(F.array(*[F.when(~F.col(c).eqNullSafe(F.col(f"_{c}")), F.lit(c)) for c in fields]))
+    return rows.select(*key, F.coalesce("_there", F.lit(False)).alias("found"), differing.alias("differing"), F.coalesce(F.col(digest) == F.col(f"_{digest}"), F.lit(False)).alias("digest_holds"))
+
+
+def ordinal_agreement(left: DataFrame, right: DataFrame, keys: list[str], index: str, value: str, tolerance: float) -> DataFrame:
+    """Per group the lengths of two sources of one sequence and how far they are apart at both ends; they agree if lengths are equal and ends near."""
+    ends = lambda d, s: d.groupBy(*keys).agg(F.count("*").alias(f"n_{s}"), F.min_by(value, index).alias(f"_first_{s}"), F.max_by(value, index).alias(f"_last_{s}"))
+    both = ends(left, "left").join(ends(right, "right"), keys, "full_outer")
+    off = {e: F.abs(F.col(f"_{e}_left") - F.col(f"_{e}_right")) for e in ("first", "last")}
+    holds = (F.col("n_left") == F.col("n_right")) & (off["first"] <= tolerance) & (off["last"] <= tolerance)
+    return both.select(*keys, "n_left", "n_right", off["first"].alias("first_off"), off["last"].alias("last_off"), holds.alias("holds"))
+
+
+def manifest_status(listed: DataFrame, files: DataFrame, key: str, digest: str) -> DataFrame:
+    """(key, status) of each file on either side: 'same', 'changed', 'missing' (listed only) or 'extra' (not listed)."""
+    a, b = listed.select(key, F.col(digest).alias("_listed")), files.select(key, F.col(digest).alias("_found"))
+    status = F.when(F.col("_found").isNull(), "missing").when(F.col("_listed").isNull(), "extra").when(F.col("_listed") == F.col("_found"), "same").otherwise("changed")
+    return a.join(b, key, "full_outer").select(key, status.alias("status"))
+
+
+def accepted(df: DataFrame, keys: list[str], rules: dict[str, Column]) -> DataFrame:
+    """Per group the verdict of each rule (an aggregate), and ``pass``: all hold. What is not known does not hold."""
+    a = df.groupBy(*keys).agg(*[F.coalesce(r, F.lit(False)).alias(n) for n, r in rules.items()])
+    return a.withColumn("pass", reduce(lambda x, y: x & y, [F.col(n) for n in rules]))
+
+
+def failures(df: DataFrame, rules: dict[str, Column]) -> DataFrame:
+    """``df`` with ``failures``: the names of all rules that the row breaks; a null verdict breaks one."""
+    return df.withColumn("failures", F.array_compact(F.array(*[F.when(~F.coalesce(ok, F.lit(False)), F.lit(n)) for n, ok in rules.items()])))
+
+
+def agreement(left: DataFrame, right: DataFrame, keys: list[str], fields: list[str], tolerance: float) -> DataFrame:
+    """Per key the largest difference of the fields of two sources, and whether it is within the tolerance; a key on one side only doesn't agree."""
+    other = right.select(*keys, *[F.col(c).alias(f"_{c}") for c in fields])
+    worst = [F.abs(F.col(c) - F.col(f"_{c}")) for c in fields]
+    both = left.join(other, keys, "full_outer").withColumn("worst", F.greatest(*worst) if len(worst) > 1 else worst[0])
+    return both.select(*keys, "worst", F.coalesce(F.col("worst") <= tolerance, F.lit(False)).alias("agrees"))

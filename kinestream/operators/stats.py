@@ -53,15 +53,29 @@ def distribution(df: DataFrame, keys: list[str], value: str, quantiles: dict[str
     return joined(df.groupBy(*keys).agg(*[c.alias(n) for n, c in made.items()]), split_percentiles(df, keys, value, quantiles), keys)
 
 
-def threshold_fractions(df: DataFrame, keys: list[str], residual: str, in_frame: str, bounds: tuple[float, ...]) -> DataFrame:
-    """requested, in_frame, local (a residual is known), and for each bound the count of absolute residuals within it with its fraction of
-    each denominator; a fraction of nothing is null."""
+def threshold_counts(df: DataFrame, keys: list[str], residual: str, in_frame: str, bounds: tuple[float, ...]) -> DataFrame:
+    """requested, in_frame, local (a residual is known), and for each bound the count of absolute residuals within it. Counts of parts add up."""
     r = F.abs(F.col(residual))
-    counts = df.groupBy(*keys).agg(F.count("*").alias("requested"), F.count_if(in_frame).alias("in_frame"), F.count(residual).alias("local"), *[F.count_if(r <= b).alias(f"within_{b:g}") for b in bounds])
+    return df.groupBy(*keys).agg(F.count("*").alias("requested"), F.count_if(in_frame).alias("in_frame"), F.count(residual).alias("local"), *[F.count_if(r <= b).alias(f"within_{b:g}") for b in bounds])
+
+
+def merged(parts: DataFrame, keys: list[str]) -> DataFrame:
+    """``threshold_counts`` of larger groups from those of their parts."""
+    counts = [c for c in parts.columns if c in ("requested", "in_frame", "local") or c.startswith("within_")]
+    return parts.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in counts])
+
+
+def fractions(counts: DataFrame, bounds: tuple[float, ...]) -> DataFrame:
+    """``threshold_counts`` with the fraction of each denominator; a fraction of nothing is null."""
     of = [F.try_divide(F.col(f"within_{b:g}"), F.col(d)).alias(f"within_{b:g}_of_{d}") for b in bounds for d in ("requested", "in_frame", "local")]
     return counts.select("*", *of)
 
 
+def threshold_fractions(df: DataFrame, keys: list[str], residual: str, in_frame: str, bounds: tuple[float, ...]) -> DataFrame:
+    """``fractions`` of ``threshold_counts``."""
+    return fractions(threshold_counts(df, keys, residual, in_frame, bounds), bounds)
+
+
 def mad_trimmed(df: DataFrame, keys: list[str], value: str, least: float = 3.0, min_rows: int = 10, half: bool = True) -> DataFrame:
     """Rows with ``kept``: value <= median + max(3 * 1.4826 * MAD, ``least``).
 

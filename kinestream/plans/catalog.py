@@ -1,6 +1,6 @@
 """All queries outside the training-data operators, by name."""
 
-from kinestream.plans import measures, places, poses, sequences, timelines  # noqa: F401  (they register their queries)
+from kinestream.plans import aligned, measures, places, poses, rules, sequences, timelines  # noqa: F401  (they register their queries)
 from kinestream.plans.registry import ORACLE_SQL, QUERIES
 
 __all__ = ["ORACLE_SQL", "QUERIES"]
