@@ -210,3 +210,97 @@ def chain_positions(root: Column, directions: Sequence[Column], lengths: Sequenc
 
 def total(columns: Sequence[Column]) -> Column:
     return reduce(lambda a, b: a + b, columns)
+
+
+def turn_exp(v: Column) -> Column:
+    """The rotation matrix of a rotation vector (its axis times the angle); series where the squared angle is under 1e-6."""
+
+    def matrix(p: Column) -> Column:
+        v, q = p["v"], p["q"]
+        angle_ = F.sqrt(q)
+        a = F.when(q < 1e-6, 1 - q / 6 + q * q / 120).otherwise(F.sin(angle_) / angle_)
+        b = F.when(q < 1e-6, 0.5 - q / 24 + q * q / 720).otherwise((1 - F.cos(angle_)) / q)
+        return let(F.struct(v.alias("v"), q.alias("q"), a.alias("a"), b.alias("b")), rows)
+
+    def rows(p: Column) -> Column:
+        x, y, z = (p["v"][c] for c in "xyz")
+        a, b, keep = p["a"], p["b"], 1 - p["b"] * p["q"]
+        return F.array(
+            F.array(keep + b * x * x, b * x * y - a * z, b * x * z + a * y),
+            F.array(b * x * y + a * z, keep + b * y * y, b * y * z - a * x),
+            F.array(b * x * z - a * y, b * y * z + a * x, keep + b * z * z),
+        )
+
+    return let(v, lambda u: let(F.struct(u.alias("v"), dot(u, u).alias("q")), matrix))
+
+
+def turn_between(a: Column, b: Column) -> Column:
+    """Radians between two rotation matrices; 1e-7 of the cosine's range is left out at both ends."""
+    both = F.struct(a.alias("a"), b.alias("b"))
+    trace = lambda m: sum((F.get(F.get(m["a"], F.lit(i)), F.lit(j)) * F.get(F.get(m["b"], F.lit(i)), F.lit(j)) for i in range(3) for j in range(3)), F.lit(0.0))
+    return let(both, lambda m: F.acos(clip((trace(m) - 1) / 2, -1.0 + 1e-7, 1.0 - 1e-7)))
+
+
+def square_axes(first: Column, second: Column) -> Column:
+    """Three axes at right angles, as a struct (u, v, w): the first as it points, the second brought square to it, and their product; null where they are
+    parallel or have no length."""
+
+    def made(p: Column) -> Column:
+        v = unit(sub(p["b"], scale(p["u"], dot(p["b"], p["u"]))))
+        return let(F.struct(p["u"].alias("u"), v.alias("v")), lambda q: F.when(q["u"].isNotNull() & q["v"].isNotNull(), F.struct(q["u"].alias("u"), q["v"].alias("v"), cross(q["u"], q["v"]).alias("w"))))
+
+    return let(F.struct(unit(first).alias("u"), second.alias("b")), made)
+
+
+def lines_midpoint(p: Column, p_to: Column, q: Column, q_to: Column) -> Column:
+    """The point halfway between two lines where they are nearest, each through two points; null for parallel ones."""
+
+    def solved(s: Column) -> Column:
+        along, across = dot(s["d"], s["e"]), sub(s["q"], s["p"])
+        least = 1 - along * along
+        t = (dot(across, s["d"]) - dot(across, s["e"]) * along) / least
+        r = (dot(across, s["d"]) * along - dot(across, s["e"])) / least
+        return F.when(least > 1e-12, scale(add(add(s["p"], scale(s["d"], t)), add(s["q"], scale(s["e"], r))), 0.5))
+
+    return let(F.struct(p.alias("p"), q.alias("q"), unit(sub(p_to, p)).alias("d"), unit(sub(q_to, q)).alias("e")), solved)
+
+
+def pixel_ray(u: Column, v: Column, intrinsics: Sequence[float], k: Sequence[float]) -> Column:
+    """The direction (x, y, 1) in camera coordinates that a pixel shows."""
+    fx, fy, cx, cy = map(float, intrinsics)
+    return let(undistort((u - cx) / fx, (v - cy) / fy, k), lambda s: vec(s["x"], s["y"], 1))
+
+
+def on_plane(ray: Column, normal: Column, distance: float) -> Column:
+    """Where a ray from the origin meets the plane normal . p = distance; null if it is parallel to it."""
+    return let(F.struct(ray.alias("r"), normal.alias("n")), lambda s: let(dot(s["r"], s["n"]), lambda d: F.when(F.abs(d) > 1e-12, scale(s["r"], F.lit(float(distance)) / d))))
+
+
+def project_clamped(p: Column, intrinsics: Sequence[float], least: float = 1e-3) -> Column:
+    """Pixel (u, v) without a lens, of a depth of ``least`` at least, and whether the point's own depth is over that."""
+    fx, fy, cx, cy = map(float, intrinsics)
+    return let(p, lambda q: let(F.greatest(q["z"], F.lit(least)), lambda z: F.struct(((fx * q["x"] + cx * q["z"]) / z).alias("u"), ((fy * q["y"] + cy * q["z"]) / z).alias("v"), (q["z"] > least).alias("positive"))))
+
+
+def project_five(p: Column, intrinsics: Sequence[float], k: Sequence[float]) -> Column:
+    """Pixel (u, v) by the five-coefficient lens model, coefficients in the order k1, k2, p1, p2, k3; null at no depth."""
+    k1, k2, p1, p2, k3 = map(float, k)
+    return project(p, intrinsics, (k1, k2, k3, 0, 0, 0, p1, p2), 0.0)
+
+
+def chain_frames(turns: Sequence[Column], offsets: Sequence[Column], parents: Sequence[int] = PARENTS) -> list[Column]:
+    """Joint positions seen from the root, given each joint's own turn (a matrix) and its offset in its parent's axes.
+
+    A joint stands where its parent's axes put its offset; its axes are the parent's, turned. Each chain is worked out from the root.
+    """
+
+    def product(a: Column, b: Column) -> Column:
+        cell = lambda m, i, j: F.get(F.get(m, F.lit(i)), F.lit(j))
+        return let(F.struct(a.alias("a"), b.alias("b")), lambda m: F.array(*[F.array(*[sum((cell(m["a"], i, k) * cell(m["b"], k, j) for k in range(3)), F.lit(0.0)) for j in range(3)]) for i in range(3)]))
+
+    places, axes = [vec(0, 0, 0)], [turns[0]]
+    for j, p in enumerate(parents):
+        if p >= 0:
+            places.append(add(places[p], rotate(axes[p], offsets[j])))
+            axes.append(product(axes[p], turns[j]))
+    return places

@@ -124,23 +124,23 @@ def plane(points: DataFrame, keys: list[str], threshold: float, trials: int = 20
 
 
 def robust_line(df: DataFrame, keys: list[str], x: str, y: str, least: float = 2.5, rounds: int = 10) -> DataFrame:
-    """y = slope * x + intercept per group, refitted without rows off by max(``least``, 3 * 1.4826 * MAD) from the median residual.
+    """slope, intercept and used (rows) of y = slope * x + intercept per group, refitted without outliers until nothing changes.
 
-    Each round is aggregates over all rows; its few numbers per group are written to the shared folder, so that the next
-    round doesn't repeat it.
+    Of the rows that a line was fitted to, the median residual and the MAD say which of all rows the next one is fitted to: those off by less than
+    max(``least``, 3 * 1.4826 * MAD). Each round is aggregates over all rows; its few numbers a group are written to the shared folder,
+    so that the next round doesn't repeat it, and one count reaches the driver. A row without x or y counts for nothing.
     """
     rows = df.select(*keys, F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y")).where("x is not null and y is not null")
-    state = None
-    for k in range(rounds):
-        used = rows
-        if state is not None:
-            off = F.abs(F.col("y") - F.col("slope") * F.col("x") - F.col("intercept") - F.col("mid"))
-            used = rows.join(state, keys).where(off < F.greatest(F.lit(least), 3 * 1.4826 * F.col("mad"))).select(*keys, "x", "y")
-        line = written(used.groupBy(*keys).agg(F.regr_slope("y", "x").alias("slope"), F.regr_intercept("y", "x").alias("intercept"), F.count("*").alias("used")), "line")
-        if k == rounds - 1:
-            return line
-        off = rows.join(line, keys).withColumn("r", F.col("y") - F.col("slope") * F.col("x") - F.col("intercept"))
-        mid = written(stats.split_percentiles(off, keys, "r", {"mid": 0.5}), "mid")
-        mad = stats.split_percentiles(off.join(mid, keys).withColumn("d", F.abs(F.col("r") - F.col("mid"))), keys, "d", {"mad": 0.5})
-        state = written(line.join(mid, keys).join(mad, keys).select(*keys, "slope", "intercept", "mid", "mad"), "fit")
-    return line
+    rows = rows.withColumn("kept", F.lit(True))
+    inside = F.abs(F.col("r") - F.col("mid")) < F.greatest(F.lit(least), 3 * 1.4826 * F.col("mad"))
+    for _ in range(rounds):
+        lines = written(rows.where("kept").groupBy(*keys).agg(F.regr_slope("y", "x").alias("slope"), F.regr_intercept("y", "x").alias("intercept")), "line")
+        off = joined(rows.select(*keys, "x", "y", "kept"), lines, keys).withColumn("r", F.col("y") - F.col("slope") * F.col("x") - F.col("intercept"))
+        mids = written(stats.split_percentiles(off.where("kept"), keys, "r", {"mid": 0.5}), "mid")
+        near = joined(off, mids, keys)
+        mads = written(stats.split_percentiles(near.where("kept").withColumn("d", F.abs(F.col("r") - F.col("mid"))), keys, "d", {"mad": 0.5}), "mad")
+        made = joined(near, mads, keys).withColumn("next", F.coalesce(inside, F.lit(False)))
+        if not made.agg(F.count_if(F.col("next") != F.col("kept"))).first()[0]:
+            break
+        rows = made.select(*keys, "x", "y", F.col("next").alias("kept"))
+    return joined(lines, made.groupBy(*keys).agg(F.count_if("next").alias("used")), keys)

@@ -230,10 +230,22 @@ def nearest_row(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stats.best(s.join(n, s.s_nationkey == n.n_nationkey), ["n_nationkey"], ["s_suppkey"], [F.col("off"), F.col("s_suppkey")])
 
 
-@query()
+def _line_sql(rounds: int) -> str:
+    """The rounds one after the other: those after nothing changes repeat the last."""
+    text = "WITH k0 AS MATERIALIZED (SELECT l_returnflag AS g, l_quantity::DOUBLE AS x, l_extendedprice::DOUBLE AS y, true AS kept FROM lineitem)"
+    for i in range(rounds):
+        text += f""", l{i} AS MATERIALIZED (SELECT g, regr_slope(y, x) AS slope, regr_intercept(y, x) AS intercept FROM k{i} WHERE kept GROUP BY g),
+o{i} AS MATERIALIZED (SELECT k.*, y - slope * x - intercept AS r FROM k{i} k JOIN l{i} USING (g)), m{i} AS MATERIALIZED (SELECT g, quantile_cont(r, 0.5) AS mid FROM o{i} WHERE kept GROUP BY g),
+d{i} AS MATERIALIZED (SELECT g, quantile_cont(abs(r - mid), 0.5) AS mad FROM o{i} JOIN m{i} USING (g) WHERE kept GROUP BY g),
+k{i + 1} AS MATERIALIZED (SELECT g, x, y, abs(r - mid) < greatest(2.5, 3 * 1.4826 * mad) AS kept FROM o{i} JOIN m{i} USING (g) JOIN d{i} USING (g))"""
+    return text + f" SELECT g AS l_returnflag, round(slope, 6) AS slope, round(intercept, 5) AS intercept, used FROM l{rounds - 1} JOIN (SELECT g, count_if(kept)::BIGINT AS used FROM k{rounds} GROUP BY g) USING (g)"
+
+
+@query(_line_sql(10))
 def robust_line_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Price by quantity per return flag, refitted without outliers."""
-    return fit.robust_line(_read(spark, sf_dir, "lineitem"), ["l_returnflag"], "l_quantity", _X, 2.5, 4)
+    """Price by quantity per return flag, refitted without outliers until nothing changes."""
+    d = fit.robust_line(_read(spark, sf_dir, "lineitem"), ["l_returnflag"], "l_quantity", _X)
+    return d.select("l_returnflag", F.round("slope", 6).alias("slope"), F.round("intercept", 5).alias("intercept"), "used")
 
 
 @query("SELECT l_linenumber, round(corr(l_quantity, l_extendedprice), 6) AS r, count(*) AS n FROM lineitem GROUP BY l_linenumber HAVING count(*) >= 30")

@@ -191,7 +191,7 @@ def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raw.select(F.col("user_id").alias("stream"), F.unix_micros(F.col("ts").cast("timestamp")).alias("t"), "event_id", "event_type", "value")
 
 
-@query()
+@query(_ASOF + "SELECT * FROM asof_rows")
 def asof_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``asof_causal`` as a stateful stream."""
     base = _event_stream(spark, sf_dir).withColumnRenamed("t", "acq")
@@ -209,8 +209,16 @@ def asof_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _drained(asof.asof_stream(rows, MAX_AGE), "asof-stream")
 
 
-@query()
+@query(
+    """WITH RECURSIVE s AS (SELECT user_id AS stream, epoch_us(ts) AS t, CASE WHEN event_type <> 'error' THEN value END AS value, row_number() OVER (PARTITION BY user_id ORDER BY ts) AS i FROM events),
+f AS (SELECT stream, i, t, value AS estimate, CASE WHEN value IS NOT NULL THEN 400.0::DOUBLE END AS variance FROM s WHERE i = 1
+  UNION ALL SELECT n.stream, n.i, n.t, CASE WHEN n.estimate IS NULL THEN n.value WHEN n.value IS NULL THEN n.estimate ELSE n.estimate + n.p / (n.p + 400) * (n.value - n.estimate) END,
+    CASE WHEN n.estimate IS NULL THEN CASE WHEN n.value IS NOT NULL THEN 400.0::DOUBLE END WHEN n.value IS NULL THEN n.p ELSE 400 * n.p / (n.p + 400) END
+  FROM (SELECT s.stream, s.i, s.t, s.value, f.estimate, f.variance + 0.0025 * (s.t - f.t) / 1e6 AS p FROM f JOIN s ON s.stream = f.stream AND s.i = f.i + 1) n)
+SELECT stream, t, round(estimate, 6) AS estimate, round(variance, 6) AS variance FROM f"""
+)
 def filter_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A scalar filter of each stream's values; errors are outages that hold the state."""
     rows = _event_stream(spark, sf_dir).select("stream", "t", F.when(F.col("event_type") != "error", F.col("value")).alias("value"))
-    return _drained(asof.diagonal_filter(rows, 20.0, 0.05), "filter-stream")
+    done = _drained(asof.diagonal_filter(rows, 20.0, 0.05), "filter-stream")
+    return done.withColumns({c: F.round(c, 6) for c in ("estimate", "variance")})
