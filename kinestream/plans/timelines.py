@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kinestream.operators import stats, temporal
 from kinestream.plans.registry import query
-from kinestream.shared import shared_dir
+from kinestream.shared import tables_dir
 from kinestream.streaming import asof
 
 HOUR = 3_600_000_000
@@ -176,25 +177,31 @@ def outage_mask(spark: SparkSession, sf_dir: str) -> DataFrame:
     return r.groupBy("event_type").agg(F.count("*").alias("n"), F.count_if("out").alias("masked"), F.round(F.sum(F.when(F.col("out"), 0.0).otherwise(F.col("value"))), 4).alias("value"))
 
 
-def _drained(stream: DataFrame, name: str) -> DataFrame:
-    """What a stream gives for all that its source holds now, as a table in the shared folder."""
-    spark = stream.sparkSession
-    out = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    run = stream.writeStream.format("parquet").option("path", f"{out}/rows").option("checkpointLocation", f"{out}/state").trigger(availableNow=True).start()
-    run.awaitTermination()
-    return spark.read.schema(stream.schema).parquet(f"{out}/rows")
+SLICES = 4
+
 
+def streamed(rows: DataFrame, time: str, made: Callable[[DataFrame], DataFrame], name: str, slices: int = SLICES) -> DataFrame:
+    """What a streaming operator gives for rows that come in ``slices`` batches in the order of ``time``, as a table in the shared folder.
 
-def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = f"{sf_dir}/events.parquet"
-    raw = spark.readStream.schema(spark.read.parquet(path).schema).parquet(f"{path}*")
-    return raw.select(F.col("user_id").alias("stream"), F.unix_micros(F.col("ts").cast("timestamp")).alias("t"), "event_id", "event_type", "value")
+    Each batch is a run of its own that goes on from the state that the last one left in its checkpoint, as after a restart. So a
+    micro-batch is bounded by the slice, and results show whether the operator's state is whole.
+    """
+    spark, out = rows.sparkSession, f"{tables_dir(rows.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    cuts = rows.agg(F.percentile_approx(time, [k / slices for k in range(1, slices)], 1000)).first()[0] or []
+    for low, high in zip([None, *cuts], [*cuts, None], strict=True):
+        after = F.lit(True) if low is None else F.col(time) > low
+        upto = F.lit(True) if high is None else F.col(time) <= high
+        here = rows.where(F.coalesce(after & upto, F.lit(low is None)))
+        here.write.mode("append").parquet(f"{out}/source")
+        stream = made(spark.readStream.schema(rows.schema).parquet(f"{out}/source"))
+        stream.writeStream.format("parquet").option("path", f"{out}/rows").option("checkpointLocation", f"{out}/state").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema(stream.schema).parquet(f"{out}/rows")
 
 
 @query(_ASOF + "SELECT * FROM asof_rows")
 def asof_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``asof_causal`` as a stateful stream."""
-    base = _event_stream(spark, sf_dir).withColumnRenamed("t", "acq")
+    base = stream_events(spark, sf_dir).withColumnRenamed("t", "acq")
     is_packet = F.col("event_type") == "view"
     delay = (F.col("event_id") * 7919 % 86400) * 1_000_000
     rows = base.where(F.col("event_type").isin("view", "purchase")).select(
@@ -206,19 +213,35 @@ def asof_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
         "value",
         F.when(~is_packet, F.col("event_id")).alias("query_id"),
     )
-    return _drained(asof.asof_stream(rows, MAX_AGE), "asof-stream")
+    return streamed(rows, "t", lambda r: asof.asof_stream(r, MAX_AGE), "asof-stream")
 
 
-@query(
-    """WITH RECURSIVE s AS (SELECT user_id AS stream, epoch_us(ts) AS t, CASE WHEN event_type <> 'error' THEN value END AS value, row_number() OVER (PARTITION BY user_id ORDER BY ts) AS i FROM events),
+_FILTER = """WITH RECURSIVE s AS (SELECT user_id AS stream, epoch_us(ts) AS t, CASE WHEN event_type <> 'error' THEN value END AS value, row_number() OVER (PARTITION BY user_id ORDER BY ts) AS i FROM events),
 f AS (SELECT stream, i, t, value AS estimate, CASE WHEN value IS NOT NULL THEN 400.0::DOUBLE END AS variance FROM s WHERE i = 1
   UNION ALL SELECT n.stream, n.i, n.t, CASE WHEN n.estimate IS NULL THEN n.value WHEN n.value IS NULL THEN n.estimate ELSE n.estimate + n.p / (n.p + 400) * (n.value - n.estimate) END,
     CASE WHEN n.estimate IS NULL THEN CASE WHEN n.value IS NOT NULL THEN 400.0::DOUBLE END WHEN n.value IS NULL THEN n.p ELSE 400 * n.p / (n.p + 400) END
   FROM (SELECT s.stream, s.i, s.t, s.value, f.estimate, f.variance + 0.0025 * (s.t - f.t) / 1e6 AS p FROM f JOIN s ON s.stream = f.stream AND s.i = f.i + 1) n)
-SELECT stream, t, round(estimate, 6) AS estimate, round(variance, 6) AS variance FROM f"""
-)
+"""
+
+
+def _filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = stream_events(spark, sf_dir).select("stream", "t", F.when(F.col("event_type") != "error", F.col("value")).alias("value"))
+    return streamed(rows, "t", lambda r: asof.diagonal_filter(r, 20.0, 0.05), "filter-stream")
+
+
+@query(_FILTER + "SELECT stream, t, round(estimate, 6) AS estimate, round(variance, 6) AS variance FROM f")
 def filter_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A scalar filter of each stream's values; errors are outages that hold the state."""
-    rows = _event_stream(spark, sf_dir).select("stream", "t", F.when(F.col("event_type") != "error", F.col("value")).alias("value"))
-    done = _drained(asof.diagonal_filter(rows, 20.0, 0.05), "filter-stream")
-    return done.withColumns({c: F.round(c, 6) for c in ("estimate", "variance")})
+    return _filtered(spark, sf_dir).withColumns({c: F.round(c, 6) for c in ("estimate", "variance")})
+
+
+@query(
+    _FILTER
+    + """, l AS (SELECT stream, max(t) AS t, arg_max(estimate, i) AS estimate, arg_max(variance, i) AS variance FROM f GROUP BY stream)
+SELECT stream, t + hours * 3600000000 AS t, hours::BIGINT AS hours, round(estimate, 6) AS estimate, round(variance + 0.0025 * hours * 3600, 6) AS variance FROM l, (VALUES (1), (6), (24)) h(hours)"""
+)
+def forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each stream's state carried on without input over three horizons."""
+    state = _filtered(spark, sf_dir).groupBy("stream").agg(F.max("t").alias("t"), F.max_by(F.struct("estimate", "variance"), "t").alias("s"))
+    ahead = asof.free_run(state.select("stream", "t", "s.*"), [h * HOUR for h in (1, 6, 24)], 0.05)
+    return ahead.select("stream", "t", (F.col("ahead") / HOUR).cast("long").alias("hours"), F.round("estimate", 6).alias("estimate"), F.round("variance", 6).alias("variance"))

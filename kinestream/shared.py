@@ -9,16 +9,34 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``; where a session names none, a temporary one is made and set."""
+    """The folder of ``spark.checkpoint.dir``.
+
+    Where a session on one machine names none, a temporary one is made and set. On a cluster that is an error: executors
+    would each write to a disk of their own.
+    """
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise RuntimeError(f"spark.checkpoint.dir must name a folder that all machines of {master} see")
         found = tempfile.mkdtemp(prefix="spark-shared-")
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
 
 
+def tables_dir(spark: SparkSession) -> str:
+    """This application's own folder in the shared one, for tables between steps."""
+    return f"{shared_dir(spark)}/tables-{spark.sparkContext.applicationId}"
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` as a table in the shared folder, read again: its lineage is cut and survives lost executors."""
-    path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    """``df`` as a table in the shared folder, read again: what was costly is computed once, its lineage is cut and survives lost executors."""
+    path = f"{tables_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def clear(spark: SparkSession) -> None:
+    """Delete this application's tables between steps. Results that were made of them and not written are lost."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(tables_dir(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

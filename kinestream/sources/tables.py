@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import io
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -11,24 +12,24 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from kinestream.operators.contract import ContractError
+from kinestream.operators.contract import ContractError, enforce
 
 
 def read_track_text(spark: SparkSession, path: str, key: str, wanted: list[str], sep: str = "\t") -> DataFrame:
-    """Rows of a text table that may begin with a preamble: ``key`` as a long, the ``wanted`` columns as doubles, blank as null.
+    """Rows of text tables that may begin with a preamble: ``key`` as a long, the ``wanted`` columns as doubles, blank as null.
 
-    The header is the first line that begins with ``key``; lines before it and headers of further files are passed over. Files are split
-    like any text, and only the wanted fields are parsed. Raises ContractError for a missing column.
+    The header of a file is its line that begins with ``key``; lines before it are passed over. Every file may have an order of columns of its own. Files
+    are split like any text, and only the wanted fields are parsed. Raises ContractError for a file without a header or a column.
     """
-    lines = spark.read.text(path)
-    head = lines.where(F.startswith("value", F.lit(f"{key}{sep}"))).limit(1).collect()
-    names = head[0][0].rstrip("\r").split(sep) if head else []
-    missing = [c for c in [key, *wanted] if c not in names]
-    if missing:
-        raise ContractError(f"{path}: no columns {missing}")
-    rows = lines.where(F.regexp_like("value", F.lit(rf"^\s*[0-9]+{sep}"))).select(F.split(F.regexp_replace("value", r"\r$", ""), sep).alias("p"))
-    field = lambda c: F.nullif(F.trim(F.get("p", F.lit(names.index(c)))), F.lit(""))
-    return rows.select(field(key).cast("long").alias(key), *[field(c).cast("double").alias(c) for c in wanted])
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"))
+    split = F.split(F.regexp_replace("value", r"\r$", ""), sep)
+    heads = lines.where(F.startswith("value", F.lit(f"{key}{sep}"))).groupBy("file").agg(F.min(split).alias("names"))
+    places = [F.array_position("names", c).cast("int").alias(f"_{i}") for i, c in enumerate([key, *wanted])]
+    found = lines.select("file").distinct().join(heads, "file", "left").select("file", *places)
+    enforce(found.where(" or ".join(f"coalesce(_{i}, 0) = 0" for i in range(len(places)))).select("file"), f"no header or no column of {[key, *wanted]}")
+    rows = lines.where(F.regexp_like("value", F.lit(rf"^\s*[0-9]+{sep}"))).select("file", split.alias("p")).join(found, "file")
+    field = lambda i: F.nullif(F.trim(F.get("p", F.col(f"_{i}") - 1)), F.lit(""))
+    return rows.select(field(0).cast("long").alias(key), *[field(i + 1).cast("double").alias(c) for i, c in enumerate(wanted)])
 
 
 def joint_rows(wide: DataFrame, key: str, entities: list[str], unit: str = "mm") -> DataFrame:
@@ -86,3 +87,49 @@ def write_once(df: DataFrame, path: str, partition: list[str] | None = None) ->
     """Parquet to a new place; an existing one is an error, and the committer's ``_SUCCESS`` comes last."""
     writer = df.write.mode("errorifexists")
     (writer.partitionBy(*partition) if partition else writer).parquet(path)
+
+
+def write_frame_map(rows: DataFrame, path: str, order: list[str], partition: str) -> None:
+    """A frame table as CSV files with a header to a new place, a folder for each ``partition``, rows of a file in ``order``; null is empty."""
+    rows.repartition(partition).sortWithinPartitions(partition, *order).write.mode("errorifexists").partitionBy(partition).option("header", True).option("emptyValue", "").csv(path)
+
+
+def plain_numbers(df: DataFrame) -> DataFrame:
+    """``df`` whose floating columns are null where they are not finite: JSON has no such numbers."""
+    kinds = dict(df.dtypes)
+    return df.select(*[F.when(~F.isnan(c) & (F.abs(c) < float("inf")), F.col(c)).alias(c) if kinds[c] in ("double", "float") else F.col(c) for c in df.columns])
+
+
+def write_metrics(df: DataFrame, path: str) -> None:
+    """Rows of metrics as JSON lines with every field named, null for what is not finite, to a new place."""
+    plain_numbers(df).write.mode("errorifexists").option("ignoreNullFields", False).json(path)
+
+
+def publish(spark: SparkSession, tables: dict[str, DataFrame], path: str, metrics: DataFrame) -> None:
+    """Tables to a new place, then the sorted list of their files' hashes, then the metrics: where there are metrics, all else is whole."""
+    for name, df in tables.items():
+        write_once(df, f"{path}/{name}")
+    checksums(spark, [f"{path}/{n}" for n in tables], path).coalesce(1).write.mode("errorifexists").text(f"{path}/SHA256SUMS")
+    write_metrics(metrics, f"{path}/metrics")
+
+
+def checksums(spark: SparkSession, folders: list[str], below: str) -> DataFrame:
+    """value: the lines of a checksum list, hash, two spaces, path below ``below``, in the order of paths. One line for each file."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folders)
+    name = F.regexp_replace("path", rf"^.*?{re.escape(below.rstrip('/'))}/", "")
+    return files.select(F.sha2("content", 256).alias("h"), name.alias("n")).orderBy("n").select(F.concat("h", F.lit("  "), "n").alias("value"))
+
+
+def found_segments(spark: SparkSession, root: str, prefixes: list[str]) -> dict[str, str]:
+    """The one folder below ``root`` that begins with each prefix; none or several are a ContractError."""
+    base = spark._jvm.org.apache.hadoop.fs.Path(root)
+    names = sorted(f.getPath().getName() for f in base.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(base) if f.isDirectory())
+    found = {p: [n for n in names if n.startswith(p)] for p in prefixes}
+    if wrong := {p: n for p, n in found.items() if len(n) != 1}:
+        raise ContractError(f"{root}: one folder for each prefix is needed, not {wrong}")
+    return {p: f"{root.rstrip('/')}/{n[0]}" for p, n in found.items()}
+
+
+def append_log(df: DataFrame, path: str) -> None:
+    """Rows as JSON lines behind those that are there."""
+    plain_numbers(df).write.mode("append").option("ignoreNullFields", False).json(path)

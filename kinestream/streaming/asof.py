@@ -19,6 +19,7 @@ def asof_stream(events: DataFrame, max_age: int) -> DataFrame:
     packet (the greatest acquisition so far) and the id that the last query with a packet was given. Within a micro-batch rows
     are taken by t, packets first; a packet that comes in a later batch than a query is not seen by it: no look-ahead and
     no revision. So results equal those of ``temporal.asof_causal`` however batches are cut, if batches are in order of t.
+    A stream's part of a micro-batch is one frame in memory, so bound micro-batches (``maxFilesPerTrigger``, or slices of time).
     """
 
     def step(key: tuple, frames: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
@@ -72,3 +73,10 @@ def diagonal_filter(events: DataFrame, noise: float, drift: float) -> DataFrame:
         yield pd.DataFrame(out, columns=["stream", "t", "estimate", "variance"]).astype({"estimate": "Float64", "variance": "Float64"})
 
     return events.groupBy("stream").applyInPandasWithState(step, "stream long, t long, estimate double, variance double", "x double, p double, last long", "append", "NoTimeout")
+
+
+def free_run(state: DataFrame, horizons: list[int], drift: float) -> DataFrame:
+    """``diagonal_filter``'s last state (stream, t, estimate, variance) without input: for each horizon in microseconds the same estimate at t + ahead with
+    the variance that has grown until then."""
+    each = state.select("*", F.explode(F.array(*[F.lit(h).cast("long") for h in horizons])).alias("ahead"))
+    return each.select("stream", (F.col("t") + F.col("ahead")).alias("t"), "ahead", "estimate", (F.col("variance") + drift**2 * F.col("ahead") / 1e6).alias("variance"))

@@ -83,3 +83,39 @@ def test_files_are_written_once(spark, tmp_path):
     with pytest.raises(Exception, match="(?i)exist"):
         tables.write_once(df, str(tmp_path / "t"))
     assert tables.file_hashes(spark, str(tmp_path / "t")).count() >= 1
+
+
+def test_tables_of_another_column_order(spark, tmp_path):
+    (tmp_path / "a.txt").write_text("made by hand\nFrameCounter\tA\tB\n1\t1.5\t2\n")
+    (tmp_path / "b.txt").write_text("FrameCounter\tB\tC\tA\n2\t7\tx\t8\n")
+    got = tables.read_track_text(spark, str(tmp_path), "FrameCounter", ["A", "B"]).collect()
+    assert sorted(map(tuple, got)) == [(1, 1.5, 2.0), (2, 8.0, 7.0)]
+    (tmp_path / "c.txt").write_text("FrameCounter\tA\n3\t7\n")
+    with pytest.raises(ContractError):
+        tables.read_track_text(spark, str(tmp_path), "FrameCounter", ["A", "B"])
+
+
+def test_metrics_come_last_and_are_plain(spark, tmp_path):
+    import hashlib
+    import json
+
+    df = spark.createDataFrame([("t1", 1, 0.5), ("t1", 0, None), ("t2", 0, float("nan"))], "take string, frame int, x double")
+    out = str(tmp_path / "out")
+    tables.publish(spark, {"rows": df}, out, df.groupBy("take").agg({"x": "max"}).toDF("take", "most"))
+    lines = [line.split("  ") for f in sorted((tmp_path / "out/SHA256SUMS").glob("part*")) for line in f.read_text().splitlines()]
+    files = {str(f.relative_to(tmp_path / "out")): hashlib.sha256(f.read_bytes()).hexdigest() for f in (tmp_path / "out/rows").glob("part*")}
+    assert {n: h for h, n in lines} == files and [n for _, n in lines] == sorted(files)
+    metrics = [json.loads(line) for f in (tmp_path / "out/metrics").glob("part*") for line in f.read_text().splitlines()]
+    assert sorted(metrics, key=str) == [{"take": "t1", "most": 0.5}, {"take": "t2", "most": None}]
+    with pytest.raises(Exception, match="exists"):
+        tables.publish(spark, {"rows": df}, out, df)
+    tables.write_frame_map(df, str(tmp_path / "map"), ["frame"], "take")
+    rows = [f.read_text().splitlines() for f in (tmp_path / "map/take=t1").glob("part*")]
+    assert rows == [["frame,x", "0,", "1,0.5"]]
+    for _ in range(2):
+        tables.append_log(df.limit(1), str(tmp_path / "log"))
+    assert spark.read.json(str(tmp_path / "log")).count() == 2
+    (tmp_path / "rec_1_a").mkdir(), (tmp_path / "rec_2_a").mkdir(), (tmp_path / "rec_2_b").mkdir()
+    assert tables.found_segments(spark, str(tmp_path), ["rec_1"])["rec_1"].endswith("/rec_1_a")
+    with pytest.raises(ContractError):
+        tables.found_segments(spark, str(tmp_path), ["rec_2"])

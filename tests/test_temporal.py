@@ -1,5 +1,8 @@
 """Joins on time: stated tables, and brute force over random streams and buckets."""
 
+import random
+
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
@@ -103,3 +106,45 @@ def test_rows_without_stream_or_time_stay(spark):
     assert near == {0: 1, 1: None, 2: 2}
     total = temporal.numbered(q, ["stream"], [F.col("t")], "t").collect()
     assert {r.query_id: r.i for r in total} == {0: 0, 1: None, 2: 0}
+
+
+def test_later_rows_change_nothing_before(spark):
+    """Of a prefix in time the as-of join gives what it gives for the whole: nothing looks ahead."""
+    rng = random.Random(9)
+    p = [(rng.randrange(3), a, a + rng.randrange(30), i, float(i)) for i, a in enumerate(sorted(rng.randrange(200) for _ in range(60)))]
+    q = [(rng.randrange(3), rng.randrange(200), i) for i in range(40)]
+    run = lambda a, b: {r.query_id: r for r in temporal.asof_causal(spark.createDataFrame(a, "stream long, acq long, arrival long, packet_id long, value double"), spark.createDataFrame(b, "stream long, t long, query_id long"), 50, bucket=32).collect()}
+    whole = run(p, q)
+    for cut in (60, 120):
+        part = run([x for x in p if x[2] <= cut], [x for x in q if x[1] <= cut])
+        assert part and all(whole[i] == r for i, r in part.items())
+
+
+@pytest.mark.parametrize("slices", [1, 3, 7])
+def test_streams_go_on_after_a_restart(spark, slices):
+    from kinestream.plans.timelines import streamed
+    from kinestream.streaming import asof
+
+    rng = random.Random(3)
+    p = [(rng.randrange(2), a, a + rng.randrange(30), i, float(i)) for i, a in enumerate(sorted(rng.randrange(200) for _ in range(40)))]
+    q = [(rng.randrange(2), t, i) for i, t in enumerate(rng.sample(range(230), 30))]
+    rows = [(s, 0, b, a, i, v, None) for s, a, b, i, v in p] + [(s, 1, t, None, None, None, i) for s, t, i in q]
+    made = streamed(spark.createDataFrame(rows, "stream long, kind int, t long, acq long, packet_id long, value double, query_id long"), "t", lambda r: asof.asof_stream(r, 60), "test", slices)
+    want = temporal.asof_causal(spark.createDataFrame(p, "stream long, acq long, arrival long, packet_id long, value double"), spark.createDataFrame(q, "stream long, t long, query_id long"), 60)
+    names = ["stream", "query_id", "t", "packet_id", "value", "age", "fresh"]
+    assert sorted(map(tuple, made.select(names).collect())) == sorted(map(tuple, want.select(names).collect()))
+
+
+def test_session_stream_is_the_table(spark):
+    from kinestream.operators import frames
+    from kinestream.plans.timelines import streamed
+    from kinestream.streaming import asof
+
+    rng = random.Random(1)
+    rows = [(rng.randrange(3), rng.randrange(400) * 1_000_000) for _ in range(80)]
+    # Far later rows let the watermark pass all others.
+    df = spark.createDataFrame(rows + [(9, 100_000 * 1_000_000), (9, 200_000 * 1_000_000)], "stream long, t long")
+    made = streamed(df, "t", lambda r: asof.session_splits(r.withColumn("at", F.timestamp_micros("t")), "at", "stream", "5 seconds"), "sessions", 3)
+    got = {(r.stream, r.first.timestamp(), r["rows"]) for r in made.collect() if r.stream < 9}
+    want = {(r.stream, r["first"] / 1e6, r.n) for r in frames.sessions(df, 5_000_000).collect() if r.stream < 9}
+    assert got == want
