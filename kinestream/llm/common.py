@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from kinestream.shared import written
+
+__all__ = ["GAP", "WORD", "ascii_lower", "free_name", "words", "written"]
+
 #: One word: a run of characters other than space and the five ASCII control spaces.
 WORD = r"[^\x20\x09-\x0D]+"
 #: What separates words.
@@ -16,29 +17,6 @@ GAP = r"[\x20\x09-\x0D]+"
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that the driver and all executors see, from ``spark.checkpoint.dir``.
-
-    Where a session names none (tests on one machine), a temporary folder is made and set.
-    """
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        found = tempfile.mkdtemp(prefix="spark-shared-")
-        spark.conf.set("spark.checkpoint.dir", found)
-    return found.rstrip("/")
-
-
-def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` as a Parquet table in the shared folder, read again.
-
-    It cuts the lineage: what was costly is computed once, and a lost executor costs a read.
-    """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def words(text: Column) -> Column:
     """The words of a text as an array; null and blank texts have none."""
     bare = F.btrim(F.coalesce(text, F.lit("")), F.lit("\x20\x09\x0a\x0b\x0c\x0d"))

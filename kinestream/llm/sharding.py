@@ -10,8 +10,9 @@ from kinestream.llm.common import free_name
 
 #: The multiplier of the 64-bit linear congruential step of jump consistent hashing.
 _STEP = 2862933555777941757
-#: Slots of a shard are counted in so many groups, so that no task holds a whole shard.
-GROUPS = 1024
+#: Slots of a shard are counted in so many groups by id, and each in so many by checksum, so that no task holds a whole shard or all texts
+#: of one id, such as null.
+GROUPS, PARTS = 128, 32
 
 
 def _times_step_plus_one(key: Column) -> Column:
@@ -44,9 +45,10 @@ def jump_hash(key: Column, shards: int) -> Column:
     return F.aggregate(F.sequence(F.lit(1), F.lit(shards)), start, step, lambda x: x["at"].cast("int"))
 
 
-def slot_group(key: Column) -> Column:
-    """The group 0 to GROUPS - 1 in which a key's slot is counted: bits of its first step that no first jump reads."""
-    return F.shiftrightunsigned(_times_step_plus_one(F.coalesce(key.cast("long"), F.lit(-1).cast("long"))), 20).bitwiseAND(F.lit(GROUPS - 1)).cast("int")
+def slot_group(key: Column, checksum: Column) -> Column:
+    """The group 0 to GROUPS * PARTS - 1 in which a row's slot is counted: bits of its key's first step that no first jump reads, then of its checksum."""
+    by_key = F.shiftrightunsigned(_times_step_plus_one(F.coalesce(key.cast("long"), F.lit(-1).cast("long"))), 20).bitwiseAND(F.lit(GROUPS - 1))
+    return (by_key * PARTS + checksum.bitwiseAND(F.lit(PARTS - 1))).cast("int")
 
 
 def sharded(docs: DataFrame, shards: int = 16, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -57,20 +59,21 @@ def sharded(docs: DataFrame, shards: int = 16, id_col: str = "doc_id", text_col:
     grown_shard (the shard if there were one more). Null ids count as -1. Repeated rows get a slot each, in any
     order. Equal texts may be in different shards, as this law doesn't look at texts. An empty table gives no rows.
 
-    Slots take two scans: the first reads ids only and counts rows by shard and group (at most
-    shards * GROUPS rows, summed up and broadcast), the second numbers rows within a shard and group.
+    Slots take two scans: the first counts rows by shard and group (at most shards * GROUPS * PARTS rows, summed up and
+    broadcast), the second numbers rows within a shard and group. Only rows that are equal in id and text can't be told apart and share a group.
     """
     key, text = F.col(id_col), F.coalesce(F.col(text_col), F.lit(""))
-    counted = docs.select(jump_hash(key, shards).alias("shard"), slot_group(key).alias("group")).groupBy("shard", "group").agg(F.count("*").alias("n"))
+    checksum = F.crc32(F.encode(text, "UTF-8"))
+    counted = docs.select(jump_hash(key, shards).alias("shard"), slot_group(key, checksum).alias("group")).groupBy("shard", "group").agg(F.count("*").alias("n"))
     before = Window.partitionBy("shard").orderBy("group").rowsBetween(Window.unboundedPreceding, -1)
     starts = counted.select("shard", "group", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
     dealt = docs.select(
         key.alias("doc_id"),
         (F.octet_length(text) + 1).cast("long").alias("size"),
-        F.crc32(F.encode(text, "UTF-8")).alias("text_crc32"),
+        checksum.alias("text_crc32"),
         F.lit("key").alias("law"),
         jump_hash(key, shards).alias("shard"),
-        slot_group(key).alias("group"),
+        slot_group(key, checksum).alias("group"),
         jump_hash(key, shards + 1).alias("grown_shard"),
     )
     within = Window.partitionBy("shard", "group").orderBy("doc_id", "size", "text_crc32")
@@ -109,6 +112,6 @@ grouped AS (SELECT k.rid, k.doc_id, strlen(k.t) + 1 AS size, coalesce(s.crc, 0):
     ((((CASE WHEN k.k < 0 THEN (18446744073709551616::HUGEINT + k.k::HUGEINT)::UHUGEINT ELSE k.k::UHUGEINT END) * {_STEP}::UHUGEINT + 1::UHUGEINT) % 18446744073709551616::UHUGEINT) // 1048576::UHUGEINT % {GROUPS}::UHUGEINT)::INT AS grp
   FROM keyed k JOIN placed p USING (rid) LEFT JOIN sums s USING (rid))
 SELECT doc_id, size::BIGINT AS size, text_crc32, 'key' AS law, shard::INT AS shard,
-  row_number() OVER (PARTITION BY shard ORDER BY grp, doc_id NULLS FIRST, size, text_crc32) - 1 AS slot, grown_shard::INT AS grown_shard
+  row_number() OVER (PARTITION BY shard ORDER BY grp, text_crc32 % {PARTS}, doc_id NULLS FIRST, size, text_crc32) - 1 AS slot, grown_shard::INT AS grown_shard
 FROM grouped
 """
