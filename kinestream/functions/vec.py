@@ -288,19 +288,24 @@ def project_five(p: Column, intrinsics: Sequence[float], k: Sequence[float]) ->
     return project(p, intrinsics, (k1, k2, k3, 0, 0, 0, p1, p2), 0.0)
 
 
-def chain_frames(turns: Sequence[Column], offsets: Sequence[Column], parents: Sequence[int] = PARENTS) -> list[Column]:
-    """Joint positions seen from the root, given each joint's own turn (a matrix) and its offset in its parent's axes.
+def chain_frames(turns: Sequence[Column], offsets: Sequence[Column], parents: Sequence[int] = PARENTS) -> Column:
+    """Joint positions seen from the root as an array, given each joint's own turn (a matrix) and its offset in its parent's axes.
 
-    A joint stands where its parent's axes put its offset; its axes are the parent's, turned. Each chain is worked out from the root.
+    A joint stands where its parent's axes put its offset; its axes are the parent's, turned. Joints are worked out one after the other, each once.
     """
 
     def product(a: Column, b: Column) -> Column:
         cell = lambda m, i, j: F.get(F.get(m, F.lit(i)), F.lit(j))
         return let(F.struct(a.alias("a"), b.alias("b")), lambda m: F.array(*[F.array(*[sum((cell(m["a"], i, k) * cell(m["b"], k, j) for k in range(3)), F.lit(0.0)) for j in range(3)]) for i in range(3)]))
 
-    places, axes = [vec(0, 0, 0)], [turns[0]]
-    for j, p in enumerate(parents):
-        if p >= 0:
-            places.append(add(places[p], rotate(axes[p], offsets[j])))
-            axes.append(product(axes[p], turns[j]))
-    return places
+    def folded(given: Column) -> Column:
+        def step(s: Column, j: Column) -> Column:
+            p = F.get(F.array(*[F.lit(x) for x in parents]), j)
+            own = F.struct(F.get(s["places"], p).alias("place"), F.get(s["axes"], p).alias("axes"), F.get(given["offsets"], j).alias("offset"), F.get(given["turns"], j).alias("turn"))
+            made = let(own, lambda q: F.struct(add(q["place"], rotate(q["axes"], q["offset"])).alias("place"), product(q["axes"], q["turn"]).alias("axes")))
+            return let(made, lambda m: F.struct(F.concat(s["places"], F.array(m["place"])).alias("places"), F.concat(s["axes"], F.array(m["axes"])).alias("axes")))
+
+        start = F.struct(F.array(vec(0, 0, 0)).alias("places"), F.slice(given["turns"], 1, 1).alias("axes"))
+        return F.aggregate(F.sequence(F.lit(1), F.lit(len(parents) - 1)), start, step, lambda s: s["places"])
+
+    return let(F.struct(F.array(*turns).alias("turns"), F.array(*offsets).alias("offsets")), folded)

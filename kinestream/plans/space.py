@@ -182,7 +182,7 @@ def chain_tip(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = F.col("e")
     turns = [vec.turn_exp(vec.at(e, j)) for j in range(4)]
     offsets = [vec.vec(0, 0, 0), *[vec.at(e, j) for j in (4, 5, 6)]]
-    d = poses(spark, sf_dir).select("vec_id", vec.chain_frames(turns, offsets, (-1, 0, 1, 2))[3].alias("p"))
+    d = poses(spark, sf_dir).select("vec_id", F.get(vec.chain_frames(turns, offsets, (-1, 0, 1, 2)), F.lit(3)).alias("p"))
     return d.select("vec_id", *[_r(F.col(f"p.{a}"), 5).alias(a) for a in "xyz"])
 
 

@@ -190,3 +190,45 @@ def test_filters_keep_rows_without_an_index(spark):
     assert sorted(r.i for r in got if r.stream == 2 and r.smooth is None) == [2, 2, 4]
     near = seqwin.neighbours(df, "value", [-1]).collect()
     assert len(near) == len(rows) and [r["value_-1"] for r in near if r.i is None] == [None]
+
+
+def test_chains_are_products_of_turns(spark):
+    """Twenty joints whose axes turn along their fingers, against matrix products."""
+    rng = np.random.default_rng(6)
+    turns, offsets = rng.normal(0, 0.7, (20, 3)), rng.normal(size=(20, 3))
+    turns[3] = [1e-5, 0, -2e-5]
+
+    def matrix(v):
+        k = np.array([[0, -v[2], v[1]], [v[2], 0, -v[0]], [-v[1], v[0], 0]])
+        term, total = np.eye(3), np.eye(3)
+        for i in range(1, 30):
+            term = term @ k / i
+            total = total + term
+        return total
+
+    places, axes = [np.zeros(3)], [matrix(turns[0])]
+    for j, p in enumerate(vec.PARENTS[1:], 1):
+        places.append(places[p] + axes[p] @ offsets[j])
+        axes.append(axes[p] @ matrix(turns[j]))
+    chain = vec.chain_frames([vec.turn_exp(vec.vec(*v)) for v in turns], [vec.vec(*v) for v in offsets])
+    got = spark.range(1).select(chain.alias("c")).first().c
+    assert np.allclose([tuple(x) for x in got], places, atol=1e-9)
+
+
+def test_lines_and_planes_without_a_point(spark):
+    x, y = vec.vec(1, 0, 0), vec.vec(0, 1, 0)
+    none = [vec.lines_midpoint(vec.vec(0, 0, 0), x, y, vec.add(x, y)), vec.square_axes(x, x), vec.on_plane(x, y, 1.0), vec.square_axes(vec.vec(0, 0, 0), y)]
+    met = vec.lines_midpoint(vec.vec(0, 0, 0), x, vec.vec(3, 4, 2), vec.vec(3, 5, 2))
+    row = spark.range(1).select(*[c.alias(f"c{i}") for i, c in enumerate([*none, met])]).first()
+    assert list(row[:4]) == [None] * 4 and tuple(row.c4) == (3.0, 0.0, 1.0)
+
+
+def test_contracts_between_tables(spark):
+    a = spark.createDataFrame([(1, 5.0, "x"), (2, 6.0, "y"), (3, None, "z"), (None, 1.0, "n")], "k long, v double, h string")
+    b = spark.createDataFrame([(1, 5.0, "x"), (2, 6.5, "q"), (None, 1.0, "n")], "k long, v double, h string")
+    got = {r.k: (r.found, r.differing, r.digest_holds) for r in contract.provenance(a, b, ["k"], ["v"], "h").collect()}
+    assert got == {1: (True, [], True), 2: (True, ["v"], False), 3: (False, [], False), None: (True, [], True)}
+    assert {r.k: r.status for r in contract.manifest_status(a.where("k is not null"), b.where("k = 1 or k = 2"), "k", "h").collect()} == {1: "same", 2: "changed", 3: "missing"}
+    assert {r.k: r.agrees for r in contract.agreement(a.where("k is not null"), b.where("k is not null"), ["k"], ["v"], 0.1).collect()} == {1: True, 2: False, 3: False}
+    assert [r.failures for r in contract.failures(a, {"v": F.col("v") > 5, "k": F.col("k") > 1}).orderBy("h").collect()] == [["v", "k"], ["v", "k"], [], ["v"]]
+    assert contract.accepted(a, [], {"most": F.max("v") < 9, "none": F.max(F.lit(None).cast("int")) > 1}).first().asDict() == {"most": True, "none": False, "pass": False}
