@@ -8,6 +8,10 @@ from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from kinestream.operators.contract import enforce
+from kinestream.shared import written
 
 MAGIC = b"#ROSBAG V2.0\n"
 #: Record kinds of the format.
@@ -117,3 +121,35 @@ def read_messages(spark: SparkSession, path: str, topics: list[str] | None = Non
                 yield pd.DataFrame(rows, columns=["path", "topic", "ts_ns", "payload"])
 
     return spark.read.format("binaryFile").load(path).select("path", "content").mapInPandas(run, MESSAGE_ROWS)
+
+
+def selected(raw: bytes, places: list[tuple[int, int]]) -> Iterator[tuple[int, int, bytes]]:
+    """(chunk_at, at, payload) of the messages at some places. Only their chunks are unpacked, each once, one in memory at a time."""
+    open_at, inner = -1, b""
+    for chunk_at, at in sorted(places):
+        if chunk_at != open_at:
+            _, fields, data = next(_records(raw, chunk_at))
+            open_at, inner = chunk_at, _unpacked(data, fields[b"compression"], struct.unpack("<I", fields[b"size"])[0])
+        _, _, body = next(_records(inner, at))
+        yield chunk_at, at, bytes(body)
+
+
+def read_selected(spark: SparkSession, path: str, wanted: DataFrame) -> DataFrame:
+    """path, topic, message, ts_ns, payload of the wanted messages (topic, message) of every bag; one that a bag lacks is a ContractError.
+
+    A half-open range of frames is ``spark.range(first, stop)`` with a topic. The index says where messages are, so that no other chunk is unpacked.
+    """
+    index = written(read_index(spark, path), "bag-index")
+    want = index.select("path").distinct().join(wanted.select("topic", "message").distinct(), how="cross")
+    enforce(want.join(index, ["path", "topic", "message"], "left_anti"), f"{path}: messages that are not there")
+    refs = index.join(want, ["path", "topic", "message"], "left_semi").groupBy("path").agg(F.collect_list(F.struct("chunk_at", "at")).alias("places"))
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in frames:
+            for p, raw, places in zip(f["path"], f["content"], f["places"], strict=True):
+                for row in selected(bytes(raw), [(x["chunk_at"], x["at"]) for x in places]):
+                    yield pd.DataFrame([(p, *row)], columns=["path", "chunk_at", "at", "payload"])
+
+    files = spark.read.format("binaryFile").load(path).select("path", "content").join(refs, "path")
+    found = files.mapInPandas(run, "path string, chunk_at long, at long, payload binary")
+    return found.join(index, ["path", "chunk_at", "at"]).select("path", "topic", "message", "ts_ns", "payload")

@@ -75,6 +75,11 @@ def test_bag(spark, tmp_path):
     assert [(r.topic, r.message, r.ts_ns) for r in rosbag.read_index(spark, str(tmp_path)).orderBy("message").collect()] == [("/cam", 0, 7_000_000_000), ("/cam", 1, 7_000_000_001)]
     assert [bytes(r.payload) for r in rosbag.read_messages(spark, str(tmp_path), ["/cam"]).orderBy("ts_ns").collect()] == [b"one", b"two"]
     assert rosbag.read_messages(spark, str(tmp_path), ["/other"]).count() == 0
+    of = lambda *frames: spark.createDataFrame([("/cam", k) for k in frames], "topic string, message long")
+    assert [(r.message, bytes(r.payload)) for r in rosbag.read_selected(spark, str(tmp_path), of(1, 1)).collect()] == [(1, b"two")]
+    assert [bytes(r.payload) for r in rosbag.read_selected(spark, str(tmp_path), of(0, 1)).orderBy("message").collect()] == [b"one", b"two"]
+    with pytest.raises(ContractError):
+        rosbag.read_selected(spark, str(tmp_path), of(1, 2))
 
 
 def test_files_are_written_once(spark, tmp_path):
