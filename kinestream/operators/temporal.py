@@ -35,24 +35,32 @@ def running_extreme(df: DataFrame, stream: list[str], order: list[Column], time:
     """
     best, merge = (F.min, F.least) if back else (F.max, F.greatest)
     timed = F.col(time).isNotNull()
-    marked = df.withColumn("_bucket", F.floor(F.col(time) / bucket)).withColumn("_value", F.when(timed, value))
-    keys = [*stream, "_bucket"]
-    local = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1 if exclude_current else 0)
-    before = Window.partitionBy(*stream).orderBy(F.col("_bucket").desc() if back else F.col("_bucket")).rowsBetween(Window.unboundedPreceding, -1)
-    carried = marked.groupBy(*keys).agg(best("_value").alias("_total")).select(*keys, best("_total").over(before).alias("_carry"))
-    rows = marked.withColumn("_local", best("_value").over(local))
-    return joined(rows, carried, keys).withColumn(name, F.when(timed, merge("_local", "_carry"))).select(*df.columns, name)
+    marked = df.withColumn("_key", _bucket_key(stream, time, bucket)).withColumn("_value", F.when(timed, value))
+    local = Window.partitionBy("_key").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1 if exclude_current else 0)
+    carried = marked.groupBy("_key").agg(best("_value").alias("_total")).select("_key", best("_total").over(_before(stream, back)).alias("_carry"))
+    rows = marked.withColumn("_local", best("_value").over(local)).join(carried, "_key")
+    return rows.withColumn(name, F.when(timed, merge("_local", "_carry"))).select(*df.columns, name)
+
+
+def _bucket_key(stream: list[str], time: str, bucket: int) -> Column:
+    """A row's stream and bucket as one struct: never null itself, and equal where both have a null at the same place, so that a plain join on it
+    loses no row and needs no other partitioning than the window before it."""
+    return F.struct(*[F.col(c).alias(f"s{i}") for i, c in enumerate(stream)], F.floor(F.col(time) / bucket).alias("bucket"))
+
+
+def _before(stream: list[str], back: bool):
+    """The buckets of a stream before (back: after) the current one."""
+    order = F.col("_key.bucket")
+    return Window.partitionBy(*[F.col(f"_key.s{i}") for i in range(len(stream))]).orderBy(order.desc() if back else order).rowsBetween(Window.unboundedPreceding, -1)
 
 
 def running_total(df: DataFrame, stream: list[str], order: list[Column], time: str, value: Column, name: str, bucket: int = BUCKET) -> DataFrame:
     """``df`` with ``name``: the sum of ``value`` over the row's stream up to the row in ``order``, by buckets as above."""
     timed = F.col(time).isNotNull()
-    marked = df.withColumn("_bucket", F.floor(F.col(time) / bucket)).withColumn("_value", F.when(timed, value))
-    keys = [*stream, "_bucket"]
-    local = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    before = Window.partitionBy(*stream).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    carried = marked.groupBy(*keys).agg(F.sum("_value").alias("_total")).select(*keys, F.sum("_total").over(before).alias("_carry"))
-    rows = joined(marked.withColumn("_local", F.sum("_value").over(local)), carried, keys)
+    marked = df.withColumn("_key", _bucket_key(stream, time, bucket)).withColumn("_value", F.when(timed, value))
+    local = Window.partitionBy("_key").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    carried = marked.groupBy("_key").agg(F.sum("_value").alias("_total")).select("_key", F.sum("_total").over(_before(stream, False)).alias("_carry"))
+    rows = marked.withColumn("_local", F.sum("_value").over(local)).join(carried, "_key")
     total = F.when(timed & (F.col("_local").isNotNull() | F.col("_carry").isNotNull()), F.coalesce("_local", F.lit(0)) + F.coalesce("_carry", F.lit(0)))
     return rows.withColumn(name, total).select(*df.columns, name)
 
