@@ -125,6 +125,18 @@ def test_languages_on_held_out_rows(spark):
     assert language.predict(odd, language.train(odd.limit(0))).where("lang_pred <> 'und'").count() == 0
 
 
+def test_long_pages_are_whole(spark):
+    """Thousands of lines, of which the page of the nearest URL has all but a few; one line of a million characters."""
+    frame_lines = [f"<div>menu {k}</div>" for k in range(3000)]
+    pages = [(i, f"http://h.org/a/{i}", "".join(frame_lines[:1500]) + f"<p>story {i} {'é' * (1_000_000 if i == 0 else 3)}" + "".join(f"<div>{x}" for x in frame_lines[1500:])) for i in range(2)]
+    got = {r.page_id: r for r in html_text.extracted(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    assert [got[i].text for i in range(2)] == ["story 0 " + "é" * 1_000_000, "story 1 ééé"] and got[0].n_shared == 3000 and got[0].n_chars == 1_000_008
+    article = "<article>" + "".join(f"<p>line {k % 7}" for k in range(20_000)) + "</article>"
+    rows = [(5, "http://h.org/b", article), (5, "http://h.org/b", article), (None, None, "<p>free" * 5)]
+    got = html_text.extracted(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert sorted(len(r.text) for r in got) == [24, 139_999, 139_999]
+
+
 def plain_convolution(model, row):
     """Log probabilities of one window, byte by byte."""
     hidden = []
