@@ -17,17 +17,22 @@ def finite(x: Column) -> Column:
     return F.when(~F.isnan(x) & (F.abs(x) < float("inf")), x)
 
 
-def split_percentiles(df: DataFrame, keys: list[str], value: str, quantiles: dict[str, float]) -> DataFrame:
-    """keys and a column for each quantile of ``value``, exact and linear between ranks, for groups of any size.
+def _ordered_counts(df: DataFrame, keys: list[str], value: str) -> DataFrame:
+    """How often each group has each value, sorted by group and value over the whole cluster: _k0 ..., _v, _n, _part. What is not finite is null.
 
-    Spark's ``percentile`` holds all distinct values of a group in one task. Here equal values are counted first, the counts are sorted over
-    the whole cluster, and only the parts of the order that hold a wanted rank are looked through. Null keys are one group; values that are
-    null or not finite don't count, and a group without others has no row.
+    A table in the shared folder: the parts must be the same whenever they are read.
     """
-    names = [f"_k{i}" for i in range(len(keys))]
-    known = df.select(*[F.col(k).alias(n) for k, n in zip(keys, names, strict=True)], finite(F.col(value).cast("double")).alias("_v")).where("_v is not null")
-    counts = known.groupBy(*names, "_v").agg(F.count("*").alias("_n"))
-    order = written(counts.repartitionByRange(*names, "_v").withColumn("_part", F.spark_partition_id()), "counts")
+    named = [F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]
+    counts = df.select(*named, finite(F.col(value).cast("double")).alias("_v")).groupBy(*_names(keys), "_v").agg(F.count("*").alias("_n"))
+    return written(counts.repartitionByRange(*_names(keys), "_v").withColumn("_part", F.spark_partition_id()), "counts")
+
+
+def _names(keys: list[str]) -> list[str]:
+    return [f"_k{i}" for i in range(len(keys))]
+
+
+def _percentiles(order: DataFrame, keys: list[str], quantiles: dict[str, float]) -> DataFrame:
+    names, order = _names(keys), order.where("_v is not null")
     by_key = Window.partitionBy(*names) if names else Window.partitionBy(F.lit(0))
     parts = order.groupBy(*names, "_part").agg(F.sum("_n").alias("_size"))
     before = F.sum("_size").over(by_key.orderBy("_part").rowsBetween(Window.unboundedPreceding, 0)) - F.col("_size")
@@ -42,15 +47,31 @@ def split_percentiles(df: DataFrame, keys: list[str], value: str, quantiles: dic
     low_high = [(at(F.floor(p).cast("long")).alias(f"{n}_low"), at(F.ceil(p).cast("long")).alias(f"{n}_high")) for n, p in places.items()]
     found = placed.groupBy(*names, "_all").agg(*[c for pair in low_high for c in pair])
     between = [(F.col(f"{n}_low") + (F.col(f"{n}_high") - F.col(f"{n}_low")) * (p - F.floor(p))).alias(n) for n, p in places.items()]
-    return found.select(*[F.col(n).alias(k) for k, n in zip(keys, names, strict=True)], *between)
+    return found.select(*names, *between)
+
+
+def split_percentiles(df: DataFrame, keys: list[str], value: str, quantiles: dict[str, float]) -> DataFrame:
+    """keys and a column for each quantile of ``value``, exact and linear between ranks, for groups of any size.
+
+    Spark's ``percentile`` holds all distinct values of a group in one task. Here equal values are counted first, the counts are sorted over
+    the whole cluster, and only the parts of the order that hold a wanted rank are looked through. Null keys are one group; values that are
+    null or not finite don't count, and a group without others has no row.
+    """
+    found = _percentiles(_ordered_counts(df, keys, value), keys, quantiles)
+    return found.select(*[F.col(n).alias(k) for k, n in zip(keys, _names(keys), strict=True)], *quantiles)
 
 
 def distribution(df: DataFrame, keys: list[str], value: str, quantiles: dict[str, float], extra: tuple[str, ...] = ()) -> DataFrame:
-    """count, mean, quantiles (linear between ranks), and of ``extra``: min, max, rmse; a group without values has count 0 and nulls."""
-    x = finite(F.col(value))
-    made = {"count": F.count(x), "mean": F.avg(x)}
-    made |= {n: f for n, f in {"min": F.min(x), "max": F.max(x), "rmse": F.sqrt(F.avg(x * x))}.items() if n in extra}
-    return joined(df.groupBy(*keys).agg(*[c.alias(n) for n, c in made.items()]), split_percentiles(df, keys, value, quantiles), keys)
+    """count, mean, quantiles (linear between ranks), and of ``extra``: min, max, rmse; a group without values has count 0 and nulls.
+
+    All are made of the counts of equal values, so ``df`` is worked out once.
+    """
+    order, names = _ordered_counts(df, keys, value), _names(keys)
+    v, n = F.col("_v"), F.when(F.col("_v").isNotNull(), F.col("_n"))
+    made = {"count": F.coalesce(F.sum(n), F.lit(0)), "mean": F.sum(v * n) / F.sum(n)}
+    made |= {m: f for m, f in {"min": F.min(v), "max": F.max(v), "rmse": F.sqrt(F.sum(v * v * n) / F.sum(n))}.items() if m in extra}
+    rows = joined(order.groupBy(*names).agg(*[c.alias(m) for m, c in made.items()]), _percentiles(order, keys, quantiles), names)
+    return rows.select(*[F.col(m).alias(k) for k, m in zip(keys, names, strict=True)], *made, *quantiles)
 
 
 def threshold_counts(df: DataFrame, keys: list[str], residual: str, in_frame: str, bounds: tuple[float, ...]) -> DataFrame:
