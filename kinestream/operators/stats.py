@@ -64,14 +64,12 @@ def split_percentiles(df: DataFrame, keys: list[str], value: str, quantiles: dic
 def distribution(df: DataFrame, keys: list[str], value: str, quantiles: dict[str, float], extra: tuple[str, ...] = ()) -> DataFrame:
     """count, mean, quantiles (linear between ranks), and of ``extra``: min, max, rmse; a group without values has count 0 and nulls.
 
-    All are made of the counts of equal values, so ``df`` is worked out once.
+    ``df`` is worked out twice: sums of counted values would differ from the rows' own in the last digit.
     """
-    order, names = _ordered_counts(df, keys, value), _names(keys)
-    v, n = F.col("_v"), F.when(F.col("_v").isNotNull(), F.col("_n"))
-    made = {"count": F.coalesce(F.sum(n), F.lit(0)), "mean": F.sum(v * n) / F.sum(n)}
-    made |= {m: f for m, f in {"min": F.min(v), "max": F.max(v), "rmse": F.sqrt(F.sum(v * v * n) / F.sum(n))}.items() if m in extra}
-    rows = joined(order.groupBy(*names).agg(*[c.alias(m) for m, c in made.items()]), _percentiles(order, keys, quantiles), names)
-    return rows.select(*[F.col(m).alias(k) for k, m in zip(keys, names, strict=True)], *made, *quantiles)
+    x = finite(F.col(value))
+    made = {"count": F.count(x), "mean": F.avg(x)}
+    made |= {n: f for n, f in {"min": F.min(x), "max": F.max(x), "rmse": F.sqrt(F.avg(x * x))}.items() if n in extra}
+    return joined(df.groupBy(*keys).agg(*[c.alias(n) for n, c in made.items()]), split_percentiles(df, keys, value, quantiles), keys)
 
 
 def threshold_counts(df: DataFrame, keys: list[str], residual: str, in_frame: str, bounds: tuple[float, ...]) -> DataFrame:
