@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kinestream.llm import bpe, decontaminate, html_text, language, near_copies, pii, quality, secrets, sharding, simhash, token_counts
+from kinestream.llm import bpe, decontaminate, divergence, html_text, language, near_copies, pii, quality, secrets, sharding, simhash, token_counts
 
 VOCABULARY = "word_bpe_49k.json"
 
@@ -74,6 +74,11 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.detected(_read(spark, sf_dir, "documents"))
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distances of the sources of each language, and the terms that each overuses."""
+    return divergence.audit(_read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -87,9 +92,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_html_main_text,
         op9_token_counts,
         op10_personal_data,
+        op11_source_divergence,
     )
 }
-ORACLE_SQL: dict[str, str] = {"op4_jump_hash_shards": sharding.ORACLE}
+ORACLE_SQL: dict[str, str] = {"op4_jump_hash_shards": sharding.ORACLE, "op11_source_divergence": divergence.ORACLE}
 
 
 # The pipeline's stages: each takes the documents that its predecessor kept.
