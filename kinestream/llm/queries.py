@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kinestream.llm import bpe, decontaminate, divergence, html_text, language, near_copies, pii, quality, secrets, sharding, simhash, token_counts
+from kinestream.llm import bpe, classifier, decontaminate, divergence, html_text, language, near_copies, pii, quality, secrets, sharding, simhash, token_counts
 
 VOCABULARY = "word_bpe_49k.json"
 
@@ -79,6 +79,12 @@ def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(_read(spark, sf_dir, "documents"))
 
 
+def op12_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document."""
+    docs = _read(spark, sf_dir, "documents")
+    return classifier.score(docs, classifier.train(docs, _read(spark, sf_dir, "labels")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -93,6 +99,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_token_counts,
         op10_personal_data,
         op11_source_divergence,
+        op12_quality_classifier,
     )
 }
 ORACLE_SQL: dict[str, str] = {"op4_jump_hash_shards": sharding.ORACLE, "op11_source_divergence": divergence.ORACLE}
