@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kinestream.llm import bpe, classifier, decontaminate, divergence, html_text, language, near_copies, pii, quality, secrets, sharding, simhash, token_counts
+from kinestream.llm import bpe, classifier, decontaminate, divergence, html_text, language, near_copies, pii, quality, secrets, sharding, simhash, token_counts, whitening
 
 VOCABULARY = "word_bpe_49k.json"
 
@@ -85,6 +85,12 @@ def op12_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classifier.score(docs, classifier.train(docs, _read(spark, sf_dir, "labels")))
 
 
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The leading whitened components of every usable embedding."""
+    vectors = _read(spark, sf_dir, "embeddings")
+    return whitening.whitened(vectors, whitening.fit(vectors))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -100,6 +106,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op10_personal_data,
         op11_source_divergence,
         op12_quality_classifier,
+        op13_embedding_whitening,
     )
 }
 ORACLE_SQL: dict[str, str] = {"op4_jump_hash_shards": sharding.ORACLE, "op11_source_divergence": divergence.ORACLE}
