@@ -174,9 +174,10 @@ def audit(docs: DataFrame, lang_col: str = "lang", source_col: str = "source", t
     of_count = counts.join(groups.select("lang", "source", "block", "last", "shards"), ["lang", "source"]).withColumn("shard", F.pmod(F.xxhash64("term"), "shards"))
     keys = ["lang", "shard", "left_block", "right_block"]
     parts = dealt(of_count).groupBy(keys).cogroup(dealt(of_group).groupBy(keys)).applyInArrow(shard_divergences, "lang string, source string, part string, item string, value long")
-    total = parts.groupBy("lang", "source", "part", "item").agg(F.sum("value").alias("value"))
-    rank = F.row_number().over(Window.partitionBy("lang", "source", "part").orderBy(F.desc("value"), "item"))
-    return total.withColumn("rank", rank).where((F.col("part") == "pair") | (F.col("rank") <= TOP))
+    parts = written(parts, "shard-divergences")
+    rank = F.row_number().over(Window.partitionBy("lang", "source").orderBy(F.desc("value"), "item"))
+    pairs = parts.where("part = 'pair'").groupBy("lang", "source", "part", "item").agg(F.sum("value").alias("value")).withColumn("rank", rank)
+    return pairs.union(parts.where("part = 'term'").withColumn("rank", rank).where(F.col("rank") <= TOP))  # Spark cuts each task's part of a source to TOP before it shuffles
 
 
 ORACLE = f"""
