@@ -115,6 +115,20 @@ def quat_unit(q: Column, least: float = 1e-12) -> Column:
     return let(q, lambda v: let(F.sqrt(quat_dot(v, v)), lambda n: F.when(n > least, quat(*[v[c] / n for c in "wxyz"]))))
 
 
+def quat_product(a: Column, b: Column) -> Column:
+    """a * b: the turn ``b`` in the axes that ``a`` makes."""
+    w = a["w"] * b["w"] - a["x"] * b["x"] - a["y"] * b["y"] - a["z"] * b["z"]
+    x = a["w"] * b["x"] + a["x"] * b["w"] + a["y"] * b["z"] - a["z"] * b["y"]
+    y = a["w"] * b["y"] - a["x"] * b["z"] + a["y"] * b["w"] + a["z"] * b["x"]
+    z = a["w"] * b["z"] + a["x"] * b["y"] - a["y"] * b["x"] + a["z"] * b["w"]
+    return quat(w, x, y, z)
+
+
+def quat_rotate(q: Column, v: Column) -> Column:
+    """``v`` turned by a unit quaternion."""
+    return let(scale(cross(q, v), 2.0), lambda t: add(add(v, scale(t, q["w"])), cross(q, t)))
+
+
 def quat_slerp(a: Column, b: Column, t: Column) -> Column:
     """Along the shorter arc between unit quaternions; linear weights where the sine of the angle is under 1e-8."""
 

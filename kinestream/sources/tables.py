@@ -32,6 +32,28 @@ def read_track_text(spark: SparkSession, path: str, key: str, wanted: list[str],
     return rows.select(field(0).cast("long").alias(key), *[field(i + 1).cast("double").alias(c) for i, c in enumerate(wanted)])
 
 
+def read_markers(spark: SparkSession, path: str, markers: list[str], rate: float, key: str = "FrameCounter", unit: str = "mm", sep: str = "\t") -> DataFrame:
+    """file, counter and points (a map from marker to struct x, y, z; blank coordinates are null) of marker files.
+
+    The lines before the header are names and values, of which FREQUENCY must be ``rate``. A file that states another or none, or lacks a column of a marker, is a
+    ContractError. Files are split like any text.
+    """
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"))
+    parts = F.split(F.regexp_replace("value", r"\r$", ""), sep)
+    stated = lines.where(F.startswith("value", F.lit(f"FREQUENCY{sep}"))).groupBy("file").agg(F.max(F.get(parts, F.lit(1))).try_cast("double").alias("rate"), F.min(F.get(parts, F.lit(1))).try_cast("double").alias("least"))
+    files = lines.select("file").distinct().join(stated, "file", "left")
+    enforce(files.where(f"rate is null or rate != {float(rate)!r} or least != rate"), f"files of another rate than {rate:g}")
+    heads = lines.where(F.startswith("value", F.lit(f"{key}{sep}"))).groupBy("file").agg(F.min(parts).alias("names"))
+    names = [f"Marker_{m}_Pos_{a}({unit})" for m in markers for a in "XYZ"]
+    places = F.array(*[F.array_position("names", c).cast("int") for c in [key, *names]])
+    found = files.select("file").join(heads, "file", "left").select("file", places.alias("_at"))
+    enforce(found.where("_at is null or array_contains(_at, 0)").select("file"), f"no header, or no column of {names}")
+    rows = lines.where(F.regexp_like("value", F.lit(rf"^\s*[0-9]+{sep}"))).select("file", parts.alias("p")).join(found, "file")
+    field = lambda i: F.nullif(F.trim(F.get("p", F.get("_at", F.lit(i)) - 1)), F.lit(""))
+    points = [x for k, m in enumerate(markers) for x in (F.lit(m), F.struct(*[field(3 * k + j + 1).cast("double").alias(a) for j, a in enumerate("xyz")]))]
+    return rows.select("file", field(0).cast("long").alias("counter"), F.create_map(*points).alias("points"))
+
+
 def joint_rows(wide: DataFrame, key: str, entities: list[str], unit: str = "mm") -> DataFrame:
     """A wide table of ``{entity}_Pos_{X,Y,Z}({unit})`` columns as rows (key, joint, name, x, y, z)."""
     each = [F.struct(F.lit(i).alias("joint"), F.lit(e).alias("name"), *[F.col(f"`{e}_Pos_{a}({unit})`").alias(a.lower()) for a in "XYZ"]) for i, e in enumerate(entities)]
