@@ -53,7 +53,7 @@ def frozen(pairs: DataFrame, keys: list[str], take: str, source, axis: Sequence[
     first = turn_fit(own, keys, axis).where("scale is not null")
     frames = written(joined(own, first.select(*keys, "scale", "rotation"), keys).withColumn("r", residual()).groupBy(*keys, frame).agg(F.median("r").alias("frame_residual")), "holdout-frames")
     trimmed = stats.mad_trimmed(frames, keys, "frame_residual", least, min_frames)
-    stay = own.join(trimmed.where("kept").select(*keys, frame), [*keys, frame])
+    stay = joined(own, trimmed.select(*keys, frame, "kept"), [*keys, frame]).where("kept").drop("kept")
     counted = trimmed.groupBy(*keys).agg(F.count_if("kept").alias("frames"), F.bool_or("refined").alias("refined"))
     final = turn_fit(stay, keys, axis)
     measured = joined(stay, final.select(*keys, "scale", "rotation"), keys).withColumn("r", residual())

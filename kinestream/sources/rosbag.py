@@ -202,7 +202,9 @@ class BagReader(DataSourceReader):
                 raise ContractError(f"{path}: messages [{self.first}, {self.stop}) of {short}")
         return out
 
-    def read(self, part: BagRange) -> Iterator[pa.RecordBatch]:
+    def read(self, part: BagRange | None) -> Iterator[pa.RecordBatch]:
+        if part is None:  # Spark asks so where there are no partitions
+            return
         rows: list[tuple] = []
         count = dict(part.before)
         with opened(part.path) as f:
@@ -252,7 +254,7 @@ class BagSource(DataSource):
         return INDEX_ROWS + (", payload binary" if self.options.get("payload") == "true" else "")
 
     def reader(self, schema) -> BagReader:
-        return BagReader(dict(self.options))
+        return BagReader(self.options)  # names of options know no case
 
 
 def _read(spark: SparkSession, path: str, **options: object) -> DataFrame:

@@ -63,6 +63,7 @@ def _record(fields, data):
 
 
 def test_bag(spark, tmp_path):
+    """A bag that was never closed: no index section, records only."""
     conn = struct.pack("<I", 0)
     inner, places = b"", []
     for k, text in enumerate((b"one", b"two")):
@@ -82,6 +83,59 @@ def test_bag(spark, tmp_path):
         rosbag.read_selected(spark, str(tmp_path), of(1, 2))
 
 
+@pytest.mark.parametrize("compression", ["none", "bz2"])
+def test_bag_is_many_tasks(spark, tmp_path, compression):
+    """Two bags of many chunks: a task for each range of chunks; a range of messages reads only its own chunks, in order."""
+    rows = [(f"b{k % 2}", f"/t{k % 3}", 10**9 + 1000 * k, f"{k:05d}".encode() * 40) for k in range(600)]
+    made = rosbag.write_bags(spark.createDataFrame(rows, "bag string, topic string, ts_ns long, payload binary"), str(tmp_path / "bags"), compression, 4096).collect()
+    assert {(r.bag, r.messages) for r in made} == {("b0", 300), ("b1", 300)} and all(r.bytes == (tmp_path / f"bags/{r.bag}.bag").stat().st_size for r in made)
+    assert sorted(p.name for p in (tmp_path / "bags").iterdir()) == ["b0.bag", "b1.bag"]
+    path = str(tmp_path / "bags")
+    index = rosbag.read_index(spark, path, task_bytes=8192)
+    assert index.rdd.getNumPartitions() >= (4 if compression == "bz2" else 20)
+    count, want = {}, []
+    for bag, topic, ts, body in rows:
+        n = count[bag, topic] = count.get((bag, topic), -1) + 1
+        want.append((bag, topic, n, ts, body))
+    name = lambda p: p.rsplit("/", 1)[1].removesuffix(".bag")
+    assert sorted((name(r.path), r.topic, r.message, r.ts_ns) for r in index.collect()) == sorted(w[:4] for w in want)
+    for size in (1, 8192, 1 << 30):
+        got = rosbag.read_messages(spark, path, ["/t1", "/t2"], task_bytes=size).collect()
+        assert sorted((name(r.path), r.topic, r.message, r.ts_ns, bytes(r.payload)) for r in got) == sorted(w for w in want if w[1] != "/t0")
+    got = rosbag.read_range(spark, path, "/t1", 20, 31, task_bytes=1).collect()
+    assert [(name(r.path), r.topic, r.message, r.ts_ns, bytes(r.payload)) for r in got] == sorted(w for w in want if w[1] == "/t1" and 20 <= w[2] < 31)
+    for bad in ((0, 101), (5, 4)):
+        with pytest.raises(Exception, match="ContractError|no range"):
+            rosbag.read_range(spark, path, "/t1", *bad).collect()
+    _, chunks, _ = rosbag.layout(f"{path}/b0.bag")
+    raw = bytearray((tmp_path / "bags/b0.bag").read_bytes())
+    for c in chunks[:3]:
+        raw[c.at + 80 : c.at + 200] = b"\xff" * 120
+    (tmp_path / "bags/b0.bag").write_bytes(raw)
+    assert len(rosbag.read_range(spark, path, "/t1", 80, 90, task_bytes=1).collect()) == 20
+    if compression == "bz2":  # chunks that aren't packed have no checksum
+        with pytest.raises(Exception, match="(?i)invalid data"):
+            rosbag.read_range(spark, path, "/t1", 0, 10).collect()
+
+
+def test_bags_that_are_broken(spark, tmp_path):
+    """Another file, an index beyond the end, a chunk of another size than stated, times that do not increase."""
+    (tmp_path / "x.bag").write_bytes(b"#ROSBAG V1.2\n")
+    with pytest.raises(ContractError, match="format 2.0"):
+        rosbag.layout(str(tmp_path / "x.bag"))
+    (tmp_path / "y.bag").write_bytes(rosbag.MAGIC + _record({b"op": b"\x03", b"index_pos": struct.pack("<Q", 10**6)}, b""))
+    with pytest.raises(ContractError, match="index"):
+        rosbag.layout(str(tmp_path / "y.bag"))
+    with pytest.raises(ContractError, match="size"):
+        rosbag._unpacked(bz2.compress(b"abc"), b"bz2", 4)
+    with pytest.raises(ContractError):
+        rosbag.write_bags(spark.createDataFrame([("a", "/t", None, b"x")], "bag string, topic string, ts_ns long, payload binary"), str(tmp_path / "none"))
+    twice = spark.createDataFrame([("a", "/t", 5, b"x"), ("a", "/t", 5, b"y")], "bag string, topic string, ts_ns long, payload binary")
+    rosbag.write_bags(twice, str(tmp_path / "twice"))
+    with pytest.raises(ContractError, match="increase"):
+        rosbag.read_range(spark, str(tmp_path / "twice"), "/t", 0, 2)
+
+
 def test_files_are_written_once(spark, tmp_path):
     df = spark.range(3)
     tables.write_once(df, str(tmp_path / "t"))
