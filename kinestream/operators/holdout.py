@@ -52,14 +52,14 @@ def frozen(pairs: DataFrame, keys: list[str], take: str, source, axis: Sequence[
     own = written(pairs.where((F.col(take) == F.lit(source)) & F.col("s").isNotNull() & F.col("t").isNotNull()).select(*keys, frame, "s", "t"), "holdout-pairs")
     first = turn_fit(own, keys, axis).where("scale is not null")
     frames = written(joined(own, first.select(*keys, "scale", "rotation"), keys).withColumn("r", residual()).groupBy(*keys, frame).agg(F.median("r").alias("frame_residual")), "holdout-frames")
-    trimmed = stats.mad_trimmed(frames, keys, "frame_residual", least, min_frames)
+    trimmed = written(stats.mad_trimmed(frames, keys, "frame_residual", least, min_frames), "holdout-trimmed")
     stay = joined(own, trimmed.select(*keys, frame, "kept"), [*keys, frame]).where("kept").drop("kept")
     counted = trimmed.groupBy(*keys).agg(F.count_if("kept").alias("frames"), F.bool_or("refined").alias("refined"))
-    final = turn_fit(stay, keys, axis)
+    final = written(turn_fit(stay, keys, axis), "holdout-fit")
     measured = joined(stay, final.select(*keys, "scale", "rotation"), keys).withColumn("r", residual())
     quality = stats.split_percentiles(measured, keys, "r", {"residual_median": 0.5, "residual_p95": 0.95})
     models = joined(joined(final, counted, keys), quality, keys).withColumn("source_take", F.lit(source))
-    return models.select(*keys, *_MODEL)
+    return written(models.select(*keys, *_MODEL), "holdout-models")
 
 
 def applied(pairs: DataFrame, models: DataFrame, keys: list[str], take: str) -> DataFrame:
