@@ -22,14 +22,15 @@ _SPACE = re.compile(r"\s+")
 _PART = re.compile(r"[a-z0-9]+")
 #: Elements whose content is no text of the page.
 _RAW = frozenset("script style noscript template textarea title svg math iframe object canvas".split())
-#: Elements that hold no main text.
-_CHROME = frozenset("nav footer aside form menu dialog button select head".split())
-#: Words of a class, id or role that mark what is not the article.
-_CHROME_WORDS = frozenset(
-    "ad ads advert adverts advertisement advertising sponsor sponsored promo nav navbar navigation menu breadcrumb breadcrumbs header footer sidebar side aside widget "
-    "cookie cookies consent notice notices banner popup modal newsletter subscribe signup login share social comment comments discussion reply replies disqus related "
-    "contentinfo complementary search".split()
+#: Elements that hold no main text whatever they say.
+_CHROME = frozenset("nav footer aside menu dialog button select option label legend head".split())
+#: What a name of a class, id or role is, or begins with, that marks what is no main text.
+_CHROME_NAMES = frozenset(
+    "ad ads advert adverts advertisement advertising sponsored promo nav navbar navigation menu breadcrumb breadcrumbs sidebar cookie cookies consent banner popup modal newsletter "
+    "comment comments discussion reply replies disqus contentinfo complementary".split()
 )
+#: Words in such a name that only suggest it: differencing decides.
+_CHROME_WORDS = _CHROME_NAMES | frozenset("header footer side widget notice notices sponsor subscribe signup login share social related search".split())
 #: Of these, the ones that mark what is written about the article, so that an article inside is none either.
 _ABOUT_WORDS = frozenset("comment comments discussion reply replies disqus related".split())
 _HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
@@ -40,32 +41,39 @@ _VOID = frozenset("area base br col embed hr img input link meta param source tr
 _INLINE = frozenset("a abbr b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr img".split())
 
 
+#: Elements whose lines are running text, also outside an article.
+_PROSE = frozenset("p blockquote pre section dd h1 h2 h3 h4 h5 h6".split())
+
+
 @dataclass
 class Block:
     """One line of text: main is 1 in an article or main element, 2 if a class around that element speaks of comments and the
-    like, else 0; chrome tells of an element or a class, inside the article or without one, that holds no main text."""
+    like, else 0. chrome: 0 for nothing around it that speaks against it, 1 for a hint (a word in a class, a form), 2 for a class or 3 for an element that
+    holds no main text. prose: it is in an element of running text."""
 
     text: str
     main: int
-    chrome: bool
+    chrome: int
+    prose: bool
 
 
 def blocks(page: str | None) -> list[Block]:
     """The text lines of a page, in order. White space inside a line is one space; empty lines are left out.
 
-    A class word may stand for the layout around the article, so an article or main element inside begins anew.
+    What is around an article or main element, a form or a layout's class, doesn't speak against it: it begins anew, but among comments.
     """
     page = page or ""
     found: list[Block] = []
-    stack: list[tuple[str, int, int]] = []
+    stack: list[tuple[str, int, int, bool]] = []
     line: list[str] = []
     main = chrome = 0
+    about = False
 
     def flush() -> None:
         text = _SPACE.sub(" ", entities.unescape("".join(line))).strip()
         line.clear()
         if text:
-            found.append(Block(text, main, chrome > 0))
+            found.append(Block(text, main, chrome, any(x[0] in _PROSE for x in stack)))
 
     at = 0
     while m := _MARK.search(page, at):
@@ -84,7 +92,7 @@ def blocks(page: str | None) -> list[Block]:
                 if name in _INLINE and any(x[0] not in _INLINE for x in stack[depth:]):
                     continue
                 del stack[depth:]
-                main, chrome = stack[-1][1:] if stack else (0, 0)
+                main, chrome, about = stack[-1][1:] if stack else (0, 0, False)
             continue
         if name not in _INLINE:
             flush()
@@ -100,19 +108,21 @@ def blocks(page: str | None) -> list[Block]:
             stop = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] in _HOLDERS), -1)
             if own is not None and own > stop:
                 del stack[own:]
-                main, chrome = stack[-1][1:] if stack else (0, 0)
+                main, chrome, about = stack[-1][1:] if stack else (0, 0, False)
         attrs = m["attrs"] or ""
-        words = {w for found_ in _CLASS.findall(attrs) for w in _PART.findall("".join(found_).lower())} if "=" in attrs else set()
-        # chrome: 1 and 2 by a class, 3 by an element.
+        names = {w for found_ in _CLASS.findall(attrs) for w in "".join(found_).lower().split()} if "=" in attrs else set()
+        words = {w for n in names for w in _PART.findall(n)}
         if name in _CHROME or (name == "header" and not main):
             chrome = 3
         elif name in _MAIN and not main:
-            main, chrome = (2 if chrome == 2 else 1), (3 if chrome == 3 else 0)
-        elif name != "body" and words & _ABOUT_WORDS:
-            chrome = max(chrome, 2)
-        elif name not in _MAIN | _HEADINGS and name != "body" and words & _CHROME_WORDS:
-            chrome = max(chrome, 1)
-        stack.append((name, main, chrome))
+            main, chrome = (2, chrome) if about else (1, 0)
+        elif name not in _MAIN and name != "body":
+            if any(parts[0] in _CHROME_NAMES or (len(parts) > 1 and _CHROME_WORDS.issuperset(parts)) for n in names if (parts := _PART.findall(n))):
+                chrome = max(chrome, 2)
+            elif name == "form" or (name not in _HEADINGS and words & _CHROME_WORDS):
+                chrome = max(chrome, 1)
+            about = about or bool(words & _ABOUT_WORDS)
+        stack.append((name, main, chrome, about))
     line.append(page[at:])
     flush()
     return found
@@ -168,19 +178,51 @@ def _lengths(a: list[int], b: np.ndarray) -> np.ndarray:
     return row
 
 
-def main_text(own: list[Block], shared: set[int]) -> str:
-    """The main text of a page, given the lines that it shares with the page of the nearest URL.
+#: Shared lines of an article go if all of their run have so few words and end no sentence: they are its buttons, not its text.
+SHORT = 3
+_ENDS = (".", "!", "?", ":", ";", "…", "。", "”", '"')
+
 
-    Lines inside menus, footers, adverts and the like go in any case. A page with an article or main element is that element's
-    lines, which stay even where the other page has them: two pages of a host may carry the same article or passage. Of a page
-    without one the lines that the pages share in the same order go.
+def decided(own: list[Block], shared: set[int] | None) -> list[bool]:
+    """Which lines of a page stay, given those that it shares in order with the page of the nearest URL (None: it has no neighbour).
+
+    Differencing comes first: a shared line goes, unless it is in the article and its run of shared lines there holds more than SHORT words in a line, or ends a sentence: then
+    both pages carry the text. So menus and notices go whatever their markup. What only this page has goes if an element or a whole class name
+    says that it is no main text; a hint (a word within a name, a form) alone doesn't delete it. Outside an article that the page has, it must also be running text. Without a neighbour hints decide.
     """
-    for main in (1, 2):
-        if inside := [b.text for b in own if b.main == main and not b.chrome]:
-            return " ".join(inside)
-    free = [(i, b.text) for i, b in enumerate(own) if not b.chrome]
-    # A copy of the other page has nothing that tells its text from its frame.
-    return " ".join([x for i, x in free if i not in shared] or [x for _, x in free])
+    mains = {b.main for b in own if b.chrome < 2}
+    article = 1 if 1 in mains else 2 if 2 in mains else 0
+    long = [False] * len(own)
+    at = 0
+    while at < len(own):
+        end = at
+        while end < len(own) and shared and end in shared and own[end].main == article and article:
+            end += 1
+        run = own[at:end]
+        if any(len(b.text.split()) > SHORT or b.text.endswith(_ENDS) for b in run):
+            long[at:end] = [True] * len(run)
+        at = max(end, at + 1)
+    out = []
+    for i, b in enumerate(own):
+        inside = article and b.main == article
+        if b.chrome >= 2 or (b.main == 2 and article == 1):
+            out.append(False)
+        elif shared is not None and i in shared:
+            out.append(bool(inside and long[i] and not b.chrome))
+        elif shared is None:
+            out.append(bool(inside and b.chrome < 2) if article else not b.chrome)
+        else:
+            out.append(bool(inside or not article or b.prose))
+    return out
+
+
+def main_text(own: list[Block], shared: set[int] | None) -> str:
+    """The lines of a page that stay, joined. If none does, as on a copy of the other page, those that no element or whole class name speaks against."""
+    stays = decided(own, shared)
+    for keep in (stays, decided(own, None), [b.chrome < 2 for b in own]):
+        if found := [b.text for b, k in zip(own, keep, strict=True) if k]:
+            return " ".join(found)
+    return ""
 
 
 def _near(a: str, b: str) -> int:
@@ -205,7 +247,7 @@ def _hashed(html: Column) -> Column:
 def _texts(html: Column, shared: Column) -> Column:
     @F.pandas_udf("string")
     def of(pages: pd.Series, lines: pd.Series) -> pd.Series:
-        return pd.Series([main_text(blocks(p), set() if s is None else set(s)) for p, s in zip(pages, lines, strict=True)])
+        return pd.Series([main_text(blocks(p), None if s is None else set(s)) for p, s in zip(pages, lines, strict=True)])
 
     return of(html, shared)
 
@@ -214,11 +256,11 @@ def _texts(html: Column, shared: Column) -> Column:
 _Page = tuple[int, str, str, list[int]]
 
 
-def _shared(this: _Page, left: _Page | None, right: _Page | None) -> list[int]:
-    """The lines shared with the nearer of the pages before and after it: the one of the longest common path counts, the one before on a tie."""
+def _shared(this: _Page, left: _Page | None, right: _Page | None) -> list[int] | None:
+    """The lines shared with the nearer of the pages before and after it: the one of the longest common path counts, the one before on a tie. None without such a page."""
     near = [x for x in (left, right) if x is not None and x[1] == this[1]]
     if not near:
-        return []
+        return None
     other = max(near, key=lambda x: _near(x[2], this[2]))
     return sorted(shared_lines(this[3], other[3]))
 

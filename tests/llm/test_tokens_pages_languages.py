@@ -95,10 +95,52 @@ def test_page_frames_go():
     assert text("<article><p>same</p></article>", {0}) == "same"
     assert text("<div class='layout has-sidebar'><article class='has-comments'><h1 class='post-header'>A</h1><p>b<div class='ads'>c</div></article><div>d</div></div>") == "A b"
     assert text("<div class='with-comments'><main>a<section id=comments><article>me too</article></section></main></div>") == "a"
-    assert text("<nav><article>a</article></nav><p>b") == "b" and text("<main>a</main><section class=comments><article>b</article></section>") == "a"
+    assert text("<nav><article>a</article></nav><p>b") == "a b" and text("<main>a</main><section class=comments><article>b</article></section>") == "a"
     assert html_text.blocks(None) == [] and html_text.blocks("") == []
 
 
+def test_differencing_decides_lines():
+    """What both pages have goes whatever its markup, but text that both articles carry; what one has stays but where the markup is plain."""
+    text = lambda p, shared=(): html_text.main_text(html_text.blocks(p), None if shared is None else set(shared))
+    # A form around the page, hints in class names, and an article inside of both.
+    assert text("<form><article><p>Hello world text</p></article></form>", None) == text("<form><article><p>Hello world text</p></article></form>") == "Hello world text"
+    assert text("<article><p class='market share'>We gained share.<div class='side-by-side'>Two views.</div></article>") == "We gained share. Two views."
+    assert text("<div class='social-science'>A study of towns.</div>") == "A study of towns."
+    # In an article: a short shared button goes, shared text stays, also a short sentence or a short line beside a long one.
+    page = "<article><h1>Rates fall</h1><p>Share this</p><p>The bank lowered its rates again on Monday.</p><p>Read more</p><p>Amen.</p><p>Title</p><p>All of this passage is on both pages.</p></article>"
+    assert text(page, {1, 3, 4, 5, 6}) == "Rates fall The bank lowered its rates again on Monday. Read more Amen. Title All of this passage is on both pages."
+    assert text(page, {1, 3}) == "Rates fall The bank lowered its rates again on Monday. Amen. Title All of this passage is on both pages."
+    assert text(page) == text(page, None)
+    # Beside an article: running text of this page alone stays; what both pages have, and bare lines, go.
+    page = "<article><p>One.</p></article><section>Two, continued here.</section><section>All rights reserved.</section><div>12 views</div><footer>Two, too</footer>"
+    assert text(page, {2}) == "One. Two, continued here." and text(page, None) == "One."
+    # Hints with and without a neighbour: shared, not shared, unknown.
+    page = "<div class='related-box'>See also</div><p>Story of the day.</p>"
+    assert text(page, {0}) == "Story of the day." and text(page) == "See also Story of the day." and text(page, None) == "Story of the day."
+    assert text("<div class='ad-box'>Buy</div><p>Story", ()) == "Story" and text("<div class='ad'>Buy</div>") == ""
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_frames_without_marks_are_found(spark, seed):
+    """A site whose pages are bare divs: menu, notice and imprint are the site's, each page has its own story; the truth is the story.
+
+    Without differencing nothing tells them apart.
+    """
+    rng = random.Random(seed)
+    words = lambda n: " ".join(rng.choice("ab cd ef gh ij kl mn op".split()) + str(rng.randrange(1000)) for _ in range(n))
+    menu, notice, imprint = [words(1) for _ in range(6)], words(9), words(5)
+    rows, truth = [], {}
+    for i in range(30):
+        story = [words(rng.randrange(8, 20)) + "." for _ in range(rng.randrange(1, 6))]
+        frame = [f"<div>{m}</div>" for m in menu], f"<div><span>{notice}</span></div>", f"<div>{imprint}</div>"
+        rows.append((i, f"http://s.org/{rng.choice('pqr')}/{i}", "".join(frame[0]) + frame[1] + "".join(f"<div>{x}</div>" for x in story) + frame[2]))
+        truth[i] = " ".join(story)
+    got = {r.page_id: r.text for r in html_text.extracted(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == truth
+    alone = {i: html_text.main_text(html_text.blocks(h), None) for i, _, h in rows}
+    assert not any(alone[i] == truth[i] for i in truth)
+
+
 def test_pages(spark):
     df = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
     odd = spark.createDataFrame([(None, None, None), (7, "http://[bad", "<p>x"), (7, "http://[bad", "<p>x")], df.schema)
