@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 
 from kinestream.operators import stats, temporal
 from kinestream.plans.registry import query
-from kinestream.shared import tables_dir
-from kinestream.streaming import asof
+from kinestream.shared import tables_dir, written
+from kinestream.streaming import asof, gated
 
 HOUR = 3_600_000_000
 MAX_AGE, MAX_GAP, TOLERANCE, SNAP = 48 * HOUR, 36 * HOUR, 12 * HOUR, 6 * HOUR
@@ -177,21 +177,25 @@ def outage_mask(spark: SparkSession, sf_dir: str) -> DataFrame:
     return r.groupBy("event_type").agg(F.count("*").alias("n"), F.count_if("out").alias("masked"), F.round(F.sum(F.when(F.col("out"), 0.0).otherwise(F.col("value"))), 4).alias("value"))
 
 
-SLICES = 4
+#: Slices at least, and rows of one at most, about: a stream's part of a slice is a frame of one task.
+SLICES, SLICE_ROWS = 4, 250_000
 
 
-def streamed(rows: DataFrame, time: str, made: Callable[[DataFrame], DataFrame], name: str, slices: int = SLICES) -> DataFrame:
+def streamed(rows: DataFrame, time: str, made: Callable[[DataFrame], DataFrame], name: str, slices: int | None = None) -> DataFrame:
     """What a streaming operator gives for rows that come in ``slices`` batches in the order of ``time``, as a table in the shared folder.
 
     Each batch is a run of its own that goes on from the state that the last one left in its checkpoint, as after a restart. So a
-    micro-batch is bounded by the slice, and results show whether the operator's state is whole.
+    micro-batch is bounded by the slice, and results show whether the operator's state is whole. ``rows`` are worked out once; there are as many slices as their number asks for.
     """
     spark, out = rows.sparkSession, f"{tables_dir(rows.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    cuts = rows.agg(F.percentile_approx(time, [k / slices for k in range(1, slices)], 1000)).first()[0] or []
+    whole = written(rows, f"{name}-rows")
+    slices = slices or max(SLICES, -(-whole.count() // SLICE_ROWS))
+    cuts = whole.agg(F.percentile_approx(time, [k / slices for k in range(1, slices)], 100 * slices)).first()[0] or [] if slices > 1 else []
+    # Filters on time reach the table's row groups; nothing of what made the rows is repeated.
     for low, high in zip([None, *cuts], [*cuts, None], strict=True):
         after = F.lit(True) if low is None else F.col(time) > low
         upto = F.lit(True) if high is None else F.col(time) <= high
-        here = rows.where(F.coalesce(after & upto, F.lit(low is None)))
+        here = whole.where(F.coalesce(after & upto, F.lit(low is None)))
         here.write.mode("append").parquet(f"{out}/source")
         stream = made(spark.readStream.schema(rows.schema).parquet(f"{out}/source"))
         stream.writeStream.format("parquet").option("path", f"{out}/rows").option("checkpointLocation", f"{out}/state").trigger(availableNow=True).start().awaitTermination()
@@ -245,3 +249,32 @@ def forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
     state = _filtered(spark, sf_dir).groupBy("stream").agg(F.max("t").alias("t"), F.max_by(F.struct("estimate", "variance"), "t").alias("s"))
     ahead = asof.free_run(state.select("stream", "t", "s.*"), [h * HOUR for h in (1, 6, 24)], 0.05)
     return ahead.select("stream", "t", (F.col("ahead") / HOUR).cast("long").alias("hours"), F.round("estimate", 6).alias("estimate"), F.round("variance", 6).alias("variance"))
+
+
+TUNING = gated.Tuning(noise=20.0, drift=0.05, gate=3.0, rate=2e-6, bound=8.0, gap=30 * HOUR)
+
+
+def _gated_sql() -> str:
+    k = TUNING
+    z, grown = "(s.value - f.bias)", f"f.variance + {k.drift**2!r} * (s.t - f.t) / 1e6"
+    return f"""WITH RECURSIVE s AS (SELECT user_id AS stream, epoch_us(ts) AS t, CASE WHEN event_type <> 'error' THEN CASE WHEN event_id % 97 = 0 THEN value + 300 ELSE value END END AS value, CASE WHEN event_type = 'purchase' THEN value - 5 END AS anchor,
+  row_number() OVER (PARTITION BY user_id ORDER BY ts) AS i FROM events),
+f AS (SELECT stream, i, t, value AS estimate, CASE WHEN value IS NOT NULL THEN {k.noise**2}::DOUBLE END AS variance, 0.0::DOUBLE AS bias, value IS NOT NULL AS accepted FROM s WHERE i = 1
+  UNION ALL SELECT stream, i, t,
+    CASE WHEN value IS NULL THEN x WHEN x IS NULL THEN z WHEN good THEN x + p / (p + {k.noise**2}) * (z - x) ELSE x END, CASE WHEN value IS NULL THEN p WHEN x IS NULL THEN {k.noise**2} WHEN good THEN p * {k.noise**2} / (p + {k.noise**2}) ELSE p END,
+    CASE WHEN value IS NOT NULL AND anchor IS NOT NULL THEN greatest(-{k.bound}, least({k.bound}, bias + least(1.0, {k.rate!r} * seconds) * (value - anchor - bias))) ELSE bias END, coalesce(value IS NOT NULL AND (x IS NULL OR good), false)
+  FROM (SELECT *, abs(z - x) <= {k.gate} * sqrt(p + {k.noise**2}) AS good FROM (SELECT s.stream, s.i, s.t, s.value, s.anchor, f.estimate AS x, {grown} AS p, f.bias, {z} AS z, (s.t - f.t) / 1e6 AS seconds FROM f JOIN s ON s.stream = f.stream AND s.i = f.i + 1))),
+n AS (SELECT *, lead(t) OVER (PARTITION BY stream ORDER BY i) AS next, (SELECT max(t) FROM s) AS latest FROM f)
+SELECT stream, t, round(estimate, 6) AS estimate, round(variance, 6) AS variance, round(bias, 6) AS bias, accepted, false AS forecast FROM f
+UNION ALL SELECT stream, t + {k.gap}, round(estimate, 6), round(variance + {k.drift**2!r} * {k.gap} / 1e6, 6), round(bias, 6), false, true FROM n WHERE estimate IS NOT NULL AND coalesce(next, latest) - t > {k.gap}"""
+
+
+@query(_gated_sql())
+def gated_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A filter with a gate for outliers, a slow bias that only anchors move, and forecasts out of gaps, as a stream with timers."""
+    kind = F.col("event_type")
+    value = F.when(kind != "error", F.when(F.col("event_id") % 97 == 0, F.col("value") + 300).otherwise(F.col("value")))
+    rows = stream_events(spark, sf_dir).select("stream", "t", value.alias("value"), F.when(kind == "purchase", F.col("value") - 5).alias("anchor"))
+    with gated.timers(spark):
+        found = streamed(rows, "t", lambda r: gated.gated_filter(r, TUNING), "gated-stream")
+    return found.withColumns({c: F.round(c, 6) for c in ("estimate", "variance", "bias")})
