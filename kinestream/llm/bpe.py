@@ -23,9 +23,9 @@ _NO_SPACE = re.compile("[\x1c-\x1f]")
 _NONE = 1 << 60
 #: Words of more parts than this use a heap, whose time grows by n log n.
 SHORT = 96
-#: Runs and words that a worker remembers at most: some 70 MB. The first ones met stay, as they are mostly the frequent
-#: ones; after REFRESH others, which suggests other texts, it forgets all and starts anew.
-REMEMBERED, REFRESH = 300_000, 3_000_000
+#: Runs and words that a worker remembers at most, the characters and ids of all of them, which bounds them to some 70 MB, and the characters of one: longer ones
+#: hardly come again. The first ones met stay, as they are mostly the frequent ones; after REFRESH others, which suggests other texts, it forgets all and starts anew.
+REMEMBERED, HELD, LONGEST, REFRESH = 300_000, 5_000_000, 64, 3_000_000
 
 
 @lru_cache(1)
@@ -82,8 +82,9 @@ class WordBPE:
         self.newer = re.compile(f"[{classes()['Cn']}]")
         self.path = path
         self.splitter = re.compile("(" + "|".join(map(re.escape, self.special)) + ")")
+        self.plain = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
         self.known: dict[str, tuple[int, ...]] = {}
-        self.passed = 0
+        self.passed = self.held = 0
 
     def word(self, word: str) -> list[int]:
         """The ids of one pre-token: the adjacent pair of least rank, the leftmost of equals, merges until none is left."""
@@ -129,13 +130,16 @@ class WordBPE:
         return self._keep(word, tuple(self.word(word)))
 
     def _keep(self, key: str, ids: tuple[int, ...]) -> tuple[int, ...]:
-        if len(self.known) < REMEMBERED:
+        if len(key) > LONGEST:
+            return ids
+        if len(self.known) < REMEMBERED and self.held < HELD:
             self.known[key] = ids
+            self.held += len(key) + len(ids)
         else:
             self.passed += 1
             if self.passed >= REFRESH:
                 self.known.clear()
-                self.passed = 0
+                self.passed = self.held = 0
         return ids
 
     @cached_property
@@ -148,6 +152,8 @@ class WordBPE:
 
     def words(self, part: str) -> list[str]:
         """The pre-tokens of a run without white space and special tokens."""
+        if part.isascii():
+            return self.plain.findall(part.lower())
         if self.newer.search(part):
             normalizer, splitter = self._tables
             plain = normalizer.normalize_str(part)

@@ -78,3 +78,59 @@ def test_repeated_and_null_ids(spark):
 
 def test_empty_table(spark):
     assert near_copies.deduplicated(spark.createDataFrame([], SCHEMA)).collect() == []
+
+
+def test_columns_named_like_ours_and_maps(spark):
+    """Maps in a row, also inside of other types, and columns named as the stage's own: rows come back as they are, repeated ones once."""
+    same = "a b c d e f g h"
+    schema = SCHEMA + ", _stays long, mark string, node int, m map<string,int>, s struct<x:map<string,string>>, `a.b` int"
+    rows = [(5, same, 1, "p", 0, {"k": 1}, ({"y": "z"},), 4), (3, same, 2, "q", 0, {"k": 2}, None, 4), (3, same, 2, "q", 0, {"k": 2}, None, 4), (9, "other words stand here now", 3, None, 1, None, None, None)]
+    got = near_copies.deduplicated(spark.createDataFrame(rows, schema)).collect()
+    assert sorted(map(tuple, got), key=repr) == sorted([(3, same, 2, "q", 0, {"k": 2}, None, 4), rows[3]], key=repr)
+    from kinestream.llm import simhash
+
+    got = simhash.deduplicated(spark.createDataFrame(rows, schema)).collect()
+    assert sorted(map(tuple, got), key=repr) == sorted([(3, same, 2, "q", 0, {"k": 2}, None, 4), rows[3]], key=repr)
+
+
+def _star_rows(n, seed=0, shared=160, least=24, most=38):
+    """n sets of one pivot that share a template but no two of which reach 0.8: a unique rest of an eighth to a quarter of the template."""
+    rng = random.Random(seed)
+    out = []
+    for i in range(n):
+        own = rng.randrange(least, most)
+        out.append((0, i + 1, shared + own, shared, [(i + 1) * 1000 + k for k in range((shared + own) // 5 + 1)][:own]))
+    return [(0, 0, 3 * shared, 3 * shared, []), *out]
+
+
+def test_texts_of_one_template_are_not_all_pairs(spark):
+    """Rows of one pivot that are less similar than 0.8 meet in proportion to their number, and pairs that do reach it are found."""
+    kind = "pivot long, node long, n int, common int, rest array<long>"
+    roots = spark.createDataFrame([], "node long, root long")
+
+    def made(rows):
+        return {(r.a, r.b) for r in near_copies._across(spark.createDataFrame(rows, kind), roots).collect()}
+
+    sizes = {n: len(made(_star_rows(n))) for n in (200, 400, 800)}
+    assert sizes[800] <= 5 * max(1, sizes[200]) and sizes[800] < 800
+    rows = _star_rows(100)
+    rows += [(0, 5000 + k, 180, 170, [7_000_000 + k]) for k in range(4)]
+    assert {(5000 + a, 5000 + b) for a in range(4) for b in range(a + 1, 4)} <= made(rows)
+
+
+def test_no_pair_of_sizes_is_lost(spark):
+    """The joined pairs are exactly those that the sizes allow, by brute force."""
+    rng = random.Random(5)
+    rows = []
+    for i in range(150):
+        n = rng.choice([1, 2, 5, 40, 41, 50, 64, 80, 100, 101, 125])
+        rows.append((rng.randrange(2), i, n, rng.randrange(4), 0, float(rng.choice([n, n * 1.25, n * 0.9, n * 0.8, n * 0.79, n * 2.0]))))
+    got = near_copies._sized_pairs(spark.createDataFrame(rows, "pivot int, node int, n int, root int, main int, most double"), ["pivot"]).collect()
+    want = set()
+    for p, a, n, r, m, most in rows:
+        for q, b, k, s, _, other in rows:
+            if p == q and r != s and r != m and k <= most and n <= other and 0.8 * n <= k <= 1.25 * n and most >= 0.8 * n and other >= 0.8 * k:
+                want.add((min(a, b), max(a, b)))
+    assert want <= {(r.a, r.b) for r in got}
+    allowed = {(min(a, b), max(a, b)) for p, a, n, r, m, most in rows for q, b, k, s, _, other in rows if p == q and r != s and r != m and k <= most and n <= other}
+    assert {(r.a, r.b) for r in got} <= allowed

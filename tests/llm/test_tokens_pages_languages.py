@@ -67,6 +67,21 @@ def test_token_queries(spark, library):
     assert bpe.round_trip_digests(df.limit(0), PATH).collect() == [] and token_counts.token_counts(df.limit(0), PATH).collect() == []
 
 
+def test_what_is_remembered_is_bounded():
+    """Thousands of unique long runs leave nothing behind; short ones stay within the stated characters and ids, and tokens are the library's."""
+    own, library = bpe.WordBPE(PATH), Tokenizer.from_file(PATH)
+    rng = random.Random(1)
+    for i in range(2000):
+        own.encode(f"{i}" + "".join(rng.choice("abcdefghij+/") for _ in range(40)) * 500)
+    assert max(map(len, own.known)) <= bpe.LONGEST and sum(len(k) + len(v) for k, v in own.known.items()) <= bpe.HELD // 10
+    for _ in range(40):
+        own.encode(" ".join("".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randrange(20, 64))) for _ in range(2500)))
+    held = sum(len(k) + len(v) for k, v in own.known.items())
+    assert held == own.held <= bpe.HELD + 3 * bpe.LONGEST and len(own.known) <= bpe.REMEMBERED
+    for text in ("It's MIXED-case, 3.14 don'T x\x1cy", "ÀÉ ΣΑΣ don’t", "'S 'll a'b 12ab"):
+        assert own.encode(text) == library.encode(text, add_special_tokens=False).ids
+
+
 def common_length(a, b):
     rows = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
     for i in range(len(a)):
