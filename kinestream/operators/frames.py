@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kinestream.operators.temporal import asof_causal, bracket, interpolated, joined, numbered
+from kinestream.operators.temporal import asof_each, bracket, bracket_each, interpolation, joined, numbered, running_total
 
 
 def frame_table(targets: DataFrame, sources: dict[str, DataFrame], max_gap: int, stream: str = "stream") -> DataFrame:
@@ -16,12 +16,11 @@ def frame_table(targets: DataFrame, sources: dict[str, DataFrame], max_gap: int,
     targets: stream, t, query_id. sources: stream, t, sample_id, value. inside: the time lies in the interval that all sources cover, ends
     included. valid: it does, and every source's bracket is exact or narrow enough. Columns of a source begin with its name.
     """
-    rows = numbered(targets.select(stream, "t", "query_id"), [stream], [F.col("t"), F.col("query_id")], "t", "frame")
+    own = bracket_each({f"{n}_": s for n, s in sources.items()}, targets, stream)
+    each = own.select(stream, "t", "query_id", *[c for n in sources for c in interpolation(f"{n}_", max_gap)])
+    rows = numbered(each, [stream], [F.col("t"), F.col("query_id")], "t", "frame")
     ends = None
-    for name, source in sources.items():
-        own = interpolated(bracket(source, targets, stream), max_gap, stream)
-        kept = [c for c in own.columns if c not in (stream, "query_id", "t")]
-        rows = joined(rows, own.select(stream, "query_id", *[F.col(c).alias(f"{name}_{c}") for c in kept]), [stream, "query_id"])
+    for source in sources.values():
         span = source.where("t is not null").groupBy(stream).agg(F.min("t").alias("first"), F.max("t").alias("last"), F.lit(1).alias("n"))
         ends = span if ends is None else ends.union(span)
     common = ends.groupBy(stream).agg(F.max("first").alias("_start"), F.min("last").alias("_stop"), F.sum("n").alias("_n")).where(F.col("_n") == len(sources)).drop("_n")
@@ -59,33 +58,50 @@ def packed(sources: dict[str, DataFrame], queries: DataFrame, root: str, max_age
 
     A value is valid if it is there and fresh, and the root's is valid, too: without the root no other place means anything. Invalid values are zero.
     """
-    rows = queries.select(stream, "t", "query_id")
-    for name, source in sources.items():
-        own = asof_causal(source, queries, max_age, stream)
-        rows = joined(rows, own.select(stream, "query_id", F.col("value").alias(f"_{name}"), F.col("age").alias(f"{name}_age"), F.col("fresh").alias(f"_{name}_fresh")), [stream, "query_id"])
-    of = lambda n: F.col(f"_{n}_fresh") & F.col(f"_{root}_fresh")
-    made = [c for n in sources for c in (F.when(of(n), F.col(f"_{n}") - F.col(f"_{root}")).otherwise(0.0).alias(n), F.col(f"{n}_age"), of(n).alias(f"{n}_valid"))]
+    rows = asof_each(sources, queries, max_age, stream)
+    of = lambda n: F.col(f"{n}.fresh") & F.col(f"{root}.fresh")
+    made = [c for n in sources for c in (F.when(of(n), F.col(f"{n}.value") - F.col(f"{root}.value")).otherwise(0.0).alias(n), F.col(f"{n}.age").alias(f"{n}_age"), of(n).alias(f"{n}_valid"))]
     return rows.select(stream, "query_id", "t", *made)
 
 
 def quantile_holdout(counts: DataFrame, excluded: DataFrame, quantiles: list[float], stream: str = "stream") -> DataFrame:
     """(stream, place, frame): the frames at the quantiles of a stream's places, each moved on past excluded and chosen ones.
 
-    counts: stream, n. excluded: stream, frame (the stated few that development has seen). A frame past the end is null: the contract is broken.
-    """
-    rows = joined(counts, excluded.groupBy(stream).agg(F.collect_set("frame").alias("_out")), [stream])
-    out = F.coalesce("_out", F.array().cast("array<long>"))
-
-    def choose(chosen: Column, q: Column) -> Column:
-        at = F.rint((F.col("n") - 1) * q).cast("long")
-        free = F.filter(F.sequence(at, at + F.size(out) + F.size(chosen)), lambda i: ~F.array_contains(out, i) & ~F.array_contains(chosen, i))
-        return F.concat(chosen, F.slice(free, 1, 1))
+    counts: stream, n. excluded: stream, frame, any number of them. A frame past the end is null: the contract is broken.
 
-    picks = F.aggregate(F.array(*[F.lit(q) for q in quantiles]), F.array().cast("array<long>"), choose)
+    A stream's free frames are told by their rank: the free frame of rank r is r + the number of excluded ones e_j, in order, with e_j - j <= r. So both ways between frames and ranks
+    are running totals over the excluded frames and the few places that are asked for, which buckets split; only as many candidates as there are quantiles reach a stream's row.
+    """
+    many = len(quantiles)
+    out = excluded.where("frame >= 0").select(stream, F.col("frame").cast("long").alias("frame")).distinct()
+    out = numbered(out, [stream], [F.col("frame")], "frame", "j", _FRAMES)
+    starts = F.array(*[F.struct(F.lit(k).alias("place"), F.rint((F.col("n") - 1) * F.lit(float(q))).cast("long").alias("at")) for k, q in enumerate(quantiles)])
+    asked = counts.select(stream, "n", F.inline(starts))
+    before = _counted(out.select(stream, F.col("frame").alias("at")), asked, stream, strict=True)
+    ranks = before.withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(many - 1)))).select(stream, "n", "place", "k", (F.col("at") - F.col("counted") + F.col("k")).alias("at"))
+    placed = _counted(out.select(stream, (F.col("frame") - F.col("j")).alias("at")), ranks, stream, strict=False)
+    listed = placed.groupBy(stream, "n", "place").agg(F.array_sort(F.collect_list(F.col("at") + F.col("counted"))).alias("free"))
+    rows = listed.groupBy(stream, "n").agg(F.array_sort(F.collect_list(F.struct("place", "free"))).alias("_places"))
+
+    def choose(chosen: Column, p: Column) -> Column:
+        return F.concat(chosen, F.slice(F.array_except(p["free"], chosen), 1, 1))
+
+    picks = F.aggregate("_places", F.array().cast("array<long>"), choose)
     each = rows.select(stream, "n", F.posexplode(picks).alias("place", "frame"))
     return each.select(stream, "place", F.when(F.col("frame") < F.col("n"), F.col("frame")).alias("frame"))
 
 
+#: Frames of a bucket.
+_FRAMES = 100_000
+
+
+def _counted(marks: DataFrame, asked: DataFrame, stream: str, strict: bool) -> DataFrame:
+    """``asked`` with ``counted``: how many of the stream's ``marks`` are at or, if strict, before ``at``."""
+    both = marks.withColumn("kind", F.lit(1 if strict else 0)).unionByName(asked.withColumn("kind", F.lit(0 if strict else 1)), allowMissingColumns=True)
+    found = running_total(both.withColumn("mark", F.col("n").isNull().cast("long")), [stream], [F.col("at"), F.col("kind")], "at", F.col("mark"), "counted", _FRAMES)
+    return found.where("n is not null").select(*asked.columns, "counted")
+
+
 def counter_lookup(samples: DataFrame, targets: DataFrame, stream: str = "stream") -> DataFrame:
     """Values at fractional counters, from the samples of the counters below and above.
 

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from kinestream.operators.temporal import joined, running_extreme, running_total
+from kinestream.operators.temporal import free_names, joined, running_extreme, running_total
 
 
 def gaussian_weights(sigma: float = 1.8, radius: int = 4) -> list[float]:
@@ -75,11 +75,12 @@ def neighbours(df: DataFrame, column: str, offsets: list[int], stream: str = "st
     index stays and has no neighbours.
     """
     reach = max(map(abs, offsets))
+    (at,) = free_names(df, "block")
     blocks = F.sequence(*[F.floor((F.col(index) + d) / block) for d in (-reach, reach)])
-    spread = df.select("*", F.explode_outer(blocks).alias("_block"))
-    w = Window.partitionBy(stream, "_block").orderBy(index)
-    out = spread.select(*df.columns, "_block", *[F.when(F.col(index).isNotNull(), F.lead(column, k).over(w)).alias(f"{column}_{k}") for k in offsets])
-    return out.where(F.floor(F.col(index) / block).eqNullSafe(F.col("_block"))).drop("_block")
+    spread = df.select("*", F.explode_outer(blocks).alias(at))
+    w = Window.partitionBy(stream, at).orderBy(index)
+    out = spread.select(*df.columns, at, *[F.when(F.col(index).isNotNull(), F.lead(column, k).over(w)).alias(f"{column}_{k}") for k in offsets])
+    return out.where(F.floor(F.col(index) / block).eqNullSafe(F.col(at))).drop(at)
 
 
 def third_difference(df: DataFrame, value: str = "value", name: str = "jerk", **where: str) -> DataFrame:

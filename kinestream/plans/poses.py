@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from kinestream.functions import vec
 from kinestream.operators import fit, smooth, stats
 from kinestream.plans.registry import query
+from kinestream.shared import written
 
 #: A camera: intrinsics, lens coefficients in the order k1 to k6, p1, p2, and the world's place before it.
 CAMERA = (600.0, 610.0, 320.0, 240.0)
@@ -93,7 +94,7 @@ def joint_map_epe(spark: SparkSession, sf_dir: str) -> DataFrame:
     far = F.sqrt(sum(((F.col(f"p.{a}") - F.col(f"g{a}")) ** 2 for a in "xyz"), F.lit(0.0)))
     d = _against_mean(spark, sf_dir).where("joint >= 5").select("label", "joint", far.alias("epe"))
     grains = d.select("label", F.explode(F.array(F.lit(None).cast("int"), F.col("joint"))).alias("joint"), "epe")
-    a = stats.distribution(grains, ["label", "joint"], "epe", {"median": 0.5, "p95": 0.95})
+    a = stats.distribution(written(grains, "joint-errors"), ["label", "joint"], "epe", {"median": 0.5, "p95": 0.95})
     return a.select("label", "joint", F.col("count").alias("n"), *[_r(F.col(c)).alias(c) for c in ("mean", "median", "p95")])
 
 

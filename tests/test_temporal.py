@@ -148,3 +148,54 @@ def test_session_stream_is_the_table(spark):
     got = {(r.stream, r.first.timestamp(), r["rows"]) for r in made.collect() if r.stream < 9}
     want = {(r.stream, r["first"] / 1e6, r.n) for r in frames.sessions(df, 5_000_000).collect() if r.stream < 9}
     assert got == want
+
+
+def test_rows_without_a_time_are_many_tasks(spark):
+    """They stay, get nothing and give nothing, and no window holds all of them; columns named like ours are kept."""
+    from kinestream.operators import temporal
+
+    rows = [("s", None, k, k) for k in range(500)] + [("s", 10 * k, k, k) for k in range(20)] + [(None, None, 7, 7), (None, 3, 7, 7)]
+    df = spark.createDataFrame(rows, "stream string, t long, _value long, _key long")
+    got = temporal.running_extreme(df, ["stream"], [F.col("t")], "t", F.col("_value"), "best", bucket=50).collect()
+    assert len(got) == len(rows) and all(r.best == (None if r.t is None else r._value) for r in got)
+    keys = df.select(temporal._bucket_key(df, ["stream"], "t", 50).alias("k")).groupBy("k").count().orderBy(F.desc("count")).first()
+    assert keys["count"] < 25
+    total = temporal.running_total(df, ["stream"], [F.col("t")], "t", F.lit(1).cast("long"), "n", bucket=50).collect()
+    assert sorted(r.n for r in total if r.n is not None and r.stream) == list(range(1, 21)) and sum(r.n is None for r in total) == 501
+
+
+def test_holdouts_pass_over_any_number_of_excluded_frames(spark):
+    """Against a walk over all frames: long runs of excluded ones, quantiles that meet, streams without excluded ones or with nothing else."""
+    import random
+
+    from kinestream.operators import frames
+
+    rng, rows, sizes = random.Random(3), [], {}
+    for s in range(12):
+        n = sizes[s] = rng.choice([1, 2, 7, 40, 300])
+        rows += [(s, f) for f in range(n) if s == 3 or (s and rng.random() < 0.2 + 0.7 * (f // 50 % 2))]
+    rows += rows[:5] + [(1, -4), (5, 10**6)]
+    quantiles = [0.0, 0.5, 0.5, 0.52, 1.0]
+    want = []
+    out = set(rows)
+    for s, n in sizes.items():
+        chosen = []
+        for q in quantiles:
+            at = round((n - 1) * q)
+            while (s, at) in out or at in chosen:
+                at += 1
+            chosen.append(at)
+        want += [(s, k, f if f < n else None) for k, f in enumerate(chosen)]
+    got = frames.quantile_holdout(spark.createDataFrame([*sizes.items()], "stream int, n long"), spark.createDataFrame(rows, "stream int, frame long"), quantiles).collect()
+    assert sorted(map(tuple, got), key=str) == sorted(want, key=str)
+
+
+def test_several_sources_take_as_many_sorts_as_one(spark):
+    from kinestream.operators import temporal
+
+    p = spark.createDataFrame([("s", 1, 2, 3, 0.5)], "stream string, acq long, arrival long, packet_id long, value double")
+    q = spark.createDataFrame([("s", 5, 1)], "stream string, t long, query_id long")
+    sorts = lambda df: df._jdf.queryExecution().executedPlan().toString().count("Window [")
+    assert sorts(temporal.asof_each({n: p for n in "abc"}, q, 10)) <= sorts(temporal.asof_causal(p, q, 10)) * 1 + 4
+    r = temporal.asof_each({n: p for n in "abc"}, q, 10).first()
+    assert tuple(r.a) == tuple(r.b) == (3, 0.5, 4, True)
