@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from kinestream.functions.vec import clip, dot
 from kinestream.operators.temporal import free_names, joined, running_extreme, running_total
 
 
@@ -90,6 +91,14 @@ def third_difference(df: DataFrame, value: str = "value", name: str = "jerk", **
     return n.select(*df.columns, made.alias(name))
 
 
+def turned(df: DataFrame, direction: str, name: str = "turned", **where: str) -> DataFrame:
+    """The angle in degrees between a sample's unit vector and the one before; null for the first sample and where either is missing."""
+    n = neighbours(df, direction, [-1], **where)
+    cosine = dot(F.col(direction), F.col(f"{direction}_-1"))
+    known = F.col(direction).isNotNull() & F.col(f"{direction}_-1").isNotNull()
+    return n.select(*df.columns, F.when(known, F.degrees(F.acos(clip(cosine, -1.0, 1.0)))).alias(name))
+
+
 def gradient(df: DataFrame, step: float, value: str = "value", name: str = "gradient", **where: str) -> DataFrame:
     """Central differences over ``step``, one-sided at both ends; null for a stream of one sample."""
     n = neighbours(df, value, [-1, 1], **where)

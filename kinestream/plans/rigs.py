@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kinestream.functions import bend, vec
-from kinestream.operators import cloud, conditioned, sensitivity, stats
+from kinestream.operators import cloud, conditioned, sensitivity, seqwin, stats, temporal
 from kinestream.plans.poses import poses
 from kinestream.plans.registrations import _HELD, _pairs
 from kinestream.plans.registry import query
@@ -158,3 +158,34 @@ def conditioned_pose(spark: SparkSession, sf_dir: str) -> DataFrame:
     local = poses(spark, sf_dir).select("label", F.pmod("vec_id", F.lit(4)).cast("int").alias("take"), F.col("vec_id").alias("frame"), points.alias("points"), vec.at(e, 20).alias("root"))
     found = conditioned.conditioned(local, fits, scales, _SIDE, offset=SHIFT).select(*_SIDE, "frame", F.posexplode_outer("points").alias("joint", "p"))
     return found.select(*_SIDE, "frame", "joint", *[(F.round(f"p.{a}", 6) + 0.0).alias(a) for a in "xyz"])
+
+
+_FITS = _HELD.split("own AS")[0] + """m AS (SELECT label, take, frame, sum(sx * tx + sy * ty) AS a, sum(sx * ty - sy * tx) AS b, sum(sz * tz) AS c, sum(sx * sx + sy * sy + sz * sz) AS e FROM p GROUP BY ALL),
+k AS (SELECT label, take, frame, (sqrt(a * a + b * b) + c) / e AS scale FROM m)
+"""
+
+
+@query(_FITS + "SELECT label, take, round(quantile_cont(scale, 0.5), 9) AS retained, round(quantile_cont(scale, 0.05), 9) AS p05, round(quantile_cont(scale, 0.95), 9) AS p95, count(*) AS samples FROM k WHERE scale BETWEEN 0.25 AND 2.5 GROUP BY ALL")
+def retained_scales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The scale that each take retains: the median of its frames' similarity scales that are within bounds, with their spread."""
+    fits = conditioned.frame_fits(_pairs(spark, sf_dir), _SIDE, axis=(0.0, 0.0, 1.0))
+    found = conditioned.retained_scale(fits, _SIDE)
+    return found.select(*_SIDE, *[F.round(c, 9).alias(c) for c in ("retained", "p05", "p95")], "samples")
+
+
+def _normal_sql(n: int) -> str:
+    a, b = ([f"embedding[{3 * (n + k) + i + 1}]::DOUBLE - embedding[{3 * (n + k - 1) + i + 1}]::DOUBLE" for i in range(3)] for k in (1, 2))
+    return ", ".join(f"({a[(i + 1) % 3]}) * ({b[(i + 2) % 3]}) - ({a[(i + 2) % 3]}) * ({b[(i + 1) % 3]}) AS {x}" for i, x in enumerate("xyz"))
+
+
+@query(
+    f"""WITH n AS (SELECT label AS stream, vec_id, row_number() OVER (PARTITION BY label ORDER BY vec_id) - 1 AS i, {_normal_sql(5)} FROM embeddings),
+u AS (SELECT stream, i, CASE WHEN sqrt(x * x + y * y + z * z) > 1e-4 THEN [x / sqrt(x * x + y * y + z * z), y / sqrt(x * x + y * y + z * z), z / sqrt(x * x + y * y + z * z)] END AS n FROM n),
+d AS (SELECT stream, i, n, lag(n) OVER (PARTITION BY stream ORDER BY i) AS b FROM u)
+SELECT stream, i, CASE WHEN n IS NOT NULL AND b IS NOT NULL THEN round(degrees(acos(greatest(-1, least(1, n[1] * b[1] + n[2] * b[2] + n[3] * b[3])))), 4) END AS turned FROM d"""
+)
+def bend_plane_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """By how many degrees the plane of a finger's bend turns from frame to frame; null for the first frame and beside one without a bend."""
+    rows = poses(spark, sf_dir).select(F.col("label").alias("stream"), "vec_id", vec.unit(vec.cross(vec.sub(vec.at(F.col("e"), 6), vec.at(F.col("e"), 5)), vec.sub(vec.at(F.col("e"), 7), vec.at(F.col("e"), 6))), 1e-4).alias("normal"))
+    placed = temporal.numbered(rows, ["stream"], [F.col("vec_id")], "vec_id", bucket=100_000)
+    return seqwin.turned(placed, "normal").select("stream", "i", F.round("turned", 4).alias("turned"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import io
 import re
+import tarfile
 from collections.abc import Iterator
 
 import numpy as np
@@ -99,6 +100,31 @@ def read_npz(spark: SparkSession, path: str, times: str, arrays: list[str]) -> D
     return spark.read.format("binaryFile").load(path).select("path", "content").mapInPandas(run, schema)
 
 
+def read_archived(spark: SparkSession, path: str, ending: str) -> DataFrame:
+    """path, name and text of the files in gzipped tar archives whose names end with ``ending``: calibrations that come packed, say.
+
+    An archive is one task, and its members pass through it one after the other; nothing is unpacked to a disk. Members that are no plain files, and names that leave
+    the archive's folder, are an error, as is an archive without such a file or with several.
+    """
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in frames:
+            for p, raw in zip(f["path"], f["content"], strict=True):
+                found = []
+                with tarfile.open(fileobj=io.BytesIO(bytes(raw)), mode="r:gz") as archive:
+                    for member in archive:
+                        if not member.name.endswith(ending):
+                            continue
+                        if not member.isfile() or member.name.startswith("/") or ".." in member.name.split("/"):
+                            raise ContractError(f"{p}: {member.name} is no plain file below the archive's folder")
+                        found.append((p, member.name, archive.extractfile(member).read().decode("utf-8")))
+                if len(found) != 1:
+                    raise ContractError(f"{p}: {len(found)} files that end with {ending}")
+                yield pd.DataFrame(found, columns=["path", "name", "text"])
+
+    return spark.read.format("binaryFile").load(path).select("path", "content").mapInPandas(run, "path string, name string, text string")
+
+
 def file_hashes(spark: SparkSession, path: str) -> DataFrame:
     """path, bytes and SHA-256 of every file below a folder, for joins with a manifest."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)

@@ -178,3 +178,30 @@ def test_metrics_come_last_and_are_plain(spark, tmp_path):
     assert tables.found_segments(spark, str(tmp_path), ["rec_1"])["rec_1"].endswith("/rec_1_a")
     with pytest.raises(ContractError):
         tables.found_segments(spark, str(tmp_path), ["rec_2"])
+
+
+def test_calibrations_in_archives(spark, tmp_path):
+    """One file of an archive is read and checked; none, several, or one outside of the folder is an error."""
+    import io
+    import json
+    import tarfile
+
+    from kinestream.operators import documents
+    from kinestream.operators.documents import Field
+
+    def archive(name, files):
+        with tarfile.open(tmp_path / name, "w:gz") as out:
+            for path, text in files:
+                info = tarfile.TarInfo(path)
+                info.size = len(text)
+                out.addfile(info, io.BytesIO(text.encode()))
+
+    archive("good.tar.gz", [("a/readme.txt", "x"), ("a/calibration.json", json.dumps({"schema": "v1", "matrix": [[1, 0.5], [0, 1]]}))])
+    rows = tables.read_archived(spark, str(tmp_path / "good.tar.gz"), "calibration.json")
+    fields = [Field("schema", "string", one_of=("v1",)), Field("matrix", shape=(2, 2))]
+    r = documents.read(rows, ["name"], "text", fields).first()
+    assert (r.name, r.schema, r.matrix) == ("a/calibration.json", "v1", [[1.0, 0.5], [0.0, 1.0]])
+    for name, files in (("none.tar.gz", [("b.txt", "x")]), ("two.tar.gz", [("a/calibration.json", "{}"), ("b/calibration.json", "{}")]), ("out.tar.gz", [("../calibration.json", "{}")])):
+        archive(name, files)
+        with pytest.raises(Exception, match="ContractError"):
+            tables.read_archived(spark, str(tmp_path / name), "calibration.json").collect()
