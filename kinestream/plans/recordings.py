@@ -12,7 +12,7 @@ from kinestream.plans.timelines import stream_events
 from kinestream.shared import tables_dir
 from kinestream.sources import rosbag
 
-BAGS, TOPIC, FIRST, STOP = 8, "view", 3, 19
+BAGS, TOPIC, FIRST, STOP = 8, "view", 3, 11
 _M = f"""WITH m AS (SELECT 'bag-' || (user_id % {BAGS}) AS bag, event_type AS topic, event_id, epoch_us(ts) * 1000 + event_id % 1000 AS ts_ns, value FROM events),
 n AS (SELECT *, row_number() OVER (PARTITION BY bag, topic ORDER BY ts_ns, event_id) - 1 AS message FROM m)
 """
