@@ -67,8 +67,10 @@ _UNTIMED = 1024
 
 def _bucket_key(df: DataFrame, stream: list[str], time: str, bucket: int) -> Column:
     """A row's stream and bucket as one struct: never null itself, and equal where both have a null at the same place, so that a plain join on it
-    loses no row and needs no other partitioning than the window before it. Rows without a time are spread over parts of their own before all buckets."""
-    spread = F.pmod(F.xxhash64(F.to_json(F.struct(*df.columns))), F.lit(_UNTIMED)) - F.lit(1 << 62)
+    loses no row and needs no other partitioning than the window before it. Rows without a time are spread over parts of their own before all buckets, by their whole numbers: ids are
+    among these, and other columns needn't be read for it."""
+    whole = [F.col(c) for c, kind in df.dtypes if kind in ("bigint", "int", "smallint", "tinyint")]
+    spread = F.pmod(F.xxhash64(F.lit(0), *whole), F.lit(_UNTIMED)) - F.lit(1 << 62)
     at = F.when(F.col(time).isNull(), spread).otherwise(F.floor(F.col(time) / bucket))
     return F.struct(*[F.col(c).alias(f"s{i}") for i, c in enumerate(stream)], at.alias("bucket"))
 
