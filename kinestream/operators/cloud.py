@@ -36,3 +36,19 @@ def coloured(splats: DataFrame, image: DataFrame, keys: list[str]) -> DataFrame:
     """``splats`` with the colour of their pixels of ``image`` (keys, pixel_u, pixel_v, colour); occluded points, and pixels that the image lacks, have none."""
     found = splats.join(image.select(*keys, "pixel_u", "pixel_v", F.col("colour").alias("_colour")), [*keys, "pixel_u", "pixel_v"], "left")
     return found.withColumn("colour", F.when(F.col("visible"), F.col("_colour"))).drop("_colour")
+
+
+def on_table(pixels: DataFrame, ray: Callable[[Column, Column], Column], up: Sequence[float], matrix: Sequence[Sequence[float]], project: Callable[[Column], Column], size: tuple[int, int], nearest: float, farthest: float) -> DataFrame:
+    """``pixels`` (u, v and any others) with expected_z, pixel_u, pixel_v and inside: where each pixel's ray would meet a table, as the depth camera and the colour camera see it.
+
+    up: a, b, c, d of the plane a x + b y + c z + d = 0 in depth camera coordinates (the row of a world's height). expected_z is the depth of the meeting point, null for a ray along the table or away from
+    it; ``matrix`` and ``project`` are the colour camera's, whose pixel is rounded half to even. inside: the point is within [nearest, farthest] and on the colour image of ``size``.
+    """
+    a, b, c, d = map(float, up)
+    rays = pixels.withColumn("_ray", ray(F.col("u").cast("double"), F.col("v").cast("double")))
+    slope = a * F.col("_ray.x") + b * F.col("_ray.y") + c * F.col("_ray.z")
+    met = rays.withColumn("_z", F.when(F.abs(slope) > 1e-12, -d / slope)).withColumn("expected_z", F.when(F.col("_z") > 0, F.col("_z")))
+    seen = met.withColumn("_px", project(vec.transform(matrix, vec.scale(F.col("_ray"), F.col("expected_z")))))
+    placed = seen.select(*pixels.columns, "expected_z", F.rint("_px.u").cast("long").alias("pixel_u"), F.rint("_px.v").cast("long").alias("pixel_v"))
+    inside = F.col("expected_z").between(nearest, farthest) & F.col("pixel_u").between(0, size[0] - 1) & F.col("pixel_v").between(0, size[1] - 1)
+    return placed.withColumn("inside", F.coalesce(inside, F.lit(False)))

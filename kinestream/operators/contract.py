@@ -114,3 +114,16 @@ def agreement(left: DataFrame, right: DataFrame, keys: list[str], fields: list[s
     worst = [F.abs(F.col(c) - F.col(f"_{c}")) for c in fields]
     both = left.join(other, keys, "full_outer").withColumn("worst", F.greatest(*worst) if len(worst) > 1 else worst[0])
     return both.select(*keys, "worst", F.coalesce(F.col("worst") <= tolerance, F.lit(False)).alias("agrees"))
+
+
+def inputs_only(df: DataFrame, targets: list[str]) -> DataFrame:
+    """``df`` without the columns that a model is to predict, and the proof that nothing else in it comes from them: a ContractError if a scan below still reads one.
+
+    Spark prunes what isn't used, so a plan whose scans read no target can't depend on one. Names are those of the tables that are read.
+    """
+    kept = df.drop(*targets)
+    leaves = kept._jdf.queryExecution().sparkPlan().collectLeaves()
+    read = {leaves.apply(i).output().apply(j).name() for i in range(leaves.size()) for j in range(leaves.apply(i).output().size())}
+    if used := sorted(read & set(targets)):
+        raise ContractError(f"columns are made of targets: {used}")
+    return kept

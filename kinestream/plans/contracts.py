@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kinestream.operators import documents
+from kinestream.operators import contract, documents
 from kinestream.operators.documents import Field
 from kinestream.plans.registry import query
 
@@ -61,3 +61,14 @@ def calibration_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every failure of every event's calibration document: names, kinds, allowed values, bounds and shapes of arrays."""
     events = spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", F.expr(_DOCUMENT).alias("document"))
     return documents.failures(events, ["event_id"], "document", CALIBRATION)
+
+
+_TARGETS = ["l_extendedprice", "l_discount"]
+
+
+@query("SELECT l_orderkey, count(*) AS lines, sum(l_quantity) AS quantity, max(l_tax) AS most_tax FROM lineitem GROUP BY l_orderkey")
+def inputs_without_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Features of orders from lines without the prices that are to be predicted; the plan proves that no scan reads them."""
+    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    features = lines.groupBy("l_orderkey").agg(F.count("*").alias("lines"), F.sum("l_quantity").alias("quantity"), F.max("l_tax").alias("most_tax"), F.sum("l_extendedprice").alias("l_extendedprice"), F.avg("l_discount").alias("l_discount"))
+    return contract.inputs_only(features, _TARGETS)

@@ -189,3 +189,25 @@ def bend_plane_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = poses(spark, sf_dir).select(F.col("label").alias("stream"), "vec_id", vec.unit(vec.cross(vec.sub(vec.at(F.col("e"), 6), vec.at(F.col("e"), 5)), vec.sub(vec.at(F.col("e"), 7), vec.at(F.col("e"), 6))), 1e-4).alias("normal"))
     placed = temporal.numbered(rows, ["stream"], [F.col("vec_id")], "vec_id", bucket=100_000)
     return seqwin.turned(placed, "normal").select("stream", "i", F.round("turned", 4).alias("turned"))
+
+
+#: The table's plane in depth camera coordinates, and the depths that count.
+TABLE, TABLE_NEAR, TABLE_FAR = (0.1, -0.5, -0.8, 1.7), 1.7, 2.5
+
+
+@query(
+    f"""WITH d AS (SELECT vec_id, g % 8 AS u, g // 8 AS v, 2 + embedding[g + 1]::DOUBLE AS depth FROM embeddings CROSS JOIN range(64) r(g)),
+r AS (SELECT *, (u - {DEPTH[2]}) / {DEPTH[0]} AS rx, (v - {DEPTH[3]}) / {DEPTH[1]} AS ry FROM d), s AS (SELECT *, {TABLE[0]} * rx + {TABLE[1]} * ry + {TABLE[2]} AS slope FROM r),
+z AS (SELECT *, CASE WHEN abs(slope) > 1e-12 AND -{TABLE[3]} / slope > 0 THEN -{TABLE[3]} / slope END AS z FROM s),
+q AS (SELECT *, {", ".join(f"{m[0]} * rx * z + {m[1]} * ry * z + {m[2]} * z + {m[3]} AS q{a}" for m, a in zip(BESIDE, "xyz", strict=False))} FROM z),
+p AS (SELECT *, CASE WHEN qz > 1e-6 THEN round_even({COLOUR[0]} * qx / qz + {COLOUR[2]}, 0)::BIGINT END AS pixel_u, CASE WHEN qz > 1e-6 THEN round_even({COLOUR[1]} * qy / qz + {COLOUR[3]}, 0)::BIGINT END AS pixel_v FROM q)
+SELECT vec_id, count(*) AS pixels, count_if(coalesce(z BETWEEN {TABLE_NEAR} AND {TABLE_FAR} AND pixel_u BETWEEN 0 AND 5 AND pixel_v BETWEEN 0 AND 5, false))::BIGINT AS inside,
+  round(avg(CASE WHEN z BETWEEN {TABLE_NEAR} AND {TABLE_FAR} AND pixel_u BETWEEN 0 AND 5 AND pixel_v BETWEEN 0 AND 5 THEN abs(depth - z) END), 6) AS off FROM p GROUP BY vec_id"""
+)
+def table_geometry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many pixels of each frame look at the table, as both cameras see it, and how far measured depths are from the table's."""
+    p = poses(spark, sf_dir)
+    pixels = p.select("vec_id", F.posexplode("e").alias("i", "d")).select("vec_id", (F.col("i") % 8).cast("long").alias("u"), F.floor(F.col("i") / 8).alias("v"), (2 + F.col("d").cast("double")).alias("depth"))
+    seen = cloud.on_table(pixels, lambda u, v: vec.vec((u - DEPTH[2]) / DEPTH[0], (v - DEPTH[3]) / DEPTH[1], F.lit(1.0)), TABLE, BESIDE, lambda q: vec.project(q, COLOUR), (6, 6), TABLE_NEAR, TABLE_FAR)
+    off = F.avg(F.when(F.col("inside"), F.abs(F.col("depth") - F.col("expected_z"))))
+    return seen.groupBy("vec_id").agg(F.count("*").alias("pixels"), F.count_if("inside").alias("inside"), F.round(off, 6).alias("off"))

@@ -244,3 +244,34 @@ def test_conditioned_poses(spark):
     marks = spark.createDataFrame([("h", f, [tuple((want[f][2]).tolist()), None]) for f in range(3)], f"side string, frame int, markers array<{POINT}>")
     off = {(r.frame, r.marker): r.r for r in conditioned.residuals(got.where("side = 'h'"), marks, ["side"], [2, 3]).collect()}
     assert off[1, 0] == pytest.approx(0, abs=1e-9) and off[1, 1] is None and off[5, 0] is None
+
+
+def test_inputs_are_free_of_targets(spark, tmp_path):
+    """Dropping targets is enough if nothing is made of them; a column that hides one is an error; values don't change with the targets."""
+    from kinestream.operators import contract
+
+    spark.createDataFrame([(1, 2.0, 3.0), (2, 5.0, 7.0)], "id int, x double, y double").write.parquet(str(tmp_path / "a"))
+    df = spark.read.parquet(str(tmp_path / "a"))
+    got = contract.inputs_only(df.withColumn("twice", F.col("x") * 2), ["y"])
+    assert got.columns == ["id", "x", "twice"] and sorted(map(tuple, got.collect())) == [(1, 2.0, 4.0), (2, 5.0, 10.0)]
+    for hidden in (df.withColumn("leak", F.col("y") + 1), df.where("y > 3"), df.join(df.groupBy("id").agg(F.max("y").alias("best")), "id")):
+        with pytest.raises(ContractError, match="y"):
+            contract.inputs_only(hidden, ["y"])
+
+
+def test_where_rays_meet_the_table(spark):
+    rows = [(u, v) for u in range(6) for v in range(5)]
+    up = (0.0, -0.6, -0.8, 1000.0)
+    got = cloud.on_table(spark.createDataFrame(rows, "u long, v long"), lambda u, v: vec.vec((u - 3) / 2, (v - 3) * 2, F.lit(1.0)), up, ((1, 0, 0, 10), (0, 1, 0, 0), (0, 0, 1, 0), (0, 0, 0, 1)), lambda p: vec.project(p, (2.0, 2.0, 3.0, 3.0)), (5, 6), 300, 1300).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        ray = np.array([(r.u - 3) / 2, (r.v - 3) * 2, 1.0])
+        slope = ray @ np.array(up[:3])
+        z = -up[3] / slope if abs(slope) > 1e-12 and -up[3] / slope > 0 else None
+        assert r.expected_z == (None if z is None else pytest.approx(z))
+        if z is not None:
+            x, y, w = ray * z + [10, 0, 0]
+            px = (round(2 * x / w + 3), round(2 * y / w + 3))
+            assert (r.pixel_u, r.pixel_v) == px and r.inside == (300 <= z <= 1300 and 0 <= px[0] < 5 and 0 <= px[1] < 6)
+        else:
+            assert not r.inside
