@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from kinestream.shared import written
 
-__all__ = ["GAP", "WORD", "ascii_lower", "free_name", "words", "written"]
+__all__ = ["GAP", "WORD", "ascii_lower", "differing", "free_name", "words", "written"]
 
 #: One word: a run of characters other than space and the five ASCII control spaces.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -28,6 +28,11 @@ def ascii_lower(text: Column) -> Column:
     return F.translate(text, _UPPER, _UPPER.lower())
 
 
+def differing(a: Column, b: Column) -> Column:
+    """The number of places in which two arrays of one length differ."""
+    return F.size(F.filter(F.zip_with(a, b, lambda x, y: x != y), lambda x: x))
+
+
 def free_name(df: DataFrame, wanted: str) -> str:
     """``wanted`` with as many underscores before it as keep it apart from the columns of ``df``."""
     taken = {c.lower() for c in df.columns}

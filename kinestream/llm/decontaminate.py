@@ -1,4 +1,4 @@
-"""Benchmark decontamination: SimHash of item-sized windows, multi-index Hamming blocks, exact verification.
+"""Benchmark decontamination: SimHash of item-sized windows, multi-index Hamming blocks that lose no match, exact verification.
 
 DataFrame functions only. Words are in lower case; a shingle is five words, or the whole item if it has fewer. Texts that
 are equal are looked through once.
@@ -11,17 +11,10 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kinestream.llm.common import free_name, words, written
+from kinestream.llm.common import differing, free_name, words, written
 
 SHINGLE, SIMILARITY = 5, 0.8
-#: A print is PRINTS words of 64 bits, each cut into BLOCKS blocks of BITS bits. Prints that differ in 35 bits or fewer agree on a
-#: block at least. At a similarity of 0.8 a bit differs with a probability of 0.15 and a pair shares no block in 0.0005 of all cases;
-#: prints that have nothing to do with each other share one in 0.035.
-PRINTS, BLOCKS, BITS = 6, 6, 10
-#: Prints of a window and an item that share a block and differ in so many of the 384 bits or fewer are candidates. At 0.8 about 58
-#: bits differ, with a deviation of 7.
-RADIUS = 90
-#: Up to so many shingles of all items, what is looked up is broadcast (36 rows of some 100 bytes an item); a larger benchmark is shuffled.
+#: Up to so many shingles of all items, what is looked up is broadcast (2 rows of some 100 bytes for nine shingles); a larger benchmark is shuffled.
 BROADCAST_SHINGLES = 200_000
 #: Of a document's shingles each STRIDE-th is looked up. See ``_positions``.
 STRIDE = 4
@@ -66,22 +59,29 @@ def simhash(hashes: Column, planes: int) -> Column:
     return F.aggregate(hashes, start, add, over_half)
 
 
-def prints(hashes: Column, planes: int) -> Column:
-    """The print as an array of longs: a SimHash of the hashes as they are, and of PRINTS - 1 others made of them."""
-    again = lambda k: F.transform(hashes, lambda h: F.xxhash64(h, F.lit(k)))
-    return F.array(simhash(hashes, planes), *[simhash(again(k), planes) for k in range(1, PRINTS)])
+def classes(m: Column) -> Column:
+    """The number of classes for items of ``m`` shingles: one more than the classes in which a window that matches can differ.
 
+    At a similarity of 0.8 sets of a and m shingles, repeats counted, have 4 (a + m) / 9 in common, so (a + m) / 9 are in one of
+    them only. A window has no more shingles than its item, which makes 2 m / 9 at most.
+    """
+    return F.floor(m * 2 / 9).cast("int") + 1
 
-def _blocks(print_: Column) -> Column:
-    """All blocks of a print: number and bits."""
-    words_ = [F.get(print_, F.lit(k)) for k in range(PRINTS)]
-    cut = lambda w, i: F.shiftright(w, BITS * i).bitwiseAND(F.lit((1 << BITS) - 1)).cast("int")
-    return F.array(*[F.struct(F.lit(k * BLOCKS + i).alias("block"), cut(w, i).alias("bits")) for k, w in enumerate(words_) for i in range(BLOCKS)])
+
+def prints(hashes: Column, planes: int, m: Column | None = None) -> Column:
+    """The print as an array of longs: a SimHash of each class of the hashes, which are dealt to ``classes`` by their remainder.
+
+    m: the number of shingles of the item that a window is compared with; for items their own.
+    """
+    count = classes(F.size(hashes) if m is None else m)
+    # A class is bound to a lambda's variable, else it would be filtered anew for each plane.
+    own = F.transform(F.sequence(F.lit(0), count - 1), lambda c: F.filter(hashes, lambda h: F.pmod(h, count) == c))
+    return F.transform(own, lambda x: simhash(x, planes))
 
 
-def _differing(a: Column, b: Column) -> Column:
-    """The number of bits in which two prints differ."""
-    return reduce(lambda x, y: x + y, [F.bit_count(F.get(a, F.lit(k)).bitwiseXOR(F.get(b, F.lit(k)))) for k in range(PRINTS)])
+def _blocks(print_: Column) -> Column:
+    """All blocks of a print, number and bits: each class is one. Prints that match agree on a block, as they differ in fewer than there are."""
+    return F.transform(print_, lambda word, i: F.struct(i.alias("block"), word.alias("bits")))
 
 
 def benchmark_items(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
@@ -148,8 +148,8 @@ def matches(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_
 
     A window has as many words as the item, or all words of a shorter text. It matches if the weighted Jaccard similarity of its
     shingles with the item's (repeats counted) is 0.8 or more. Windows without any of the item's shingles can't match and are passed
-    over; all others get a print, and items of their size with which they share a block of it and from which they differ in RADIUS bits or fewer are compared
-    exactly. similarity and start are the best window's, the first of equals. mark and mark2 are ``text_marks``.
+    over; all others get a print, and items of their size with which they share a block of it and from which they differ in no more blocks than a match can
+    are compared exactly. No match is lost: see ``classes``. similarity and start are the best window's, the first of equals. mark and mark2 are ``text_marks``.
     Null, empty and blank texts and items match nothing.
 
     The benchmark is the stated query set: what is looked up of it is broadcast if it is small (BROADCAST_SHINGLES, counted first), else shuffled.
@@ -167,12 +167,13 @@ def matches(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_
         own = docs.select(*text_marks(F.col(text_col)), F.col(text_col).alias("text")).join(met.select(*MARK).distinct(), MARK, "left_semi")
         found.append(_windows(met, own.groupBy(*MARK).agg(F.first("text").alias("text")), row["size"], stride))
     planes = max(r["most"] for r in sums).bit_length()
-    windows = written(reduce(DataFrame.union, found).withColumn("print", prints(F.col("hashes"), planes)), "windows")
+    m = F.col("n") - F.least("n", F.lit(SHINGLE)) + 1
+    windows = written(reduce(DataFrame.union, found).withColumn("print", prints(F.col("hashes"), planes, m)), "windows")
     index = written(items.select("item_id", "n", F.col("hashes").alias("of"), F.xxhash64("hashes").alias("item"), prints(F.col("hashes"), planes).alias("item_print")), "item-prints")
-    slim = index.select("item", "n", "item_print", F.inline(_blocks(F.col("item_print")))).distinct()
+    slim = index.select("item", "n", F.size("of").alias("m"), "item_print", F.inline(_blocks(F.col("item_print")))).distinct()
     window = [*MARK, "n", "start"]
-    keyed = windows.select(*window, "print", F.inline(_blocks(F.col("print"))))
-    met = keyed.join(F.broadcast(slim) if small else slim, ["n", "block", "bits"]).where(_differing(F.col("print"), F.col("item_print")) <= RADIUS)
+    keyed = windows.select(*window, F.size("hashes").alias("a"), "print", F.inline(_blocks(F.col("print"))))
+    met = keyed.join(F.broadcast(slim) if small else slim, ["n", "block", "bits"]).where(differing(F.col("print"), F.col("item_print")) * 9 <= F.col("a") + F.col("m"))
     pairs = met.select(*window, "item").distinct()
     near = pairs.join(windows.select(*window, "hashes"), window).join(F.broadcast(index) if small else index, ["n", "item"])
     both = _common(F.col("hashes"), F.col("of"))

@@ -5,6 +5,7 @@ import re
 from collections import Counter
 
 from kinestream.llm import decontaminate
+from kinestream.llm.common import differing
 
 
 def shingles(w, size):
@@ -83,6 +84,29 @@ def test_recall_at_the_threshold(spark):
     assert len(found) >= 0.99 * len(docs)
 
 
+def test_no_match_is_lost_however_words_repeat(spark):
+    """Two shingles that change places in the majority turn the whole print of a window, though nearly all shingles are in both."""
+    turns = lambda a, b, n: " ".join((a, b)[i % 2] for i in range(n))
+    items = [(n, turns("a", "b", n)) for n in (13, 15, 17, 41)] + [(50, turns("x", "y", 30) + " q r s t u v w"), (60, "k " * 40 + "l " * 9)]
+    docs = [(n, turns("b", "a", n)) for n in (13, 15, 17, 41)] + [(50, turns("y", "x", 31) + " q r s t u"), (60, "k " * 37 + "l " * 12), (70, turns("b", "a", 12))]
+    want = brute(docs, items)
+    assert {(n, n) for n in (13, 15, 17, 41, 50, 60)} <= set(want) and run(spark, docs, items) == want
+
+
+def test_matches_differ_in_fewer_blocks_than_there_are(spark):
+    """Windows that just reach 0.8, of all lengths: each agrees with its item on a block, whatever the hashes."""
+    from pyspark.sql import functions as F
+
+    rng, rows = random.Random(9), []
+    for m in [*range(1, 40), 46, 99, 300]:
+        for _ in range(20):
+            own = [rng.getrandbits(63) for _ in range(m)]
+            rows.append((own, [rng.getrandbits(63) for _ in range(m // 9)] + own[m // 9 :]))
+    a, b = (decontaminate.prints(F.col(c), 9) for c in "ab")
+    got = spark.createDataFrame(rows, "a array<long>, b array<long>").select(differing(a, b).alias("d"), F.size("a").alias("m"), F.size(a).alias("all")).collect()
+    assert all(r.d <= 2 * (r.m // 9) < r.all for r in got) and any(r.d for r in got)
+
+
 def test_blocks_decide(spark, monkeypatch):
     """Without blocks there is no candidate, and few pairs that have nothing in common share one."""
     from pyspark.sql import functions as F
