@@ -1,28 +1,30 @@
-"""Near copies by the exact Jaccard similarity of word shingles: MinHash bands propose pairs, the sets decide."""
+"""Near copies by SimHash of word shingles: blocks that no similar pair can avoid, a join on blocks, a Hamming check, the exact Jaccard similarity."""
 
 from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_right
 
 import numpy as np
 import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from kinestream.llm.common import WORD, free_name, written
+from kinestream.llm.common import WORD, differing, free_name, written
 from kinestream.llm.components import connected_components
 
 _WORD = re.compile(WORD)
 _LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 SIZE = 5
-#: Two texts at a similarity of 0.8 share none of the keys in (1 - 0.8^5)^25 = 0.00005 of all cases, closer ones in fewer.
-BANDS, ROWS = 25, 5
+#: The sizes of sets at which a level begins. Each is 1.5 times the one before or more, so sets that can be similar are of one level or of neighbouring ones.
+_BORDERS = [1]
+while _BORDERS[-1] < 1 << 40:
+    _BORDERS.append(_BORDERS[-1] * 3 // 2 + 1)
+#: Classes whose bits are counted at a time: bounds the memory that a very long text takes.
 _PART = 4_096
-_rng = np.random.default_rng(8)
-_TIMES, _PLUS = (_rng.integers(0, 1 << 64, BANDS * ROWS, dtype=np.uint64) for _ in range(2))
-_TIMES |= np.uint64(1)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -51,36 +53,94 @@ def shingles(text: str | None, size: int = SIZE) -> np.ndarray:
     return np.unique(total)
 
 
+def level(n: int) -> int:
+    """The level of a set of ``n`` elements."""
+    return bisect_right(_BORDERS, n) - 1
+
+
+def classes(at: int) -> int:
+    """The number of classes of a level's prints: over an eighth more than the classes in which two similar sets of the level can differ.
+
+    At a similarity of 0.8 sets of n and m elements have 4 (n + m) / 9 in common, so (n + m) / 9 are in one of them only.
+    """
+    return 2 * (_BORDERS[at + 1] - 1) // 9 * 9 // 8 + 1
+
+
+def simhashes(hashes: np.ndarray, count: int) -> tuple[np.ndarray, np.ndarray]:
+    """A SimHash of each of ``count`` classes of the hashes, dealt by their remainder, and the classes' sizes. A bit is set if it is in over half of a class."""
+    own = (hashes % np.uint64(count)).astype(np.int64)
+    dealt, sizes = hashes[np.argsort(own, kind="stable")].astype(">u8"), np.bincount(own, minlength=count)
+    filled, ends = np.flatnonzero(sizes), np.cumsum(sizes)
+    out = np.zeros(count, dtype=np.uint64)
+    for at in range(0, len(filled), _PART):
+        part = filled[at : at + _PART]
+        starts = ends[part] - sizes[part]
+        bits = np.unpackbits(dealt[starts[0] : ends[part[-1]]].view(np.uint8)).reshape(-1, 64)
+        ones = np.add.reduceat(bits, starts - starts[0], axis=0, dtype=np.int64)
+        out[part] = np.packbits(ones * 2 > sizes[part, None], axis=1).view(">u8").ravel()
+    return out, sizes
+
+
+def levels(n: int) -> list[int]:
+    """The levels at which a set meets others: its own, and the next one if a set of that can be similar."""
+    own = level(n)
+    return [own, own + 1] if n * 5 // 4 >= _BORDERS[own + 1] else [own]
+
+
+def blocks(hashes: np.ndarray, at: int) -> tuple[np.ndarray, int]:
+    """The keys of a print's blocks at a level, of which two similar sets share one, and how many of them a set shares with a similar one at least.
+
+    The sets differ in fewer classes than there are, so some class is the same in both. A set with more filled classes than its
+    partners can differ in has such classes among the filled ones, and gives keys for these only; the few others give all.
+    A key's last bit is the level's.
+    """
+    n = len(hashes)
+    print_, sizes = simhashes(hashes, classes(at))
+    filled = np.flatnonzero(sizes)
+    least = len(filled) - (n + min(n * 5 // 4, _BORDERS[at + 1] - 1)) // 9
+    if least <= 0:
+        filled = np.arange(len(sizes))
+    mixed = _mixed(print_[filled] ^ _mixed(filled.astype(np.uint64) * _STEP + np.uint64(at)))
+    return mixed & ~np.uint64(1) | np.uint64(at & 1), max(least, 1)
+
+
+def keyed_blocks(hashes: np.ndarray) -> tuple[np.ndarray, list[int]]:
+    """The keys of all blocks of a set, at all levels at which it meets others, and ``least`` by the level's last bit."""
+    all_, least = [hashes[:0]], [1, 1]
+    for at in levels(len(hashes)) if len(hashes) else []:
+        own, least[at & 1] = blocks(hashes, at)
+        all_.append(own)
+    return np.concatenate(all_), least
+
+
 def keys(hashes: np.ndarray) -> np.ndarray:
-    """A key for each band: a hash of the band's number and of its minima."""
-    least = np.full(BANDS * ROWS, np.iinfo(np.uint64).max, dtype=np.uint64)
-    for at in range(0, len(hashes), _PART):
-        least = np.minimum(least, (hashes[at : at + _PART, None] * _TIMES + _PLUS).min(axis=0))
-    least = least.reshape(BANDS, ROWS)
-    total = np.arange(BANDS, dtype=np.uint64)
-    for i in range(ROWS):
-        total = _mixed(total * _STEP + least[:, i])
-    return total
+    """The keys of all blocks of a set."""
+    return keyed_blocks(hashes)[0]
 
 
 def _printed(text: Column) -> Column:
-    """node (a hash of the shingle set), n (its size) and bands (its keys)."""
+    """node (a hash of the shingle set), n (its size), blocks (its keys) and least."""
 
-    @F.pandas_udf("node long, n int, bands array<long>")
+    @F.pandas_udf("node long, n int, blocks array<long>, least array<int>")
     def of(texts: pd.Series) -> pd.DataFrame:
         sets = [shingles(t) for t in texts]
         node = np.array([xxhash.xxh64_intdigest(s.tobytes(), 42) for s in sets], dtype=np.uint64).view(np.int64)
-        return pd.DataFrame({"node": node, "n": np.array([len(s) for s in sets], dtype=np.int32), "bands": [keys(s).view(np.int64) for s in sets]})
+        made = [keyed_blocks(s) for s in sets]
+        return pd.DataFrame({"node": node, "n": np.array([len(s) for s in sets], dtype=np.int32), "blocks": [k.view(np.int64) for k, _ in made], "least": [least for _, least in made]})
 
     return of(text)
 
 
 def _listed(text: Column) -> Column:
-    """The shingle set as an array of longs."""
+    """list (the shingle set), level, own (the print at its level) and above (the print at the next one, if it meets sets of that)."""
 
-    @F.pandas_udf("array<long>")
-    def of(texts: pd.Series) -> pd.Series:
-        return pd.Series([shingles(t).view(np.int64) for t in texts])
+    @F.pandas_udf("list array<long>, level int, own array<long>, above array<long>")
+    def of(texts: pd.Series) -> pd.DataFrame:
+        sets = [shingles(t) for t in texts]
+        prints = [[simhashes(s, classes(at))[0].view(np.int64) for at in levels(len(s))] if len(s) else [] for s in sets]
+        none = np.zeros(0, dtype=np.int64)
+        own, above = ([p[k] if len(p) > k else none for p in prints] for k in range(2))
+        return pd.DataFrame({"list": [s.view(np.int64) for s in sets], "level": np.array([level(len(s)) for s in sets], dtype=np.int32), "own": own, "above": above})
 
     return of(text)
 
@@ -131,15 +191,20 @@ def _pairs(buckets: DataFrame) -> DataFrame:
     return x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.node") < F.col("y.node")) & sized).select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
 
 
-def _listed_pairs(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """``pairs`` (a, b and other columns) with the sets p of a and q of b."""
-    left, right = sets.select(F.col("node").alias("a"), F.col("list").alias("p")), sets.select(F.col("node").alias("b"), F.col("list").alias("q"))
+def _with_sets(pairs: DataFrame, sets: DataFrame, *columns: str) -> DataFrame:
+    """``pairs`` (a, b and other columns) with columns of the sets, p of a and q of b."""
+    left, right = (sets.select(F.col("node").alias(node), F.struct(*columns).alias(to)) for node, to in (("a", "p"), ("b", "q")))
     return pairs.join(left, "a").join(right, "b")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs with a Jaccard similarity of 0.8 or more."""
-    return _listed_pairs(pairs, sets).where(_similar(F.size(F.array_intersect("p", "q")), F.size("p"), F.size("q"))).select("a", "b")
+    """The pairs whose prints differ in as many classes as their sizes allow or fewer, with a Jaccard similarity of 0.8 or more."""
+    both = _with_sets(pairs, sets, "list", "level", "own", "above")
+    # The prints are compared at the larger set's level.
+    p, q = (F.when(F.col(f"{x}.level") >= F.col(f"{y}.level"), F.col(f"{x}.own")).otherwise(F.col(f"{x}.above")) for x, y in ("pq", "qp"))
+    n, m = F.size("p.list"), F.size("q.list")
+    near = both.where(differing(p, q) * 9 <= n + m)
+    return near.where(_similar(F.size(F.array_intersect("p.list", "q.list")), n, m)).select("a", "b")
 
 
 def _pivots(many: DataFrame) -> DataFrame:
@@ -192,30 +257,39 @@ def _sized_pairs(table: DataFrame, key: list[str]) -> DataFrame:
 def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hot: int = 24) -> tuple[DataFrame, DataFrame]:
     """(nodes, roots): the distinct shingle sets with their least rows, and the component of each set that has links.
 
-    Sets are linked whose Jaccard similarity is 0.8 or more; each pair that shares a key is verified on the whole sets, or proven to be less similar.
+    Sets are linked whose Jaccard similarity is 0.8 or more. Each such pair shares a block of its prints (``blocks``), and each pair that shares one is verified
+    by its prints and on the whole sets, or proven to be less similar.
     The sets of a bucket of over ``hot`` are first compared with the bucket's pivot. Only pairs that this leaves in two
     components, and that what they share with the pivot doesn't rule out, are verified then; no other can change the components. Nothing is capped or dropped.
     """
     first = row_order(docs, id_col, text_col)
     rows = written(docs.select(first.alias("first"), _printed(F.col(text_col)).alias("p")).select("first", "p.*"), "prints")
-    nodes = written(rows.groupBy("node").agg(F.min("first").alias("first"), F.count("*").alias("copies"), F.first("n").alias("n"), F.first("bands").alias("bands")), "sets")
-    keyed = nodes.select("node", "n", "copies", F.explode("bands").alias("key"))
-    sizes = keyed.groupBy("key").agg(F.count("*").alias("m")).where("m > 1")
-    shared = written(keyed.join(sizes, "key").select("key", "node", "n", "copies", "m"), "buckets")
+    nodes = written(rows.groupBy("node").agg(F.min("first").alias("first"), F.count("*").alias("copies"), F.first("n").alias("n"), F.first("least").alias("least")), "sets")
+    # Of each set's rows one gives its blocks: a single shuffle of (key, node), of which only keys of several sets are kept.
+    one = written(nodes.select(F.col("first.mark").alias("mark")), "marks")
+    keyed = rows.withColumn("mark", F.col("first.mark")).join(one, "mark", "left_semi").select("node", F.explode("blocks").alias("key"))
+    counted = keyed.repartition("key").withColumn("m", F.count("*").over(Window.partitionBy("key"))).where("m > 1").select("key", "node").distinct()
+    # A set that shares fewer blocks with all others than with any similar one has no similar one.
+    parity = F.col("key").bitwiseAND(F.lit(1)).cast("int")
+    joined = counted.join(nodes.select("node", "n", "copies", "least"), "node").withColumn("even", parity)
+    able = joined.withColumn("met", F.count("*").over(Window.partitionBy("node", "even"))).where(F.col("met") >= F.get("least", F.col("even")))
+    shared = able.select("key", "node", "n", "copies").withColumn("m", F.count("*").over(Window.partitionBy("key"))).where("m > 1")
+    shared = written(shared, "buckets")
     few, many = shared.where(F.col("m") <= hot), shared.where(F.col("m") > hot)
     tried, pivots = written(_pairs(few), "tried"), written(_pivots(many), "pivots")
 
     wanted = tried.select("a").union(tried.select("b")).union(pivots.select("b")).distinct().toDF("node")
     where = nodes.join(wanted, "node", "left_semi").select("node", F.col("first.mark").alias("mark"))
     texts = docs.select(row_mark(docs).alias("mark"), F.col(text_col).alias("text")).join(where, "mark").dropDuplicates(["node"])
-    sets = written(texts.select("node", _listed(F.col("text")).alias("list")), "lists")
+    sets = written(texts.select("node", _listed(F.col("text")).alias("s")).select("node", "s.*"), "lists")
 
     links = _verified(tried, sets)
     if pivots.isEmpty():
         return nodes, connected_components(links)
-    n = F.size("q")
-    rest = F.slice(F.array_except("q", "p"), 1, (n / 5).cast("int") + 1)
-    compared = _listed_pairs(pivots, sets).select(F.col("a").alias("pivot"), F.col("b").alias("node"), n.alias("n"), F.size("p").alias("m"), F.size(F.array_intersect("p", "q")).alias("common"), rest.alias("rest"))
+    p, q = F.col("p.list"), F.col("q.list")
+    n = F.size(q)
+    rest = F.slice(F.array_except(q, p), 1, (n / 5).cast("int") + 1)
+    compared = _with_sets(pivots, sets, "list").select(F.col("a").alias("pivot"), F.col("b").alias("node"), n.alias("n"), F.size(p).alias("m"), F.size(F.array_intersect(p, q)).alias("common"), rest.alias("rest"))
     stars = written(compared, "stars")
     linked = stars.where((F.col("pivot") != F.col("node")) & _similar(F.col("common"), F.col("n"), F.col("m"))).select(F.col("pivot").alias("a"), F.col("node").alias("b"))
     links = written(links.union(linked), "links")

@@ -3,6 +3,8 @@
 import random
 import re
 
+import numpy as np
+
 from kinestream.llm import near_copies, queries
 
 SCHEMA = "doc_id long, text string"
@@ -68,6 +70,60 @@ def test_hot_buckets_give_the_same_groups(spark):
         assert {r.doc_id for r in near_copies.least_rows(docs, nodes, roots).collect()} == plain_kept(rows)
 
 
+def at_the_threshold(sizes, times, seed):
+    """Pairs of sets that just reach a similarity of 0.8: those of n and m hashes have 4 (n + m) / 9 in common, rounded up."""
+    rng = np.random.default_rng(seed)
+    for n in sizes:
+        for m in sorted({n, n + 1, n * 9 // 8, n * 5 // 4}):
+            common = -(-4 * (n + m) // 9)
+            for _ in range(times if common <= n else 0):
+                own = rng.integers(0, 1 << 64, n + m - common, dtype=np.uint64)
+                yield np.sort(own[:n]), np.sort(np.concatenate([own[:common], own[n:]]))
+
+
+def test_similar_sets_always_share_a_block():
+    """No pair at 0.8 is left to chance, at any size or across levels, also where classes are empty."""
+    pairs = [*at_the_threshold(range(1, 100), 20, 3), *at_the_threshold((160, 400, 1000, 9000), 3, 4)]
+    for a, b in pairs:
+        both = np.intersect1d(near_copies.keys(a), near_copies.keys(b))
+        at = max(near_copies.level(len(a)), near_copies.level(len(b))) & 1
+        met = np.count_nonzero(both & np.uint64(1) == at)
+        assert met >= max(near_copies.keyed_blocks(x)[1][at] for x in (a, b))
+    assert len(pairs) > 6000
+
+
+def test_pairs_that_min_hashes_lost_are_one(spark):
+    """9 shingles of which one differs, a similarity of 0.8: pairs without a common key in the MinHash bands that this stage had."""
+    rows = []
+    for i in (9982, 21029, 25073):
+        w = [f"{i}w{k}" for k in range(13)]
+        rows += [(i, " ".join(w)), (100_000 + i, " ".join([*w[:-1], "end"]))]
+    got = queries.near_duplicate_stage(spark, spark.createDataFrame(rows, SCHEMA), "").collect()
+    assert sorted(r.doc_id for r in got) == [9982, 21029, 25073]
+
+
+def test_blocks_are_simhashes_of_classes():
+    hashes = np.unique(np.random.default_rng(5).integers(0, 1 << 64, 300, dtype=np.uint64))
+    got, sizes = near_copies.simhashes(hashes, 70)
+    for c in range(70):
+        own = [int(h) for h in hashes if h % 70 == c]
+        assert sizes[c] == len(own) and int(got[c]) == sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in own) > len(own))
+
+
+def test_simhash_blocks_decide(spark, monkeypatch):
+    """The stage's pairs come from its SimHash blocks alone: without them only equal sets are one."""
+    rows = list(enumerate(near_texts()))
+    monkeypatch.setattr(near_copies, "_printed", _unblocked(near_copies._printed))
+    got = {r.doc_id for r in near_copies.deduplicated(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert len(got) == len({plain_set(t) for _, t in rows}) > len(plain_kept(rows))
+
+
+def _unblocked(printed):
+    from pyspark.sql import functions as F
+
+    return lambda text: printed(text).withField("blocks", F.array().cast("array<long>"))
+
+
 def test_repeated_and_null_ids(spark):
     same = "a b c d e f g h"
     rows = [(5, same), (3, same), (3, same), (9, "other words stand here now"), (None, same), (None, "z"), (None, "z"), (3, "quite another text under a used id")]
