@@ -81,6 +81,17 @@ def simhashes(hashes: np.ndarray, count: int) -> tuple[np.ndarray, np.ndarray]:
     return out, sizes
 
 
+def sketch(hashes: np.ndarray) -> np.ndarray:
+    """The parities of the numbers of hashes with equal last bits, two of them or more for each hash, as 64-bit words.
+
+    Each hash that only one of two sets has turns one parity, so sketches of one length differ in no more bits than their sets in hashes.
+    The halves of a sketch, xored, are the sketch of half the length.
+    """
+    width = max(64, 1 << (2 * _BORDERS[level(max(len(hashes), 1)) + 1] - 1).bit_length())
+    odd = np.bincount((hashes & np.uint64(width - 1)).astype(np.int64), minlength=width) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def levels(n: int) -> list[int]:
     """The levels at which a set meets others: its own, and the next one if a set of that can be similar."""
     own = level(n)
@@ -132,15 +143,15 @@ def _printed(text: Column) -> Column:
 
 
 def _listed(text: Column) -> Column:
-    """list (the shingle set), level, own (the print at its level) and above (the print at the next one, if it meets sets of that)."""
+    """list (the shingle set), its sketch, level, own (the print at its level) and above (the print at the next one, if it meets sets of that)."""
 
-    @F.pandas_udf("list array<long>, level int, own array<long>, above array<long>")
+    @F.pandas_udf("list array<long>, sketch array<long>, level int, own array<long>, above array<long>")
     def of(texts: pd.Series) -> pd.DataFrame:
         sets = [shingles(t) for t in texts]
         prints = [[simhashes(s, classes(at))[0].view(np.int64) for at in levels(len(s))] if len(s) else [] for s in sets]
         none = np.zeros(0, dtype=np.int64)
         own, above = ([p[k] if len(p) > k else none for p in prints] for k in range(2))
-        return pd.DataFrame({"list": [s.view(np.int64) for s in sets], "level": np.array([level(len(s)) for s in sets], dtype=np.int32), "own": own, "above": above})
+        return pd.DataFrame({"list": [s.view(np.int64) for s in sets], "sketch": [sketch(s) for s in sets], "level": np.array([level(len(s)) for s in sets], dtype=np.int32), "own": own, "above": above})
 
     return of(text)
 
@@ -184,11 +195,36 @@ def _similar(common: Column, n: Column, m: Column) -> Column:
     return common * 9 >= (n + m) * 4
 
 
+def _near(x: str, y: str) -> Column:
+    """Whether the sketches of two sets, columns n and sketch of ``x`` and ``y``, and their sizes allow a similarity of 0.8. Such sets' sketches have one length or differ by half."""
+    n, m, p, q = (F.col(f"{t}.{c}") for c in ("n", "sketch") for t in (x, y))
+
+    def half(s: Column) -> Column:
+        size = F.greatest((F.size(s) / 2).cast("int"), F.lit(1))
+        return F.zip_with(F.slice(s, F.lit(1), size), F.slice(s, size + 1, size), lambda a, b: a.bitwiseXOR(b))
+
+    p, q = F.when(F.size(p) > F.size(q), half(p)).otherwise(p), F.when(F.size(q) > F.size(p), half(q)).otherwise(q)
+    bits = F.aggregate(F.zip_with(p, q, lambda a, b: F.bit_count(a.bitwiseXOR(b))), F.lit(0), lambda total, b: total + b)
+    return (F.least(n, m) * 5 >= F.greatest(n, m) * 4) & (bits * 9 <= n + m)
+
+
+def _rarest(met: DataFrame) -> DataFrame:
+    """Of each set's keys (key, node, m: the key's sets, least) those by which it must meet its similar ones.
+
+    Similar sets share ``least`` keys of a level or more. The rarest key that they share has so many others behind it, in any order that all sets have in common, so
+    it is not among either set's last ``least`` - 1 keys. A set with fewer keys than ``least`` has no similar one.
+    """
+    even = F.col("key").bitwiseAND(F.lit(1)).cast("int")
+    rank = F.row_number().over(Window.partitionBy("node", "even").orderBy(F.desc("m"), "key"))
+    return met.withColumn("even", even).withColumn("rank", rank).where(F.col("rank") >= F.get("least", F.col("even")))
+
+
 def _pairs(buckets: DataFrame) -> DataFrame:
-    """Pairs a < b of one bucket whose sizes allow a similarity of 0.8."""
+    """Pairs a < b of one bucket (key, node, n, root) and different components whose sizes allow a similarity of 0.8."""
     x, y = buckets.alias("x"), buckets.alias("y")
     sized = F.least("x.n", "y.n") * 5 >= F.greatest("x.n", "y.n") * 4
-    return x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.node") < F.col("y.node")) & sized).select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
+    apart = (F.col("x.key") == F.col("y.key")) & (F.col("x.node") < F.col("y.node")) & (F.col("x.root") != F.col("y.root"))
+    return x.join(y, apart & sized).select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
 
 
 def _with_sets(pairs: DataFrame, sets: DataFrame, *columns: str) -> DataFrame:
@@ -197,9 +233,15 @@ def _with_sets(pairs: DataFrame, sets: DataFrame, *columns: str) -> DataFrame:
     return pairs.join(left, "a").join(right, "b")
 
 
+def _near_pairs(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
+    """The pairs whose sizes and sketches allow a similarity of 0.8."""
+    return _with_sets(pairs, sketches, "n", "sketch").where(_near("p", "q")).select("a", "b")
+
+
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs whose prints differ in as many classes as their sizes allow or fewer, with a Jaccard similarity of 0.8 or more."""
-    both = _with_sets(pairs, sets, "list", "level", "own", "above")
+    wanted = pairs.select("a").union(pairs.select("b")).distinct().toDF("node")
+    both = _with_sets(pairs, written(sets.join(wanted, "node", "left_semi"), "verified"), "list", "level", "own", "above")
     # The prints are compared at the larger set's level.
     p, q = (F.when(F.col(f"{x}.level") >= F.col(f"{y}.level"), F.col(f"{x}.own")).otherwise(F.col(f"{x}.above")) for x, y in ("pq", "qp"))
     n, m = F.size("p.list"), F.size("q.list")
@@ -207,11 +249,20 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return near.where(_similar(F.size(F.array_intersect("p.list", "q.list")), n, m)).select("a", "b")
 
 
-def _pivots(many: DataFrame) -> DataFrame:
-    """(a, b) for each set b of a hot bucket and the bucket's pivot a: the set whose buckets are largest, which is the one that most others resemble."""
-    wide = many.groupBy("node").agg(F.sum("m").alias("wide"))
-    pivots = many.join(wide, "node").groupBy("key").agg(F.max(F.struct("wide", "copies", "node")).alias("pivot")).select("key", F.col("pivot.node").alias("a"))
-    return many.select("key", F.col("node").alias("b")).join(pivots, "key").select("a", "b").distinct()
+def _pivots(buckets: DataFrame) -> DataFrame:
+    """key and pivot (wide, copies, node) of each bucket: the set whose buckets are largest, which is the one that most others resemble."""
+    wide = buckets.groupBy("node").agg(F.sum("m").alias("wide"))
+    return buckets.join(wide, "node").groupBy("key").agg(F.max(F.struct("wide", "copies", "node")).alias("pivot"))
+
+
+def _far_pivots(buckets: DataFrame) -> DataFrame:
+    """(a, b) for each set b of a bucket (key, node, pivot) and a set a, one for all of the bucket and itself among the b: the widest pivot that the bucket's pivot meets.
+
+    So a set of a large group has few of them, however many of its buckets the group's own pivot misses.
+    """
+    far = buckets.groupBy("node").agg(F.max("pivot").alias("far")).select("node", F.col("far.node").alias("a"))
+    found = buckets.select(F.col("node").alias("b"), F.col("pivot.node").alias("node")).distinct().join(far, "node").select("a", "b")
+    return found.union(found.select("a", F.col("a").alias("b"))).distinct()
 
 
 def _across(stars: DataFrame, roots: DataFrame) -> DataFrame:
@@ -226,12 +277,13 @@ def _across(stars: DataFrame, roots: DataFrame) -> DataFrame:
     own = rooted.where("node = pivot").select("pivot", F.col("root").alias("main"))
     split = rooted.groupBy("pivot").agg(F.min("root").alias("r"), F.max("root").alias("s")).where("r <> s").select("pivot")
     rows = written(rooted.join(split, "pivot").join(own, "pivot"), "across")
-    tokens = rows.select("pivot", "node", "n", "root", "main", F.posexplode("rest").alias("i", "token"))
+    row = [c for c in ("pivot", "node", "n", "root", "main", "sketch") if c in rows.columns]
+    tokens = rows.select(*row, F.posexplode("rest").alias("i", "token"))
     telling = tokens.groupBy("pivot", "token").agg(F.min("root").alias("r"), F.max("root").alias("s")).where("r <> s").select("pivot", "token")
     tokens = written(tokens.join(telling, ["pivot", "token"]), "tokens")
 
     by_rest = _sized_pairs(tokens.withColumn("most", F.expr("(5 * n - 9 * i) / 4")), ["pivot", "token"])
-    by_pivot = _sized_pairs(rows.select("pivot", "node", "n", "root", "main", F.expr("(9 * common - 4 * n) / 4").alias("most")), ["pivot"])
+    by_pivot = _sized_pairs(rows.select(*row, F.expr("(9 * common - 4 * n) / 4").alias("most")), ["pivot"])
     return by_rest.union(by_pivot).distinct()
 
 
@@ -244,14 +296,15 @@ def _sized_pairs(table: DataFrame, key: list[str]) -> DataFrame:
     """Pairs a < b of rows of one key and different roots, one of them not in its pivot's component, of which each allows the other's size.
 
     A row's partner has ``most`` elements at most, and 0.8 of its own at least; a row that allows none of these is left out at once. The join is on key and step of
-    sizes, so rows meet only those of sizes that they allow: texts that share a template but are less similar don't meet at all.
+    sizes, so rows meet only those of sizes that they allow: texts that share a template but are less similar don't meet at all. Where rows have sketches, these must be near.
     """
     able = table.where(F.col("most") >= 0.8 * F.col("n"))
     x = able.where("root <> main").withColumn("step", F.explode(F.sequence(_size_step(0.8 * F.col("n")) - 1, _size_step(F.least(F.col("most"), 1.25 * F.col("n"))) + 1))).alias("x")
     y = able.withColumn("step", _size_step(F.col("n"))).alias("y")
     same = [F.col(f"x.{k}") == F.col(f"y.{k}") for k in [*key, "step"]]
     fits = (F.col("x.root") != F.col("y.root")) & (F.col("y.n") <= F.col("x.most")) & (F.col("x.n") <= F.col("y.most"))
-    return x.join(y, [*same, fits]).select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b"))
+    near = [_near("x", "y")] if "sketch" in table.columns else []
+    return x.join(y, [*same, fits, *near]).select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b"))
 
 
 def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hot: int = 24) -> tuple[DataFrame, DataFrame]:
@@ -259,8 +312,8 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hot:
 
     Sets are linked whose Jaccard similarity is 0.8 or more. Each such pair shares a block of its prints (``blocks``), and each pair that shares one is verified
     by its prints and on the whole sets, or proven to be less similar.
-    The sets of a bucket of over ``hot`` are first compared with the bucket's pivot. Only pairs that this leaves in two
-    components, and that what they share with the pivot doesn't rule out, are verified then; no other can change the components. Nothing is capped or dropped.
+    The sets of a bucket are first compared with the bucket's pivot. Only pairs that this leaves in two components are looked at then, in buckets of over ``hot``
+    only those that what they share with a far pivot doesn't rule out; no other can change the components. Nothing is capped or dropped.
     """
     first = row_order(docs, id_col, text_col)
     rows = written(docs.select(first.alias("first"), _printed(F.col(text_col)).alias("p")).select("first", "p.*"), "prints")
@@ -268,33 +321,35 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hot:
     # Of each set's rows one gives its blocks: a single shuffle of (key, node), of which only keys of several sets are kept.
     one = written(nodes.select(F.col("first.mark").alias("mark")), "marks")
     keyed = rows.withColumn("mark", F.col("first.mark")).join(one, "mark", "left_semi").select("node", F.explode("blocks").alias("key"))
-    counted = keyed.repartition("key").withColumn("m", F.count("*").over(Window.partitionBy("key"))).where("m > 1").select("key", "node").distinct()
-    # A set that shares fewer blocks with all others than with any similar one has no similar one.
-    parity = F.col("key").bitwiseAND(F.lit(1)).cast("int")
-    joined = counted.join(nodes.select("node", "n", "copies", "least"), "node").withColumn("even", parity)
-    able = joined.withColumn("met", F.count("*").over(Window.partitionBy("node", "even"))).where(F.col("met") >= F.get("least", F.col("even")))
+    counted = keyed.repartition("key").withColumn("m", F.count("*").over(Window.partitionBy("key"))).where("m > 1").select("key", "node", "m").distinct()
+    able = _rarest(counted.join(nodes.select("node", "n", "copies", "least"), "node"))
     shared = able.select("key", "node", "n", "copies").withColumn("m", F.count("*").over(Window.partitionBy("key"))).where("m > 1")
     shared = written(shared, "buckets")
-    few, many = shared.where(F.col("m") <= hot), shared.where(F.col("m") > hot)
-    tried, pivots = written(_pairs(few), "tried"), written(_pivots(many), "pivots")
+    heads = written(_pivots(shared), "pivots")
+    pairs = shared.join(heads, "key").select(F.least("pivot.node", "node").alias("a"), F.greatest("pivot.node", "node").alias("b")).distinct()
 
-    wanted = tried.select("a").union(tried.select("b")).union(pivots.select("b")).distinct().toDF("node")
+    wanted = shared.select("node").distinct()
     where = nodes.join(wanted, "node", "left_semi").select("node", F.col("first.mark").alias("mark"))
     texts = docs.select(row_mark(docs).alias("mark"), F.col(text_col).alias("text")).join(where, "mark").dropDuplicates(["node"])
     sets = written(texts.select("node", _listed(F.col("text")).alias("s")).select("node", "s.*"), "lists")
+    sketches = written(sets.select("node", F.size("list").alias("n"), "sketch"), "sketches")
 
-    links = _verified(tried, sets)
-    if pivots.isEmpty():
-        return nodes, connected_components(links)
     p, q = F.col("p.list"), F.col("q.list")
-    n = F.size(q)
-    rest = F.slice(F.array_except(q, p), 1, (n / 5).cast("int") + 1)
-    compared = _with_sets(pivots, sets, "list").select(F.col("a").alias("pivot"), F.col("b").alias("node"), n.alias("n"), F.size(p).alias("m"), F.size(F.array_intersect(p, q)).alias("common"), rest.alias("rest"))
-    stars = written(compared, "stars")
-    linked = stars.where((F.col("pivot") != F.col("node")) & _similar(F.col("common"), F.col("n"), F.col("m"))).select(F.col("pivot").alias("a"), F.col("node").alias("b"))
-    links = written(links.union(linked), "links")
+    n, common = F.size(q), F.size(F.array_intersect(p, q))
+    near = written(_near_pairs(pairs.where("a <> b"), sketches), "near")
+    links = written(_with_sets(near, sets, "list").where(_similar(common, F.size(p), n)).select("a", "b"), "links")
     roots = connected_components(links)
-    more = written(_verified(_across(stars, roots).join(tried, ["a", "b"], "left_anti"), sets), "links")
+
+    rooted = shared.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    split = rooted.groupBy("key").agg(F.min("root").alias("r"), F.max("root").alias("s")).where("r <> s").select("key")
+    rooted = written(rooted.join(split, "key").join(heads, "key"), "split")
+    apart = _near_pairs(_pairs(rooted.where(F.col("m") <= hot)), sketches)
+    pivots = written(_far_pivots(rooted.where(F.col("m") > hot)), "pivots")
+    if not pivots.isEmpty():
+        rest = F.slice(F.array_except(q, p), 1, (n / 5).cast("int") + 1)
+        compared = _with_sets(pivots, sets, "list", "sketch").select(F.col("a").alias("pivot"), F.col("b").alias("node"), n.alias("n"), F.col("q.sketch").alias("sketch"), common.alias("common"), rest.alias("rest"))
+        apart = apart.union(_across(written(compared, "stars"), roots)).distinct()
+    more = written(_verified(written(apart.join(near, ["a", "b"], "left_anti"), "apart"), sets), "links")
     return nodes, roots if more.isEmpty() else connected_components(links.union(more))
 
 

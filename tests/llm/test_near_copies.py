@@ -92,6 +92,81 @@ def test_similar_sets_always_share_a_block():
     assert len(pairs) > 6000
 
 
+def test_sketches_differ_in_no_more_bits_than_sets():
+    """So no pair at 0.8 is left out by them, also where one sketch is twice as long."""
+    widths = set()
+    for a, b in at_the_threshold((1, 2, 3, 7, 10, 16, 50, 60, 100, 170, 400, 1000), 20, 6):
+        p, q = sorted((near_copies.sketch(x) for x in (a, b)), key=len)
+        widths.add((len(p), len(q)))
+        if len(p) < len(q):
+            q = q[: len(p)] ^ q[len(p) :]
+        assert np.bitwise_count((p ^ q).view(np.uint64)).sum() <= len(np.setxor1d(a, b))
+    assert {long // short for short, long in widths} == {1, 2}
+
+
+def test_rarest_keys_still_meet(spark):
+    """Sets that share ``least`` keys keep one of them in common, whatever other keys they have."""
+    rng = random.Random(4)
+    rows = [(key, node) for node in range(80) for key in rng.sample(range(0, 120, 2), 8) + rng.sample(range(1, 41, 2), 6)]
+    sizes = {k: sum(key == k for key, _ in rows) for k in range(120)}
+    table = [(k, n, sizes[k], [4, 3]) for k, n in rows]
+    kept = {(r.key, r.node) for r in near_copies._rarest(spark.createDataFrame(table, "key long, node long, m long, least array<int>")).collect()}
+    own, left = ([{k for k, n in pairs if n == node} for node in range(80)] for pairs in (rows, kept))
+    met = [(a, b, even) for a in range(80) for b in range(a) for even in (0, 1) if sum(k & 1 == even for k in own[a] & own[b]) >= (4, 3)[even]]
+    assert len(met) > 30 and len(kept) < 0.75 * len(rows)
+    assert all(any(k & 1 == even for k in left[a] & left[b]) for a, b, even in met)
+
+
+def _groups_of(size, number, changes, words=200):
+    """``number`` groups of ``size`` texts, each a group's text with up to ``changes`` words changed."""
+    rng = random.Random(size)
+    out = []
+    for g in range(number):
+        base = [f"g{g}w{i}" for i in range(words)]
+        for _ in range(size):
+            t = list(base)
+            for at in rng.sample(range(words), rng.randrange(changes)):
+                t[at] = f"x{rng.randrange(10**9)}"
+            out.append(" ".join(t))
+    return list(enumerate(out))
+
+
+def _fetched(spark, monkeypatch, rows):
+    """The rows that the stage keeps, the pairs for which it fetches two whole sets, and the rests that it takes apart."""
+    seen = {"pairs": 0, "tokens": 0}
+    with_sets, across = near_copies._with_sets, near_copies._across
+
+    def counted(pairs, sets, *columns):
+        seen["pairs"] += pairs.count() if "list" in columns else 0
+        return with_sets(pairs, sets, *columns)
+
+    def counted_rests(stars, roots):
+        seen["tokens"] += sum(len(r.rest) for r in stars.select("rest").collect())
+        return across(stars, roots)
+
+    monkeypatch.setattr(near_copies, "_with_sets", counted)
+    monkeypatch.setattr(near_copies, "_across", counted_rests)
+    kept = {r.doc_id for r in near_copies.deduplicated(spark.createDataFrame(rows, SCHEMA)).collect()}
+    monkeypatch.undo()
+    return kept, seen["pairs"], seen["tokens"]
+
+
+def test_small_groups_are_not_all_pairs(spark, monkeypatch):
+    """Whole sets are fetched in proportion to the texts of groups that no bucket of which is hot."""
+    rows = _groups_of(20, 4, 5)
+    kept, pairs, _ = _fetched(spark, monkeypatch, rows)
+    assert kept == plain_kept(rows)
+    assert pairs <= 4 * len(rows)  # all pairs: 4 * 190
+
+
+def test_large_groups_take_few_rests_apart(spark, monkeypatch):
+    """A group whose texts are partly under 0.8 to each other is taken apart by few of its texts."""
+    rows = _groups_of(120, 1, 24)
+    kept, pairs, tokens = _fetched(spark, monkeypatch, rows)
+    assert kept == plain_kept(rows) and len(kept) > 1
+    assert pairs <= 6 * len(rows) and 0 < tokens <= 60 * len(rows)
+
+
 def test_pairs_that_min_hashes_lost_are_one(spark):
     """9 shingles of which one differs, a similarity of 0.8: pairs without a common key in the MinHash bands that this stage had."""
     rows = []
