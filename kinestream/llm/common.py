@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from kinestream.shared import written
 
-__all__ = ["GAP", "WORD", "ascii_lower", "differing", "free_name", "words", "written"]
+__all__ = ["GAP", "WORD", "ascii_lower", "differing", "free_name", "sorted_side", "words", "written"]
 
 #: One word: a run of characters other than space and the five ASCII control spaces.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -39,3 +39,9 @@ def free_name(df: DataFrame, wanted: str) -> str:
     while wanted.lower() in taken:
         wanted = "_" + wanted
     return wanted
+
+
+def sorted_side(df: DataFrame) -> DataFrame:
+    """``df`` as a side of a join that sorts both. Spark would send it to all executors through the driver while it is below the broadcast threshold,
+    and there its rows take several times that; steps with a dozen joins would do so for all of them at once."""
+    return df.hint("merge")

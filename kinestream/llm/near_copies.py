@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from kinestream.llm.common import WORD, differing, free_name, written
+from kinestream.llm.common import WORD, differing, free_name, sorted_side, written
 from kinestream.llm.components import connected_components
 
 _WORD = re.compile(WORD)
@@ -176,18 +176,18 @@ def least_rows(docs: DataFrame, nodes: DataFrame, roots: DataFrame) -> DataFrame
 
     nodes: node and first, the least ``row_order`` of the node's rows. roots: node and root, for nodes that have links.
     """
-    rooted = nodes.select("node", "first").join(roots.select("node", "root"), "node", "left")
+    rooted = nodes.select("node", "first").join(sorted_side(roots.select("node", "root")), "node", "left")
     least = rooted.groupBy(F.coalesce("root", "node").alias("root")).agg(F.min("first").alias("first"))
     mark = free_name(docs, "mark")
     stays = written(least.select(F.col("first.mark").alias(mark)), "stays")
     marked = docs.withColumn(mark, row_mark(docs))
-    twice = marked.groupBy(mark).agg(F.count("*").alias("n")).where("n > 1").select(mark).join(stays, mark, "left_semi")
+    twice = marked.groupBy(mark).agg(F.count("*").alias("n")).where("n > 1").select(mark).join(sorted_side(stays), mark, "left_semi")
     twice = written(twice, "stays-twice")
     if twice.isEmpty():
-        return marked.join(stays, mark, "left_semi").select(*map(_named, docs.columns))
-    once = stays.join(twice, mark, "left_anti")
+        return marked.join(sorted_side(stays), mark, "left_semi").select(*map(_named, docs.columns))
+    once = stays.join(sorted_side(twice), mark, "left_anti")
     repeated = marked.join(twice, mark, "left_semi").dropDuplicates([mark])
-    return marked.join(once, mark, "left_semi").union(repeated).select(*map(_named, docs.columns))
+    return marked.join(sorted_side(once), mark, "left_semi").union(repeated).select(*map(_named, docs.columns))
 
 
 def _similar(common: Column, n: Column, m: Column) -> Column:
@@ -224,13 +224,13 @@ def _pairs(buckets: DataFrame) -> DataFrame:
     x, y = buckets.alias("x"), buckets.alias("y")
     sized = F.least("x.n", "y.n") * 5 >= F.greatest("x.n", "y.n") * 4
     apart = (F.col("x.key") == F.col("y.key")) & (F.col("x.node") < F.col("y.node")) & (F.col("x.root") != F.col("y.root"))
-    return x.join(y, apart & sized).select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
+    return x.join(sorted_side(y), apart & sized).select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
 
 
 def _with_sets(pairs: DataFrame, sets: DataFrame, *columns: str) -> DataFrame:
     """``pairs`` (a, b and other columns) with columns of the sets, p of a and q of b."""
     left, right = (sets.select(F.col("node").alias(node), F.struct(*columns).alias(to)) for node, to in (("a", "p"), ("b", "q")))
-    return pairs.join(left, "a").join(right, "b")
+    return pairs.join(sorted_side(left), "a").join(sorted_side(right), "b")
 
 
 def _near_pairs(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
@@ -252,7 +252,7 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 def _pivots(buckets: DataFrame) -> DataFrame:
     """key and pivot (wide, copies, node) of each bucket: the set whose buckets are largest, which is the one that most others resemble."""
     wide = buckets.groupBy("node").agg(F.sum("m").alias("wide"))
-    return buckets.join(wide, "node").groupBy("key").agg(F.max(F.struct("wide", "copies", "node")).alias("pivot"))
+    return buckets.join(sorted_side(wide), "node").groupBy("key").agg(F.max(F.struct("wide", "copies", "node")).alias("pivot"))
 
 
 def _far_pivots(buckets: DataFrame) -> DataFrame:
@@ -261,7 +261,7 @@ def _far_pivots(buckets: DataFrame) -> DataFrame:
     So a set of a large group has few of them, however many of its buckets the group's own pivot misses.
     """
     far = buckets.groupBy("node").agg(F.max("pivot").alias("far")).select("node", F.col("far.node").alias("a"))
-    found = buckets.select(F.col("node").alias("b"), F.col("pivot.node").alias("node")).distinct().join(far, "node").select("a", "b")
+    found = buckets.select(F.col("node").alias("b"), F.col("pivot.node").alias("node")).distinct().join(sorted_side(far), "node").select("a", "b")
     return found.union(found.select("a", F.col("a").alias("b"))).distinct()
 
 
@@ -273,14 +273,14 @@ def _across(stars: DataFrame, roots: DataFrame) -> DataFrame:
     pivot's stands early enough in both rests, or all that they have in common is the pivot's, and then both have as many of it.
     Other pairs can't be similar, so none is lost; those in the pivot's component need no comparison with each other.
     """
-    rooted = stars.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    rooted = stars.join(sorted_side(roots), "node", "left").withColumn("root", F.coalesce("root", "node"))
     own = rooted.where("node = pivot").select("pivot", F.col("root").alias("main"))
     split = rooted.groupBy("pivot").agg(F.min("root").alias("r"), F.max("root").alias("s")).where("r <> s").select("pivot")
-    rows = written(rooted.join(split, "pivot").join(own, "pivot"), "across")
+    rows = written(rooted.join(sorted_side(split), "pivot").join(sorted_side(own), "pivot"), "across")
     row = [c for c in ("pivot", "node", "n", "root", "main", "sketch") if c in rows.columns]
     tokens = rows.select(*row, F.posexplode("rest").alias("i", "token"))
     telling = tokens.groupBy("pivot", "token").agg(F.min("root").alias("r"), F.max("root").alias("s")).where("r <> s").select("pivot", "token")
-    tokens = written(tokens.join(telling, ["pivot", "token"]), "tokens")
+    tokens = written(tokens.join(sorted_side(telling), ["pivot", "token"]), "tokens")
 
     by_rest = _sized_pairs(tokens.withColumn("most", F.expr("(5 * n - 9 * i) / 4")), ["pivot", "token"])
     by_pivot = _sized_pairs(rows.select(*row, F.expr("(9 * common - 4 * n) / 4").alias("most")), ["pivot"])
@@ -304,7 +304,7 @@ def _sized_pairs(table: DataFrame, key: list[str]) -> DataFrame:
     same = [F.col(f"x.{k}") == F.col(f"y.{k}") for k in [*key, "step"]]
     fits = (F.col("x.root") != F.col("y.root")) & (F.col("y.n") <= F.col("x.most")) & (F.col("x.n") <= F.col("y.most"))
     near = [_near("x", "y")] if "sketch" in table.columns else []
-    return x.join(y, [*same, fits, *near]).select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b"))
+    return x.join(sorted_side(y), [*same, fits, *near]).select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b"))
 
 
 def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hot: int = 24) -> tuple[DataFrame, DataFrame]:
@@ -320,17 +320,17 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hot:
     nodes = written(rows.groupBy("node").agg(F.min("first").alias("first"), F.count("*").alias("copies"), F.first("n").alias("n"), F.first("least").alias("least")), "sets")
     # Of each set's rows one gives its blocks: a single shuffle of (key, node), of which only keys of several sets are kept.
     one = written(nodes.select(F.col("first.mark").alias("mark")), "marks")
-    keyed = rows.withColumn("mark", F.col("first.mark")).join(one, "mark", "left_semi").select("node", F.explode("blocks").alias("key"))
+    keyed = rows.withColumn("mark", F.col("first.mark")).join(sorted_side(one), "mark", "left_semi").select("node", F.explode("blocks").alias("key"))
     counted = keyed.repartition("key").withColumn("m", F.count("*").over(Window.partitionBy("key"))).where("m > 1").select("key", "node", "m").distinct()
-    able = _rarest(counted.join(nodes.select("node", "n", "copies", "least"), "node"))
+    able = _rarest(counted.join(sorted_side(nodes.select("node", "n", "copies", "least")), "node"))
     shared = able.select("key", "node", "n", "copies").withColumn("m", F.count("*").over(Window.partitionBy("key"))).where("m > 1")
     shared = written(shared, "buckets")
     heads = written(_pivots(shared), "pivots")
-    pairs = shared.join(heads, "key").select(F.least("pivot.node", "node").alias("a"), F.greatest("pivot.node", "node").alias("b")).distinct()
+    pairs = shared.join(sorted_side(heads), "key").select(F.least("pivot.node", "node").alias("a"), F.greatest("pivot.node", "node").alias("b")).distinct()
 
     wanted = shared.select("node").distinct()
-    where = nodes.join(wanted, "node", "left_semi").select("node", F.col("first.mark").alias("mark"))
-    texts = docs.select(row_mark(docs).alias("mark"), F.col(text_col).alias("text")).join(where, "mark").dropDuplicates(["node"])
+    where = nodes.join(sorted_side(wanted), "node", "left_semi").select("node", F.col("first.mark").alias("mark"))
+    texts = docs.select(row_mark(docs).alias("mark"), F.col(text_col).alias("text")).join(sorted_side(where), "mark").dropDuplicates(["node"])
     sets = written(texts.select("node", _listed(F.col("text")).alias("s")).select("node", "s.*"), "lists")
     sketches = written(sets.select("node", F.size("list").alias("n"), "sketch"), "sketches")
 
@@ -340,16 +340,16 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hot:
     links = written(_with_sets(near, sets, "list").where(_similar(common, F.size(p), n)).select("a", "b"), "links")
     roots = connected_components(links)
 
-    rooted = shared.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    rooted = shared.join(sorted_side(roots), "node", "left").withColumn("root", F.coalesce("root", "node"))
     split = rooted.groupBy("key").agg(F.min("root").alias("r"), F.max("root").alias("s")).where("r <> s").select("key")
-    rooted = written(rooted.join(split, "key").join(heads, "key"), "split")
+    rooted = written(rooted.join(sorted_side(split), "key").join(sorted_side(heads), "key"), "split")
     apart = _near_pairs(_pairs(rooted.where(F.col("m") <= hot)), sketches)
     pivots = written(_far_pivots(rooted.where(F.col("m") > hot)), "pivots")
     if not pivots.isEmpty():
         rest = F.slice(F.array_except(q, p), 1, (n / 5).cast("int") + 1)
         compared = _with_sets(pivots, sets, "list", "sketch").select(F.col("a").alias("pivot"), F.col("b").alias("node"), n.alias("n"), F.col("q.sketch").alias("sketch"), common.alias("common"), rest.alias("rest"))
         apart = apart.union(_across(written(compared, "stars"), roots)).distinct()
-    more = written(_verified(written(apart.join(near, ["a", "b"], "left_anti"), "apart"), sets), "links")
+    more = written(_verified(written(apart.join(sorted_side(near), ["a", "b"], "left_anti"), "apart"), sets), "links")
     return nodes, roots if more.isEmpty() else connected_components(links.union(more))
 
 

@@ -265,3 +265,21 @@ def test_no_pair_of_sizes_is_lost(spark):
     assert want <= {(r.a, r.b) for r in got}
     allowed = {(min(a, b), max(a, b)) for p, a, n, r, m, most in rows for q, b, k, s, _, other in rows if p == q and r != s and r != m and k <= most and n <= other}
     assert {(r.a, r.b) for r in got} <= allowed
+
+
+def test_no_step_sends_several_tables_through_the_driver(spark, monkeypatch):
+    """Small enough for Spark's broadcasts, a step still has one at most: the driver would hold all of them at once."""
+    from kinestream.llm import components
+
+    sent, keep = {}, near_copies.written
+
+    def seen(df, name):
+        sent[name] = max(sent.get(name, 0), df._jdf.queryExecution().executedPlan().toString().count("BroadcastExchange"))
+        return keep(df, name)
+
+    monkeypatch.setattr(near_copies, "written", seen)
+    monkeypatch.setattr(components, "written", seen)
+    docs = spark.createDataFrame(list(enumerate(near_texts())), SCHEMA)
+    seen(near_copies.least_rows(docs, *near_copies.groups(docs, hot=2)), "rows")
+    assert {"buckets", "near", "links", "edges", "across", "tokens", "apart", "stays", "rows"} <= set(sent)
+    assert {name: n for name, n in sent.items() if n > 1} == {}
