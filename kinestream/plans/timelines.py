@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import uuid
+from collections import Counter
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kinestream.operators import stats, temporal
@@ -177,27 +180,68 @@ def outage_mask(spark: SparkSession, sf_dir: str) -> DataFrame:
     return r.groupBy("event_type").agg(F.count("*").alias("n"), F.count_if("out").alias("masked"), F.round(F.sum(F.when(F.col("out"), 0.0).otherwise(F.col("value"))), 4).alias("value"))
 
 
-#: Slices at least, and rows of one at most, about: a stream's part of a slice is a frame of one task.
+#: Slices at least, and rows of one at most that come to one call of the operator, about.
 SLICES, SLICE_ROWS = 4, 250_000
 
 
-def streamed(rows: DataFrame, time: str, made: Callable[[DataFrame], DataFrame], name: str, slices: int | None = None) -> DataFrame:
+def _slice_of(time: str, cuts: list[int]) -> Column:
+    """The number of a row's slice: how many cuts are before its time, 0 without one."""
+
+    @F.pandas_udf("int")
+    def at(t: pd.Series) -> pd.Series:
+        return pd.Series(np.searchsorted(np.array(cuts, dtype=np.int64), t.to_numpy(), side="left").astype(np.int32))
+
+    return F.when(F.col(time).isNull(), 0).otherwise(at(F.coalesce(F.col(time), F.lit(0))))
+
+
+def _cuts(rows: DataFrame, time: str, slices: int | None, part: Column | None) -> list[int]:
+    """The last times of all slices but the last one, equal numbers of rows apart. With parts, of slices that are as long as the rows of each part and a share of ``SLICES`` allow."""
+
+    def apart(n: int) -> list[int]:
+        return sorted(set(rows.agg(F.percentile_approx(time, [k / n for k in range(1, n)], 100 * n)).first()[0] or [])) if n > 1 else []
+
+    if slices:
+        return apart(slices)
+    total = rows.count()
+    if part is None:
+        return apart(max(SLICES, -(-total // SLICE_ROWS)))
+    bounds = apart(max(SLICES, -(-4 * total // SLICE_ROWS)))
+    found: dict[int, dict] = {}
+    for at, of, n in rows.groupBy(_slice_of(time, bounds).alias("at"), part.alias("part")).count().collect():
+        found.setdefault(at, {})[of] = n
+    cuts, held, size = [], Counter(), 0
+    for at in range(len(bounds) + 1):
+        here = found.get(at, {})
+        more = sum(here.values())
+        if size and (size + more > total / SLICES or any(held[k] + n > SLICE_ROWS for k, n in here.items())):
+            cuts.append(bounds[at - 1])
+            held, size = Counter(), 0
+        held.update(here)
+        size += more
+    return cuts
+
+
+def streamed(rows: DataFrame, time: str, made: Callable[[DataFrame], DataFrame], name: str, slices: int | None = None, part: Column | None = None) -> DataFrame:
     """What a streaming operator gives for rows that come in ``slices`` batches in the order of ``time``, as a table in the shared folder.
 
     Each batch is a run of its own that goes on from the state that the last one left in its checkpoint, as after a restart. So a
-    micro-batch is bounded by the slice, and results show whether the operator's state is whole. ``rows`` are worked out once; there are as many slices as their number asks for.
+    micro-batch is bounded by the slice, and results show whether the operator's state is whole. ``rows`` are worked out once and dealt out to their slices once;
+    there are as many slices as their number asks for, or as the rows of the fullest ``part`` do, by which the operator is called. ``time`` is a whole number.
     """
     spark, out = rows.sparkSession, f"{tables_dir(rows.sparkSession)}/{name}-{uuid.uuid4().hex}"
     whole = written(rows, f"{name}-rows")
-    slices = slices or max(SLICES, -(-whole.count() // SLICE_ROWS))
-    cuts = whole.agg(F.percentile_approx(time, [k / slices for k in range(1, slices)], 100 * slices)).first()[0] or [] if slices > 1 else []
-    # Filters on time reach the table's row groups; nothing of what made the rows is repeated.
-    for low, high in zip([None, *cuts], [*cuts, None], strict=True):
-        after = F.lit(True) if low is None else F.col(time) > low
-        upto = F.lit(True) if high is None else F.col(time) <= high
-        here = whole.where(F.coalesce(after & upto, F.lit(low is None)))
-        here.write.mode("append").parquet(f"{out}/source")
-        stream = made(spark.readStream.schema(rows.schema).parquet(f"{out}/source"))
+    cuts, column = _cuts(whole, time, slices, part), f"slice{uuid.uuid4().hex}"
+    whole.withColumn(column, _slice_of(time, cuts)).write.partitionBy(column).parquet(f"{out}/slices")
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    files = path(out).getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(path(f"{out}/source"))
+    for k in range(len(cuts) + 1):
+        # A slice's files move to where the stream looks; nothing is read for it but these.
+        if files.exists(path(f"{out}/slices/{column}={k}")):
+            files.rename(path(f"{out}/slices/{column}={k}"), path(f"{out}/source/{k}"))
+        else:
+            whole.limit(0).write.parquet(f"{out}/source/{k}")
+        stream = made(spark.readStream.schema(rows.schema).option("recursiveFileLookup", "true").parquet(f"{out}/source"))
         stream.writeStream.format("parquet").option("path", f"{out}/rows").option("checkpointLocation", f"{out}/state").trigger(availableNow=True).start().awaitTermination()
     return spark.read.schema(stream.schema).parquet(f"{out}/rows")
 
@@ -230,7 +274,7 @@ f AS (SELECT stream, i, t, value AS estimate, CASE WHEN value IS NOT NULL THEN 4
 
 def _filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = stream_events(spark, sf_dir).select("stream", "t", F.when(F.col("event_type") != "error", F.col("value")).alias("value"))
-    return streamed(rows, "t", lambda r: asof.diagonal_filter(r, 20.0, 0.05), "filter-stream")
+    return streamed(rows, "t", lambda r: asof.diagonal_filter(r, 20.0, 0.05), "filter-stream", part=asof.part_of())
 
 
 @query(_FILTER + "SELECT stream, t, round(estimate, 6) AS estimate, round(variance, 6) AS variance FROM f")

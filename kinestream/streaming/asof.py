@@ -4,14 +4,47 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+#: Streams fall in so many parts by their hash. A checkpoint holds for one number only.
+PARTS = 256
 STATE = "acq long, packet_id long, value double, held long"
 OUTPUT = "stream long, query_id long, t long, packet_id long, value double, age long, fresh boolean"
 
 
+def part_of(stream: str = "stream", parts: int = PARTS) -> Column:
+    """The part of a stream. The operators are called once for each part of a micro-batch and keep the state of all its streams together: a call
+    costs milliseconds, far more than the few rows that most streams have in a micro-batch. Null is a stream like others."""
+    return F.pmod(F.xxhash64(stream), F.lit(parts)).cast("int")
+
+
+def rows_of(frames: Iterator[pd.DataFrame], order: list[str]) -> pd.DataFrame:
+    """The rows of a part in order, ``stream`` without nulls and ``none`` where it was null."""
+    rows = pd.concat([*frames])
+    if rows["t"].isna().any():
+        raise ValueError("a row without a time has no place in a stream")
+    return rows.iloc[np.lexsort([rows[c].to_numpy() for c in reversed(order)])]
+
+
+def streams_of(rows: pd.DataFrame) -> list:
+    """The stream of each row, None for null."""
+    found = rows["stream"].tolist()
+    return [None if n else s for s, n in zip(found, rows["none"], strict=True)] if rows["none"].any() else found
+
+
+def named(stream: str = "stream") -> list[Column]:
+    """``stream`` and ``none``: whole numbers stay whole, as pandas has nulls only among floats."""
+    return [F.coalesce(F.col(stream), F.lit(0)).alias("stream"), F.col(stream).isNull().alias("none")]
+
+
+def frame_of(rows: list[tuple], columns: dict[str, str]) -> pd.DataFrame:
+    """Rows as a frame of typed columns, each of which may hold None."""
+    return pd.DataFrame({name: pd.array(list(values), dtype=kind) for (name, kind), values in zip(columns.items(), zip(*rows, strict=True), strict=True)})
+
+
 def asof_stream(events: DataFrame, max_age: int) -> DataFrame:
     """For a stream of packets and queries in order of arrival, the packet of each query.
 
@@ -50,29 +83,34 @@ def session_splits(events: DataFrame, time: str, stream: str, gap: str = "1 seco
     return seen.select(stream, "rows", "first", "last")
 
 
-def diagonal_filter(events: DataFrame, noise: float, drift: float) -> DataFrame:
+def diagonal_filter(events: DataFrame, noise: float, drift: float, parts: int = PARTS) -> DataFrame:
     """A scalar random-walk filter per stream: stream, t, value in; estimate and variance out. A missing value holds the state and lets the
     variance grow; the gain is variance / (variance + noise ** 2), the update in Joseph's form."""
+    fresh, grows = noise**2, drift**2
 
     def step(key: tuple, frames: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-        x, p, last = state.get if state.exists else (None, None, None)
+        known = {s: (x, p, t) for s, x, p, t in zip(*state.get, strict=True)} if state.exists else {}
+        rows = rows_of(frames, ["t"])
         out = []
-        for r in pd.concat([*frames]).sort_values("t", kind="stable").itertuples(index=False):
+        for stream, t, value in zip(streams_of(rows), rows["t"].tolist(), rows["value"].tolist(), strict=True):
+            x, p, last = known.get(stream, (None, None, None))
             if x is not None:
-                p += drift**2 * (int(r.t) - last) / 1e6
-            if not pd.isna(r.value):
+                p += grows * (t - last) / 1e6
+            if value == value:
                 if x is None:
-                    x, p = float(r.value), noise**2
+                    x, p = value, fresh
                 else:
-                    gain = p / (p + noise**2)
-                    x, p = x + gain * (float(r.value) - x), (1 - gain) ** 2 * p + gain**2 * noise**2
-            last = int(r.t)
-            out.append((key[0], last, x, p))
-        if last is not None and x is not None:
-            state.update((x, p, last))
-        yield pd.DataFrame(out, columns=["stream", "t", "estimate", "variance"]).astype({"estimate": "Float64", "variance": "Float64"})
-
-    return events.groupBy("stream").applyInPandasWithState(step, "stream long, t long, estimate double, variance double", "x double, p double, last long", "append", "NoTimeout")
+                    gain = p / (p + fresh)
+                    x, p = x + gain * (value - x), (1 - gain) ** 2 * p + gain**2 * fresh
+            if x is not None:
+                known[stream] = (x, p, t)
+            out.append((stream, t, x, p))
+        state.update(([*known], *([v[k] for v in known.values()] for k in range(3))))
+        yield frame_of(out, {"stream": "Int64", "t": "int64", "estimate": "Float64", "variance": "Float64"})
+
+    rows = events.select(part_of("stream", parts).alias("part"), *named(), "t", F.coalesce(F.col("value").cast("double"), F.lit(float("nan"))).alias("value"))
+    state = "stream array<long>, x array<double>, p array<double>, last array<long>"
+    return rows.groupBy("part").applyInPandasWithState(step, "stream long, t long, estimate double, variance double", state, "append", "NoTimeout")
 
 
 def free_run(state: DataFrame, horizons: list[int], drift: float) -> DataFrame:

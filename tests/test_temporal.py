@@ -199,3 +199,55 @@ def test_several_sources_take_as_many_sorts_as_one(spark):
     assert sorts(temporal.asof_each({n: p for n in "abc"}, q, 10)) <= sorts(temporal.asof_causal(p, q, 10)) * 1 + 4
     r = temporal.asof_each({n: p for n in "abc"}, q, 10).first()
     assert tuple(r.a) == tuple(r.b) == (3, 0.5, 4, True)
+
+
+def run_once(spark, tmp_path, rows, schema, made):
+    """The rows of one micro-batch of a stream, and how many keys its state has."""
+    spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/in")
+    stream = made(spark.readStream.schema(schema).parquet(f"{tmp_path}/in"))
+    run = stream.writeStream.format("parquet").option("path", f"{tmp_path}/out").option("checkpointLocation", f"{tmp_path}/state").trigger(availableNow=True).start()
+    run.awaitTermination()
+    kept = [p.stateOperators[0].numRowsTotal for p in run.recentProgress if p.numInputRows]
+    return spark.read.schema(stream.schema).parquet(f"{tmp_path}/out").collect(), kept[0]
+
+
+def test_a_filter_is_called_for_parts_and_not_for_streams(spark, tmp_path):
+    """Far more streams than calls and states, one of them null, names and times beyond what a float holds; each as if it were alone."""
+    from kinestream.streaming import asof
+
+    rng, big = random.Random(5), 2**60
+    rows = [(None if s == 7 else big + s, big + s + 1_000_000 * k, rng.choice([None, rng.gauss(0, 9)])) for s in range(900) for k in range(3)]
+    got, kept = run_once(spark, tmp_path, rows, "stream long, t long, value double", lambda r: asof.diagonal_filter(r, 2.0, 0.5))
+    want = []
+    for s, own in {s: [r for r in rows if r[0] == s] for s in {r[0] for r in rows}}.items():
+        x = p = last = None
+        for _, t, v in sorted(own, key=lambda r: r[1]):
+            if x is not None:
+                p += 0.25 * (t - last) / 1e6
+            if v is not None:
+                g = 1.0 if x is None else p / (p + 4.0)
+                x, p = (v, 4.0) if x is None else (x + g * (v - x), (1 - g) ** 2 * p + g**2 * 4.0)
+            last = t
+            want.append((s, t, x, p))
+    assert sorted(map(tuple, got), key=repr) == sorted(want, key=repr)
+    assert kept <= asof.PARTS < 900
+
+
+def test_slices_are_as_long_as_the_rows_of_a_part_allow(spark, monkeypatch):
+    """Rows of many parts come in few slices; of one part, and where a part has all of its rows at one end, in slices that bound these."""
+    from kinestream.plans import timelines
+
+    monkeypatch.setattr(timelines, "SLICE_ROWS", 40)
+    even = spark.createDataFrame([(i, i % 20) for i in range(1600)], "t long, part int")
+    late = spark.createDataFrame([(i, i % 20 if i < 1200 else 3) for i in range(1600)], "t long, part int")
+
+    def fullest(df, part):
+        cuts = timelines._cuts(df, "t", None, part)
+        return len(cuts) + 1, df.groupBy(timelines._slice_of("t", cuts), part).count().agg(F.max("count")).first()[0]
+
+    slices, most = fullest(even, F.col("part"))
+    assert 4 <= slices <= 6 and most <= 40
+    slices, most = fullest(even, F.expr("t * 0"))
+    assert slices >= 40 and most <= 40
+    slices, most = fullest(late, F.col("part"))
+    assert 13 <= slices <= 20 and most <= 40
