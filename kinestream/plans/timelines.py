@@ -320,5 +320,5 @@ def gated_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     value = F.when(kind != "error", F.when(F.col("event_id") % 97 == 0, F.col("value") + 300).otherwise(F.col("value")))
     rows = stream_events(spark, sf_dir).select("stream", "t", value.alias("value"), F.when(kind == "purchase", F.col("value") - 5).alias("anchor"))
     with gated.timers(spark):
-        found = streamed(rows, "t", lambda r: gated.gated_filter(r, TUNING), "gated-stream")
+        found = streamed(rows, "t", lambda r: gated.gated_filter(r, TUNING), "gated-stream", part=asof.part_of())
     return found.withColumns({c: F.round(c, 6) for c in ("estimate", "variance", "bias")})

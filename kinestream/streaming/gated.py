@@ -12,8 +12,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+from kinestream.streaming.asof import PARTS, frame_of, named, part_of, rows_of, streams_of
+
 OUTPUT = "stream long, t long, estimate double, variance double, bias double, accepted boolean, forecast boolean"
-_NAMES = ["stream", "t", "estimate", "variance", "bias", "accepted", "forecast"]
+_COLUMNS = {"stream": "Int64", "t": "int64", "estimate": "Float64", "variance": "Float64", "bias": "float64", "accepted": "bool", "forecast": "bool"}
 _PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 
 
@@ -31,13 +33,13 @@ class Tuning:
 
 
 class GatedFilter(StatefulProcessor):
-    """State of a stream: the fast one (estimate, variance, time of the last row), the slow one (bias), and whether its gap has been told.
+    """State of a stream: the fast one (estimate, variance, time of the last row), the slow one (bias), and whether its gap has been told. The streams of a part keep theirs together.
 
     A row's time lets the variance grow. A value less the bias updates the estimate if its innovation is within the gate, else it's refused and changes nothing. A row that has an
     anchor, too, moves the bias towards value - anchor; without an anchor the slow state holds. The first value starts the estimate.
 
-    A timer waits ``gap`` after the last row. Where it expires the forecast is the estimate, with the variance of that time. Where the next row is in the same or a later batch before the
-    timer's turn, the row itself tells the gap first. So rows are the same however batches are cut, if these are in order of time.
+    A stream is due ``gap`` after its last row; a part's one timer waits for the first that is. Where it expires the forecast of each due stream is the estimate, with the variance of that time. Where the
+    next row is in the same or a later batch before the timer's turn, the row itself tells the gap first. So rows are the same however batches are cut, if these are in order of time.
     """
 
     def __init__(self, tuning: Tuning):
@@ -45,72 +47,86 @@ class GatedFilter(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.fast = handle.getValueState("fast", "x double, p double, t long")
-        self.slow = handle.getValueState("slow", "bias double")
-        self.told = handle.getValueState("told", "told boolean")
+        self.state = handle.getValueState("streams", "stream array<long>, x array<double>, p array<double>, t array<long>, bias array<double>, told array<boolean>")
+
+    def _known(self) -> dict:
+        """(x, p, t, bias, told) by stream."""
+        return {s: tuple(rest) for s, *rest in zip(*self.state.get(), strict=True)} if self.state.exists() else {}
+
+    def _due(self, t: int) -> int:
+        """When the timer of a last row at ``t`` expires, in milliseconds."""
+        return (t + self.tuning.gap) // 1000 + 1
 
-    def _forecast(self, stream: int, x: float, p: float, t: int, bias: float) -> tuple:
+    def _keep(self, known: dict) -> None:
+        self.state.update(([*known], *([v[k] for v in known.values()] for k in range(5))))
+        for timer in self.handle.listTimers():
+            self.handle.deleteTimer(timer)
+        first = min((self._due(t) for x, _, t, _, told in known.values() if x is not None and not told), default=None)
+        if first is not None:
+            self.handle.registerTimer(first)
+
+    def _forecast(self, stream: int | None, x: float, p: float, t: int, bias: float) -> tuple:
         k = self.tuning
         return stream, t + k.gap, x, p + k.drift**2 * k.gap / 1e6, bias, False, True
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        k, stream = self.tuning, int(key[0])
-        x, p, last = self.fast.get() if self.fast.exists() else (None, None, None)
-        bias = self.slow.get()[0] if self.slow.exists() else 0.0
-        told = bool(self.told.get()[0]) if self.told.exists() else False
-        out = []
-        for r in pd.concat([*rows]).sort_values("t", kind="stable").itertuples(index=False):
-            t, seconds = int(r.t), 0.0
+        k, known, out = self.tuning, self._known(), []
+        fresh, grows = k.noise**2, k.drift**2
+        ordered = rows_of(rows, ["t"])
+        for stream, t, value, anchor in zip(streams_of(ordered), *(ordered[c].tolist() for c in ("t", "value", "anchor")), strict=True):
+            x, p, last, bias, told = known.get(stream, (None, None, None, 0.0, False))
+            seconds = 0.0
             if last is not None:
                 if t - last > k.gap and not told and x is not None:
                     out.append(self._forecast(stream, x, p, last, bias))
                 seconds = (t - last) / 1e6
                 if x is not None:
-                    p += k.drift**2 * seconds
+                    p += grows * seconds
             accepted = False
-            if not pd.isna(r.value):
-                z = float(r.value) - bias
+            if value == value:
+                z = value - bias
                 if x is None:
-                    x, p, accepted = z, k.noise**2, True
-                elif abs(z - x) <= k.gate * math.sqrt(p + k.noise**2):
-                    gain = p / (p + k.noise**2)
-                    x, p, accepted = x + gain * (z - x), (1 - gain) ** 2 * p + gain**2 * k.noise**2, True
-                if not pd.isna(r.anchor):
-                    bias += min(1.0, k.rate * seconds) * (float(r.value) - float(r.anchor) - bias)
+                    x, p, accepted = z, fresh, True
+                elif abs(z - x) <= k.gate * math.sqrt(p + fresh):
+                    gain = p / (p + fresh)
+                    x, p, accepted = x + gain * (z - x), (1 - gain) ** 2 * p + gain**2 * fresh, True
+                if anchor == anchor:
+                    bias += min(1.0, k.rate * seconds) * (value - anchor - bias)
                     bias = max(-k.bound, min(k.bound, bias))
-            last, told = t, False
+            known[stream] = (x, p, t, bias, False)
             out.append((stream, t, x, p, bias, accepted, False))
-        if last is not None:
-            for timer in self.handle.listTimers():
-                self.handle.deleteTimer(timer)
-            self.fast.update((x, p, last))
-            self.slow.update((bias,))
-            self.told.update((told,))
-            if x is not None:
-                self.handle.registerTimer((last + k.gap) // 1000 + 1)
+        self._keep(known)
         if out:
             yield self._frame(out)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        x, p, last = self.fast.get()
-        self.told.update((True,))
-        yield self._frame([self._forecast(int(key[0]), x, p, last, self.slow.get()[0])])
+        known, out = self._known(), []
+        now = max(timerValues.getCurrentWatermarkInMs(), expiredTimerInfo.getExpiryTimeInMs())
+        for stream, (x, p, t, bias, told) in known.items():
+            if x is not None and not told and self._due(t) <= now:
+                known[stream] = (x, p, t, bias, True)
+                out.append(self._forecast(stream, x, p, t, bias))
+        self._keep(known)
+        if out:
+            yield self._frame(out)
 
     @staticmethod
     def _frame(rows: list[tuple]) -> pd.DataFrame:
-        return pd.DataFrame(rows, columns=_NAMES).astype({"estimate": "Float64", "variance": "Float64"})
+        return frame_of(rows, _COLUMNS)
 
     def close(self) -> None:
         pass
 
 
-def gated_filter(rows: DataFrame, tuning: Tuning, late: str = "0 seconds") -> DataFrame:
+def gated_filter(rows: DataFrame, tuning: Tuning, late: str = "0 seconds", parts: int = PARTS) -> DataFrame:
     """The filter over a stream of rows (stream, t in microseconds, value and anchor, either of them null at times): a row for each, and one for each gap.
 
     A forecast at the end of a stream comes when the watermark, ``late`` behind the latest row of any stream, has passed it. Rows later than that are dropped.
     """
     timed = rows.withColumn("_event", F.timestamp_micros("t")).withWatermark("_event", late)
-    return timed.groupBy("stream").transformWithStateInPandas(GatedFilter(tuning), OUTPUT, "Append", "EventTime")
+    numbers = [F.coalesce(F.col(c).cast("double"), F.lit(float("nan"))).alias(c) for c in ("value", "anchor")]
+    dealt = timed.select(part_of("stream", parts).alias("part"), *named(), "t", *numbers, "_event")
+    return dealt.groupBy("part").transformWithStateInPandas(GatedFilter(tuning), OUTPUT, "Append", "EventTime")
 
 
 @contextmanager

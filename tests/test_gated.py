@@ -84,3 +84,23 @@ def test_slices_grow_with_rows(spark, monkeypatch):
     streamed(df, "t", lambda r: (seen.append(1), r.withColumn("x", F.lit(1)))[1], "slices")
     assert len(seen) == 7
     assert streamed(df, "t", lambda r: r, "slices").count() == 61
+
+
+def test_streams_of_one_part_have_one_state_and_one_timer(spark, tmp_path):
+    """Gaps of all streams of a part are told, by rows and by the timer, however batches are cut; the state has a few rows for each part, not for each stream."""
+    rows = rows_of(3) + [(s, 1_000_000 * s, 5.0, None) for s in range(100, 160)]
+    key = lambda r: (r[0], r[1], r[6])
+    want = sorted(plain(rows, TUNING), key=key)
+    with gated.timers(spark):
+        got = streamed(spark.createDataFrame(rows, SCHEMA), "t", lambda r: gated.gated_filter(r, TUNING, parts=2), "gated", 4).collect()
+        spark.createDataFrame(rows, SCHEMA).write.parquet(f"{tmp_path}/in")
+        stream = gated.gated_filter(spark.readStream.schema(SCHEMA).parquet(f"{tmp_path}/in"), TUNING, parts=2)
+        run = stream.writeStream.format("parquet").option("path", f"{tmp_path}/out").option("checkpointLocation", f"{tmp_path}/state").trigger(availableNow=True).start()
+        run.awaitTermination()
+        kept = max(p.stateOperators[0].numRowsTotal for p in run.recentProgress)
+    once = spark.read.schema(stream.schema).parquet(f"{tmp_path}/out").collect()
+    for found in (got, once):
+        found = sorted(map(tuple, found), key=key)
+        assert [key(r) + (r[5],) for r in found] == [key(r) + (r[5],) for r in want]
+        assert [r[2:5] for r in found] == [tuple(None if v is None else pytest.approx(v) for v in r[2:5]) for r in want]
+    assert sum(r[6] for r in got if r[0] >= 100) == 60 and kept <= 20
