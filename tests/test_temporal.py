@@ -251,3 +251,17 @@ def test_slices_are_as_long_as_the_rows_of_a_part_allow(spark, monkeypatch):
     assert slices >= 40 and most <= 40
     slices, most = fullest(late, F.col("part"))
     assert 13 <= slices <= 20 and most <= 40
+
+
+def test_forecasts_take_no_more_runs_for_more_rows(spark, monkeypatch):
+    """Ten times the rows that one slice may hold, spread over many streams, are still some four runs, and each stream has its three horizons."""
+    from kinestream.plans import timelines
+
+    sf, runs, keep = "/root/testdata/sf0.001", [], timelines.asof.diagonal_filter
+    streams = timelines.stream_events(spark, sf).select("stream").distinct().count()
+    rows = timelines.stream_events(spark, sf).count()
+    monkeypatch.setattr(timelines, "SLICE_ROWS", rows // 10)
+    monkeypatch.setattr(timelines.asof, "diagonal_filter", lambda *a: (runs.append(1), keep(*a))[1])
+    got = timelines.forecast(spark, sf).collect()
+    assert 4 <= len(runs) <= 7
+    assert len({(r.stream, r.hours) for r in got}) == len(got) == 3 * streams
