@@ -261,7 +261,7 @@ def asof_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
         "value",
         F.when(~is_packet, F.col("event_id")).alias("query_id"),
     )
-    return streamed(rows, "t", lambda r: asof.asof_stream(r, MAX_AGE), "asof-stream")
+    return streamed(rows, "t", lambda r: asof.asof_stream(r, MAX_AGE), "asof-stream", part=asof.part_of())
 
 
 _FILTER = """WITH RECURSIVE s AS (SELECT user_id AS stream, epoch_us(ts) AS t, CASE WHEN event_type <> 'error' THEN value END AS value, row_number() OVER (PARTITION BY user_id ORDER BY ts) AS i FROM events),

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 #: Streams fall in so many parts by their hash. A checkpoint holds for one number only.
 PARTS = 256
-STATE = "acq long, packet_id long, value double, held long"
+STATE = "stream array<long>, acq array<long>, packet_id array<long>, value array<double>, held array<long>"
 OUTPUT = "stream long, query_id long, t long, packet_id long, value double, age long, fresh boolean"
 
 
@@ -45,36 +45,38 @@ def frame_of(rows: list[tuple], columns: dict[str, str]) -> pd.DataFrame:
     return pd.DataFrame({name: pd.array(list(values), dtype=kind) for (name, kind), values in zip(columns.items(), zip(*rows, strict=True), strict=True)})
 
 
-def asof_stream(events: DataFrame, max_age: int) -> DataFrame:
+def asof_stream(events: DataFrame, max_age: int, parts: int = PARTS) -> DataFrame:
     """For a stream of packets and queries in order of arrival, the packet of each query.
 
     events: stream, kind (0: packet, 1: query), t (arrival or query time), acq, packet_id, value, query_id. State per stream is one
     packet (the greatest acquisition so far) and the id that the last query with a packet was given. Within a micro-batch rows
     are taken by t, packets first; a packet that comes in a later batch than a query is not seen by it: no look-ahead and
     no revision. So results equal those of ``temporal.asof_causal`` however batches are cut, if batches are in order of t.
-    A stream's part of a micro-batch is one frame in memory, so bound micro-batches (``maxFilesPerTrigger``, or slices of time).
+    A part's rows of a micro-batch are one frame in memory (``part_of``), so bound micro-batches (``maxFilesPerTrigger``, or slices of time).
     """
 
     def step(key: tuple, frames: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-        acq, packet, value, held = state.get if state.exists else (None, None, None, None)
-        rows = pd.concat([*frames]).sort_values(["t", "kind", "query_id", "packet_id"], kind="stable")
+        known = {s: (a, p, v, h) for s, a, p, v, h in zip(*state.get, strict=True)} if state.exists else {}
+        rows = rows_of(frames, ["t", "kind", "id"])
         out = []
-        for r in rows.itertuples(index=False):
-            if r.kind == 0:
-                if acq is None or (r.acq, r.packet_id) > (acq, packet):
-                    acq, packet, value = int(r.acq), int(r.packet_id), float(r.value)
-                continue
-            age = None if acq is None else int(r.t) - acq
-            if age is not None and 0 <= age <= max_age:
-                out.append((key[0], int(r.query_id), int(r.t), packet, value, age, packet != held))
-                held = packet
+        for stream, kind, t, acq, id_, value in zip(streams_of(rows), *(rows[c].tolist() for c in ("kind", "t", "acq", "id", "value")), strict=True):
+            best = known.get(stream)
+            if kind == 0:
+                if best is None or (acq, id_) > best[:2]:
+                    known[stream] = (acq, id_, value, best and best[3])
+            elif best is not None and 0 <= t - best[0] <= max_age:
+                out.append((stream, id_, t, best[1], best[2], t - best[0], best[1] != best[3]))
+                if best[1] != best[3]:
+                    known[stream] = (*best[:3], best[1])
             else:
-                out.append((key[0], int(r.query_id), int(r.t), None, None, 0, False))
-        state.update((acq, packet, value, held))
-        made = pd.DataFrame(out, columns=["stream", "query_id", "t", "packet_id", "value", "age", "fresh"])
-        yield made.astype({"packet_id": "Int64", "value": "Float64"})
-
-    return events.groupBy("stream").applyInPandasWithState(step, OUTPUT, STATE, "append", "NoTimeout")
+                out.append((stream, id_, t, None, None, 0, False))
+        state.update(([*known], *([v[k] for v in known.values()] for k in range(4))))
+        if out:
+            yield frame_of(out, {"stream": "Int64", "query_id": "int64", "t": "int64", "packet_id": "Int64", "value": "Float64", "age": "int64", "fresh": "bool"})
+
+    ids = F.when(F.col("kind") == 0, F.col("packet_id")).otherwise(F.col("query_id"))
+    rows = events.select(part_of("stream", parts).alias("part"), *named(), "kind", "t", F.when(F.col("kind") == 0, F.col("acq")).otherwise(0).alias("acq"), ids.alias("id"), "value")
+    return rows.groupBy("part").applyInPandasWithState(step, OUTPUT, STATE, "append", "NoTimeout")
 
 
 def session_splits(events: DataFrame, time: str, stream: str, gap: str = "1 second", late: str = "10 minutes") -> DataFrame:

@@ -265,3 +265,18 @@ def test_forecasts_take_no_more_runs_for_more_rows(spark, monkeypatch):
     got = timelines.forecast(spark, sf).collect()
     assert 4 <= len(runs) <= 7
     assert len({(r.stream, r.hours) for r in got}) == len(got) == 3 * streams
+
+
+def test_an_asof_stream_is_called_for_parts_and_not_for_streams(spark, tmp_path):
+    """Far more streams than calls and states, one of them null, ids and times beyond what a float holds: the rows of ``asof_causal``."""
+    from kinestream.streaming import asof
+
+    rng, big = random.Random(8), 2**60
+    name = lambda s: None if s == 7 else big + s
+    p = [(name(s), big + a, big + a + rng.randrange(30), big + 10 * s + k, rng.choice([None, float(k)])) for s in range(700) for k, a in enumerate(rng.sample(range(100), 3))]
+    q = [(name(s), big + t, big + 10 * s + k) for s in range(700) for k, t in enumerate(rng.sample(range(120), 3))]
+    rows = [(s, 0, b, a, i, v, None) for s, a, b, i, v in p] + [(s, 1, t, None, None, None, i) for s, t, i in q]
+    got, kept = run_once(spark, tmp_path, rows, "stream long, kind int, t long, acq long, packet_id long, value double, query_id long", lambda r: asof.asof_stream(r, 60))
+    want = temporal.asof_causal(spark.createDataFrame(p, "stream long, acq long, arrival long, packet_id long, value double"), spark.createDataFrame(q, "stream long, t long, query_id long"), 60)
+    assert sorted(map(tuple, got), key=repr) == sorted(map(tuple, want.select("stream", "query_id", "t", "packet_id", "value", "age", "fresh").collect()), key=repr)
+    assert kept <= asof.PARTS < 700
